@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basalt.llm import quality_rules
+from basalt.llm import line_dedup, quality_rules, secret_scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_line_dedup": line_dedup.op4_line_dedup,
+    "op5_secret_scan": secret_scan.op5_secret_scan,
     "op10_quality_rules": quality_rules.op10_quality_rules,
 }
 
 SQL: dict[str, str] = {
+    "op4_line_dedup": line_dedup.OP4_SQL,
     "op10_quality_rules": quality_rules.OP10_SQL,
 }
