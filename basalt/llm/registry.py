@@ -6,15 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basalt.llm import line_dedup, quality_rules, secret_scan
+from basalt.llm import line_dedup, merge_dropout, quality_rules, secret_scan, token_counts, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_warc": warc.op2_warc,
+    "op3_merge_dropout": merge_dropout.op3_merge_dropout,
     "op4_line_dedup": line_dedup.op4_line_dedup,
     "op5_secret_scan": secret_scan.op5_secret_scan,
+    "op8_token_counts": token_counts.op8_token_counts,
     "op10_quality_rules": quality_rules.op10_quality_rules,
 }
 
 SQL: dict[str, str] = {
+    "op2_warc": warc.OP2_SQL,
     "op4_line_dedup": line_dedup.OP4_SQL,
     "op10_quality_rules": quality_rules.OP10_SQL,
 }
