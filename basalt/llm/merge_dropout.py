@@ -22,6 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from basalt.llm import vocab
 from basalt.llm.common import read_table
@@ -210,7 +211,7 @@ def encode(
     codec = spark.sparkContext.broadcast(Codec(vocab.read_pieces(vocab_file or vocab.path(vocab.PIECES)), rate, seed))
     schema = df.select(id_col).schema
     if with_ids:
-        schema = schema.add("ids", "array<int>")
+        schema = schema.add("ids", T.ArrayType(T.IntegerType()))
     schema = schema.add("n_tokens", "long").add("ids_crc32", "long").add("lossless", "boolean")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basalt.llm import line_dedup, merge_dropout, quality_rules, secret_scan, token_counts, warc
+from basalt.llm import line_dedup, merge_dropout, quality_rules, secret_scan, token_counts, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": toxicity.op1_toxicity,
     "op2_warc": warc.op2_warc,
     "op3_merge_dropout": merge_dropout.op3_merge_dropout,
     "op4_line_dedup": line_dedup.op4_line_dedup,
