@@ -173,7 +173,7 @@ def score(df: DataFrame, model: Model, text_col: str = "text", keep: tuple[str,
     spark = df.sparkSession
     sent = spark.sparkContext.broadcast(model)
     schema = df.select(*others).schema.add("score", "double").add("n_sentences", "long")
-    span = T.StructType().add("start", "int").add("end", "int").add("probability", "double")
+    span = T.StructType().add("start", "integer").add("end", "integer").add("probability", "double")
     schema = schema.add("offending", T.ArrayType(span))
     place = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("probability", pa.float64())]))
 
