@@ -17,6 +17,7 @@ segmented alike; a null id counts as a key of its own; extra columns are ignored
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,13 +32,17 @@ RATE = 0.1
 SEED = 20240601
 #: Segmentations of a stretch among which its occurrences are dealt.
 VARIANTS = 4
-MEMO = 250_000
-#: Longer stretches take a heap instead of a list as agenda, and aren't kept.
-LONG = 64
+#: Stretches with variant whose ids a worker keeps; a cache, not a limit.
+MEMO = 1_000_000
 _NONE = 1 << 60
+#: Stretches of up to so many characters are encoded together, others one by one.
+_WIDTHS = (4, 7, 10, 14, 24)
+_BITS = 21
 #: A mark that the text itself holds; marks that spaces become begin a stretch, so this can't arise from one.
 _LITERAL = "\ue000▁"
-_M64 = (1 << 64) - 1
+#: Stands for such a mark among stretches; no stretch has a line end inside.
+_OWN_MARK = "\n▁"
+_K1, _K2, _K3 = 0x9E3779B1, 0x85EBCA6B, 0xC2B2AE3D27D4EB4F
 
 
 class Codec:
@@ -62,7 +67,21 @@ class Codec:
                 if a is not None and b is not None:
                     self.pairs[a << 16 | b] = rank[i]
         self.limit = round(rate * 2**32)
-        self.seed = seed
+        self.seed = seed & 0xFFFFFFFF
+        self.rank_id = np.array([self.by_rank[r] for r in range(len(self.by_rank))], np.int64)
+        self.char_id = np.full(0x110000, -1, np.int32)
+        for c, i in self.chars.items():
+            self.char_id[ord(c)] = i
+        # the pairs again as an open table, for lookups of whole arrays
+        self.keys, self.ranks = np.full(1 << _BITS, -1, np.int64), np.full(1 << _BITS, _NONE, np.int64)
+        left, at = np.fromiter(self.pairs, np.int64, len(self.pairs)), 0
+        value = np.fromiter(self.pairs.values(), np.int64, len(self.pairs))
+        while len(left):
+            slot = self._slot(left, at)
+            free = self.keys[slot] < 0
+            self.keys[slot[free]], self.ranks[slot[free]] = left[free], value[free]
+            out = self.keys[slot] != left
+            left, value, at = left[out], value[out], at + 1
 
     def _start(self, stretch: str) -> list[int]:
         """Ids of characters; bytes of those outside the vocabulary are negative, so no merge takes them."""
@@ -76,38 +95,85 @@ class Codec:
         return out
 
     def _dropped(self, base: int, rank: int, place: int) -> bool:
-        x = (base ^ (rank * 0x9E3779B1) ^ (place * 0x85EBCA6B)) & 0xFFFFFFFF
-        x = ((x ^ (x >> 15)) * 0x2C1B3C6D) & 0xFFFFFFFF
-        x = ((x ^ (x >> 12)) * 0x297A2D39) & 0xFFFFFFFF
-        return x ^ (x >> 15) < self.limit
+        """A keyed hash in 32 bits of the stretch, the merge and its place, below the rate's share of them."""
+        return ((base + rank * _K1 + place * _K2) * _K3 >> 32 & 0xFFFFFFFF) < self.limit
+
+    @staticmethod
+    def _slot(keys: np.ndarray, probe: int) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(_K3) >> np.uint64(64 - _BITS)).astype(np.int64) + probe) & ((1 << _BITS) - 1)
+
+    def _pair_ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        keys = a << 16 | b
+        slot = self._slot(keys, 0)
+        found = np.where(self.keys[slot] == keys, self.ranks[slot], _NONE)
+        todo, probe = np.flatnonzero((self.keys[slot] != keys) & (self.keys[slot] >= 0)), 0
+        while len(todo):
+            probe += 1
+            slot = self._slot(keys[todo], probe)
+            held = self.keys[slot]
+            hit = held == keys[todo]
+            found[todo[hit]] = self.ranks[slot[hit]]
+            todo = todo[~hit & (held >= 0)]
+        return found
+
+    def _together(self, stretches: list[str], base: np.ndarray, width: int) -> list[bytes] | None:
+        """Stretches of at most ``width`` characters at once, a row each: every round takes the best candidate of each row.
+        None in place of a row that holds a character outside the vocabulary."""
+        n = len(stretches)
+        size = np.fromiter(map(len, stretches), np.int64, n)
+        points = np.frombuffer("".join([x.ljust(width) for x in stretches]).encode("utf-32-le"), "<u4").reshape(n, width)
+        col = np.arange(width)
+        inside = col < size[:, None]
+        ids = np.where(inside, self.char_id[points], 0).astype(np.int64)
+        odd = (ids < 0).any(axis=1)
+        ids[odd] = 0
+        alive = inside.copy()
+        ranks = np.full((n, width), _NONE, np.int64)
+        pair = inside[:, 1:] & ~odd[:, None]
+        ranks[:, :-1][pair] = self._pair_ranks(ids[:, :-1][pair], ids[:, 1:][pair])
+        after, before = np.tile(col + 1, (n, 1)), np.tile(col - 1, (n, 1))
+        rows = np.arange(n)
+        while len(rows):
+            i = ranks[rows].argmin(axis=1)
+            m = ranks[rows, i]
+            go = m < _NONE
+            rows, i, m = rows[go], i[go], m[go]
+            x = (base[rows] + m.astype(np.uint64) * np.uint64(_K1) + i.astype(np.uint64) * np.uint64(_K2)) * np.uint64(_K3)
+            drop = (x >> np.uint64(32)) < np.uint64(self.limit)
+            ranks[rows[drop], i[drop]] = _NONE
+            r, i, m = rows[~drop], i[~drop], m[~drop]
+            j, new = after[r, i], self.rank_id[m]
+            k = after[r, j]
+            ids[r, i] = new
+            alive[r, j] = False
+            ranks[r, j] = ranks[r, i] = _NONE
+            after[r, i] = k
+            h = before[r, i]
+            has = h >= 0
+            ranks[r[has], h[has]] = self._pair_ranks(ids[r[has], h[has]], new[has])
+            has = k < size[r]
+            rr, kk = r[has], k[has]
+            before[rr, kk] = i[has]
+            ranks[rr, i[has]] = self._pair_ranks(new[has], ids[rr, kk])
+        data, ends = ids[alive].astype("<u2").tobytes(), (2 * alive.sum(axis=1)).cumsum().tolist()
+        return [None if o else data[a:b] for o, a, b in zip(odd.tolist(), [0, *ends], ends)]
+
+    def encode_many(self, keys: list[str]) -> list[bytes]:
+        """The ids of each key (a stretch and one character more, its variant) as little-endian 16-bit bytes."""
+        out: list[bytes | None] = [None] * len(keys)
+        size = np.fromiter(map(len, keys), np.int64, len(keys)) - 1
+        least = 0
+        for width in _WIDTHS:
+            at = np.flatnonzero((size > least) & (size <= width)).tolist()
+            least = width
+            if at:
+                base = np.fromiter((zlib.crc32(keys[i].encode(), self.seed) for i in at), np.uint64, len(at))
+                for i, data in zip(at, self._together([keys[i][:-1] for i in at], base, width)):
+                    out[i] = data
+        return [self.encode_stretch(k) if data is None else data for k, data in zip(keys, out)]
 
     def encode_symbols(self, ids: list[int], base: int) -> list[int]:
-        if len(ids) > LONG:
-            return self._encode_long(ids, base)
-        pairs, limit, by_rank = self.pairs, self.limit, self.by_rank
-        places = list(range(len(ids)))
-        ranks = [pairs.get(a << 16 | b, _NONE) if a >= 0 and b >= 0 else _NONE for a, b in zip(ids, ids[1:])]
-        while ranks:
-            m = min(ranks)
-            if m == _NONE:
-                break
-            i = ranks.index(m)
-            if limit and self._dropped(base, m, places[i]):
-                ranks[i] = _NONE
-                continue
-            new = by_rank[m]
-            ids[i : i + 2] = [new]
-            del places[i + 1], ranks[i]
-            if i:
-                a = ids[i - 1]
-                ranks[i - 1] = pairs.get(a << 16 | new, _NONE) if a >= 0 else _NONE
-            if i < len(ranks):
-                b = ids[i + 1]
-                ranks[i] = pairs.get(new << 16 | b, _NONE) if b >= 0 else _NONE
-        return [x if x >= 0 else -1 - x for x in ids]
-
-    def _encode_long(self, ids: list[int], base: int) -> list[int]:
-        """The same with a heap: n log n for a stretch of any length."""
+        """One stretch of any length, with a heap as agenda; negative ids take part in no merge."""
         import heapq
 
         n, pairs = len(ids), self.pairs
@@ -135,10 +201,11 @@ class Codec:
             offer(i, right[i])
         return [x if x >= 0 else -1 - x for x, ok in zip(ids, alive) if ok]
 
-    def encode_stretch(self, key: tuple[str, int]) -> bytes:
-        stretch, variant = key
-        base = zlib.crc32(stretch.encode(), self.seed + variant & 0xFFFFFFFF)
-        return np.array(self.encode_symbols(self._start(stretch), base), "<u2").tobytes()
+    def encode_stretch(self, key: str) -> bytes:
+        stretch = key[:-1]
+        if stretch == _OWN_MARK:
+            return array("H", [self.bytes[b] for b in "▁".encode()]).tobytes()
+        return array("H", self.encode_symbols(self._start(stretch), zlib.crc32(key.encode(), self.seed))).tobytes()
 
     @staticmethod
     def stretches(text: str) -> list[str]:
@@ -173,27 +240,28 @@ class Codec:
                 bits = s.split(_LITERAL)
                 for j, b in enumerate(bits):
                     if j:
-                        cut.append("\0own")
+                        cut.append(_OWN_MARK)
                     if b:
                         cut.append(b)
             out = cut
         return out
 
-    def variants(self, key: str, n: int, ways: int) -> list[int]:
-        if ways <= 1:
-            return [0] * n
-        start = zlib.crc32(key.encode(), self.seed & 0xFFFFFFFF) * 0x9E3779B97F4A7C15 & _M64
-        x = np.arange(n, dtype=np.uint64) * np.uint64(0xBF58476D1CE4E5B9) + np.uint64(start)
+    def keys(self, text: str, name: str, ways: int) -> list[str]:
+        """The text's stretches, each with the variant that the document's name and the stretch's number give it."""
+        cut = self.stretches(text)
+        start = zlib.crc32(name.encode(), self.seed) * _K3 & (1 << 64) - 1
+        x = np.arange(len(cut), dtype=np.uint64) * np.uint64(0xBF58476D1CE4E5B9) + np.uint64(start)
         x ^= x >> np.uint64(31)
         x *= np.uint64(0x94D049BB133111EB)
-        return ((x >> np.uint64(33)) % np.uint64(ways)).tolist()
+        marks = [chr(i) for i in range(ways)]
+        return [s + marks[v] for s, v in zip(cut, ((x >> np.uint64(33)) % np.uint64(ways)).tolist())]
 
     def decode(self, ids: list[int]) -> str:
         out = b"".join(map(self.text.__getitem__, ids)).decode()
         return out[1:] if out else ""
 
 
-_OWN: dict[int, tuple[Codec, vocab.Memo]] = {}
+_OWN: dict[int, tuple[Codec, dict[str, bytes]]] = {}
 
 
 def encode(
@@ -215,23 +283,24 @@ def encode(
     schema = schema.add("n_tokens", "long").add("ids_crc32", "long").add("lossless", "boolean")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = _OWN.get(id(codec))
-        if own is None:
-            c = codec.value
-            own_bytes = np.array([c.bytes[b] for b in "▁".encode()], "<u2").tobytes()
-            plain = c.encode_stretch
+        if id(codec) not in _OWN:
             _OWN.clear()
-            own = _OWN[id(codec)] = (c, vocab.Memo(lambda k: own_bytes if k[0] == "\0own" else plain(k), MEMO))
-        c, memo = own
-        of = memo.__getitem__
+            _OWN[id(codec)] = (codec.value, {})
+        c, memo = _OWN[id(codec)]
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
+                texts = [x or "" for x in part.column(1).to_pylist()]
+                cuts = [c.keys(text, str(name), variants) for name, text in zip(part.column(0).to_pylist(), texts)]
+                wanted = set().union(*cuts)
+                fresh = list(wanted - memo.keys())
+                if len(memo) + len(fresh) > MEMO:
+                    memo.clear()
+                    fresh = list(wanted)
+                memo.update(zip(fresh, c.encode_many(fresh)))
                 ids, n, crc, same = [], [], [], []
-                for key, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    text = text or ""
-                    cut = c.stretches(text)
-                    got = np.frombuffer(b"".join(map(of, zip(cut, c.variants(str(key), len(cut), variants)))), "<u2")
+                for text, cut in zip(texts, cuts):
+                    got = np.frombuffer(b"".join(map(memo.__getitem__, cut)), "<u2")
                     n.append(len(got))
                     crc.append(zlib.crc32(got.astype("<u4").tobytes()))
                     same.append(c.decode(got.tolist()) == text)
