@@ -73,14 +73,14 @@ class Codec:
         for c, i in self.chars.items():
             self.char_id[ord(c)] = i
         # the pairs again as an open table, for lookups of whole arrays
-        self.keys, self.ranks = np.full(1 << _BITS, -1, np.int64), np.full(1 << _BITS, _NONE, np.int64)
+        self.pair_keys, self.pair_values = np.full(1 << _BITS, -1, np.int64), np.full(1 << _BITS, _NONE, np.int64)
         left, at = np.fromiter(self.pairs, np.int64, len(self.pairs)), 0
         value = np.fromiter(self.pairs.values(), np.int64, len(self.pairs))
         while len(left):
             slot = self._slot(left, at)
-            free = self.keys[slot] < 0
-            self.keys[slot[free]], self.ranks[slot[free]] = left[free], value[free]
-            out = self.keys[slot] != left
+            free = self.pair_keys[slot] < 0
+            self.pair_keys[slot[free]], self.pair_values[slot[free]] = left[free], value[free]
+            out = self.pair_keys[slot] != left
             left, value, at = left[out], value[out], at + 1
 
     def _start(self, stretch: str) -> list[int]:
@@ -105,14 +105,14 @@ class Codec:
     def _pair_ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         keys = a << 16 | b
         slot = self._slot(keys, 0)
-        found = np.where(self.keys[slot] == keys, self.ranks[slot], _NONE)
-        todo, probe = np.flatnonzero((self.keys[slot] != keys) & (self.keys[slot] >= 0)), 0
+        found = np.where(self.pair_keys[slot] == keys, self.pair_values[slot], _NONE)
+        todo, probe = np.flatnonzero((self.pair_keys[slot] != keys) & (self.pair_keys[slot] >= 0)), 0
         while len(todo):
             probe += 1
             slot = self._slot(keys[todo], probe)
-            held = self.keys[slot]
+            held = self.pair_keys[slot]
             hit = held == keys[todo]
-            found[todo[hit]] = self.ranks[slot[hit]]
+            found[todo[hit]] = self.pair_values[slot[hit]]
             todo = todo[~hit & (held >= 0)]
         return found
 
