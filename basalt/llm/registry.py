@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basalt.llm import line_dedup, merge_dropout, packing, quality_rules, secret_scan, token_counts, toxicity, warc
+from basalt.llm import ann, line_dedup, merge_dropout, packing, quality_rules, secret_scan, token_counts, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_line_dedup": line_dedup.op4_line_dedup,
     "op5_secret_scan": secret_scan.op5_secret_scan,
     "op6_best_fit": packing.op6_best_fit,
+    "op7_nearest": ann.op7_nearest,
     "op8_token_counts": token_counts.op8_token_counts,
     "op10_quality_rules": quality_rules.op10_quality_rules,
 }
