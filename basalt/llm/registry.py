@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basalt.llm import ann, line_dedup, merge_dropout, packing, quality_rules, secret_scan, token_counts, toxicity, warc
+from basalt.llm import ann, jaccard_join, line_dedup, merge_dropout, packing, quality_rules, secret_scan, token_counts, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -17,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_best_fit": packing.op6_best_fit,
     "op7_nearest": ann.op7_nearest,
     "op8_token_counts": token_counts.op8_token_counts,
+    "op9_jaccard_join": jaccard_join.op9_jaccard_join,
     "op10_quality_rules": quality_rules.op10_quality_rules,
 }
 
