@@ -33,3 +33,14 @@ def components(edges: DataFrame) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.explode(F.array(F.struct("v", "m"), F.struct(F.col("u").alias("v"), "m"))).alias("e"))
         now = materialize(small.select(F.col("e.v").alias("u"), F.col("e.m").alias("v")).where("u <> v").distinct(), "edges")
+
+
+def forest_labels(parents: DataFrame) -> DataFrame:
+    """(node, label) of edges (a, b) that give each a one smaller b: the tree's root, by doubling the way up each round."""
+    now = materialize(parents.select(F.col("a").alias("node"), F.col("b").alias("label")), "forest")
+    while True:
+        up = now.select(F.col("node").alias("label"), F.col("label").alias("to"))
+        step = materialize(now.join(up, "label", "left").select("node", F.coalesce("to", "label").alias("label"), F.col("to").isNotNull().alias("moved")), "forest")
+        now = step.select("node", "label")
+        if step.where("moved").isEmpty():
+            return now

@@ -35,17 +35,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basalt.llm.common import materialize, read_table
-from basalt.llm.components import components
+from basalt.llm.components import components, forest_labels
 from basalt.llm.vocab import Memo
 
 WORDS = 5
 PERCENT = 80
 #: Counters of the table that tells common tokens, in chunks.
-COUNTERS = 1 << 20
-CHUNK = 1 << 16
+COUNTERS = 1 << 22
+CHUNK = 1 << 17
 #: Standard errors above the mean counter at which its tokens count as common.
-SPREADS = 5
+SPREADS = 4
 SALTS = 16
+#: Probes also cover all uncommon tokens in this first share of the order, so that what two classes share there is known.
+COVER = 0.23
 #: Rows of ids up to which a side is broadcast (16 bytes each); larger ones are shuffled.
 BROADCAST_ROWS = 500_000
 MEMO = 400_000
@@ -103,7 +105,7 @@ def profile(df: DataFrame, id_col: str, text_col: str, words: int = WORDS) -> Da
         for part, texts in _texts(batches, 1):
             kind = part.column(0).type
             sets = [shingles(t, words) for t in texts]
-            total += np.bincount((np.concatenate(sets) >> np.uint64(44)).astype(np.int64), minlength=COUNTERS).astype(np.uint32)
+            np.add.at(total, (np.concatenate(sets) >> np.uint64(42)).astype(np.int64), np.uint32(1))
             d = [_digest(s) if len(s) else (None, None) for s in sets]
             none = pa.nulls(len(sets), pa.int32())
             columns = [part.column(0), pa.array(map(len, sets), pa.int64()), pa.array([x[0] for x in d], pa.int64()), pa.array([x[1] for x in d], pa.int64())]
@@ -137,22 +139,25 @@ def common_buckets(counts: DataFrame) -> np.ndarray:
     total = np.zeros(COUNTERS)
     for r in counts.collect():
         total[r["chunk"] * CHUNK : (r["chunk"] + 1) * CHUNK] = np.frombuffer(zlib.decompress(r["counts"]), np.uint32)
-    return total > total.mean() + SPREADS * np.sqrt(total.mean()) + 8
+    return total > total.mean() + SPREADS * np.sqrt(total.mean()) + 4
 
 
-def probe_tokens(s: np.ndarray, common: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """The first n - ceil(percent n / 100) + 1 tokens in the global order, as numbers in that order."""
-    flag = common[(s >> np.uint64(44)).astype(np.int64)]
+def probe_tokens(s: np.ndarray, common: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, int]:
+    """The first n - ceil(percent n / 100) + 1 tokens in the global order, or as many as lie in the covered share of it, as
+    numbers in that order; and how many lie there."""
+    flag = common[(s >> np.uint64(42)).astype(np.int64)]
     k = len(s) - (percent * len(s) + 99) // 100 + 1
-    rare = (s[~flag][:k] >> np.uint64(2)).astype(np.int64)
+    rare = s[~flag]
+    covered = int(np.searchsorted(rare, np.uint64(int(COVER * 2**64))))
+    rare = (rare[: max(k, covered)] >> np.uint64(2)).astype(np.int64)
     if len(rare) < k:
         rare = np.append(rare, (s[flag][: k - len(rare)] >> np.uint64(2)).astype(np.int64) | _COMMON)
-    return rare
+    return rare, covered
 
 
 def matrix_rows(df: DataFrame, text_col: str, common: np.ndarray, words: int, percent: int) -> DataFrame:
-    """(t, c, n, h): class c of size n has the probe token t, whose list (or salt of it) class h leads. Tokens that only one
-    class has are left out."""
+    """(t, c, n, r, h, hn): class c, of n tokens with r in the covered share, has the probe token t, whose list (or salt of
+    it) class h of size hn leads. Tokens that only one class has are left out."""
     sent = df.sparkSession.sparkContext.broadcast(np.packbits(common))
     # below this size no different set reaches the threshold
     least = percent // max(1, 100 - percent)
@@ -160,7 +165,7 @@ def matrix_rows(df: DataFrame, text_col: str, common: np.ndarray, words: int, pe
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common, seen = np.unpackbits(sent.value).astype(bool), set()
         for _, texts in _texts(batches, 0):
-            tokens, classes, sizes = [], [], []
+            tokens, classes, sizes, covers = [], [], [], []
             for text in texts:
                 s = shingles(text, words)
                 if len(s) < least:
@@ -169,14 +174,15 @@ def matrix_rows(df: DataFrame, text_col: str, common: np.ndarray, words: int, pe
                 if c in seen:
                     continue
                 seen.add(c)
-                got = probe_tokens(s, common, percent)
+                got, covered = probe_tokens(s, common, percent)
                 tokens.append(got)
                 classes.append(np.full(len(got), c))
-                sizes.append(np.full(len(got), len(s)))
+                sizes.append(np.full(len(got), len(s), np.int32))
+                covers.append(np.full(len(got), covered, np.int32))
             if tokens:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (tokens, classes, sizes)], names=["t", "c", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (tokens, classes, sizes, covers)], names=["t", "c", "n", "r"])
 
-    rows = df.select(text_col).mapInArrow(probe, "t long, c long, n long")
+    rows = df.select(text_col).mapInArrow(probe, "t long, c long, n int, r int")
     salt = F.when(F.col("t") >= _COMMON, F.pmod("c", F.lit(SALTS))).otherwise(0).cast("int")
     width = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
     rows = rows.withColumn("s", salt).repartition(width, "t", "s").sortWithinPartitions("t", "s", "c")
@@ -185,9 +191,9 @@ def matrix_rows(df: DataFrame, text_col: str, common: np.ndarray, words: int, pe
         """Sorted rows are read as they come; of a list only its first row is held."""
         held, shown = None, False
         for batch in batches:
-            t, c, n, s = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+            t, c, n, r, s = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(5))
             if held is not None:
-                t, c, n, s = (np.r_[a, b] for a, b in zip(held, (t, c, n, s)))
+                t, c, n, r, s = (np.r_[a, b] for a, b in zip(held, (t, c, n, r, s)))
             if not len(t):
                 continue
             new = np.r_[True, (t[1:] != t[:-1]) | (s[1:] != s[:-1])]
@@ -202,22 +208,19 @@ def matrix_rows(df: DataFrame, text_col: str, common: np.ndarray, words: int, pe
                 out[0] = False
             last = starts[-1]
             shown = bool(out[last]) or (last == 0 and held is not None and shown)
-            held = t[last : last + 1], c[last : last + 1], n[last : last + 1], s[last : last + 1]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (t[out], c[out], n[out], c[lead[out]], n[lead[out]])], names=["t", "c", "n", "h", "hn"])
+            held = tuple(x[last : last + 1] for x in (t, c, n, r, s))
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (t[out], c[out], n[out], r[out], c[lead[out]], n[lead[out]])], names=["t", "c", "n", "r", "h", "hn"])
 
-    return rows.select("t", "c", "n", "s").mapInArrow(lists, "t long, c long, n long, h long, hn long")
+    return rows.select("t", "c", "n", "r", "s").mapInArrow(lists, "t long, c long, n int, r int, h long, hn int")
 
 
 def _fits(a: Column, b: Column, percent: int) -> Column:
     return (F.least(a, b) * 100 >= F.greatest(a, b) * percent)
 
 
-def _least_shared(a: Column, b: Column, percent: int) -> Column:
-    """Probe tokens that sets of these sizes must share at least: the overlap that the threshold needs, less what can lie
-    behind the probes."""
-    need = F.ceil((a + b) * percent / (100 + percent))
-    rest = lambda n: F.ceil(n * percent / 100) - 1
-    return F.greatest(need - F.greatest(rest(a), rest(b)), F.lit(1))
+def _needed(a: Column, b: Column, percent: int) -> Column:
+    """The overlap that sets of these sizes must have at least."""
+    return F.ceil((a + b) * percent / (100 + percent))
 
 
 def verified(
@@ -265,25 +268,34 @@ def class_links(
     led = rows.where((F.col("c") != F.col("h")) & _fits(F.col("n"), F.col("hn"), percent)).groupBy("c", "h").agg(F.count("*").alias("k"), F.first("n").alias("n"))
     led = led.where(F.col("k") * 20 >= F.col("n")).groupBy("c").agg(F.max_by("h", F.struct("k", "h")).alias("h"))
     near = verified(docs, id_col, text_col, classes, led.select(F.col("c").alias("a"), F.col("h").alias("b")), words, percent)
-    groups = components(near)
-    own = rows.select("t", "c", "n").join(groups.withColumnRenamed("node", "c"), "c", "left")
-    own = materialize(own.select("t", "c", "n", F.coalesce("label", "c").alias("g")), "grouped")
-    matrix = own.groupBy("t", "g").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
+    groups = forest_labels(near)
+    own = rows.select("t", "c", "n", "r").join(groups.withColumnRenamed("node", "c"), "c", "left")
+    own = materialize(own.select("t", "c", "n", "r", F.coalesce("label", "c").alias("g")), "grouped")
+    # what an overlap may have outside the covered share
+    rest = F.col("n") - F.col("r")
+    matrix = own.groupBy("t", "g").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.max(rest).alias("far"))
     # queries against groups; of two groups the one with the larger label asks
-    shared = own.join(matrix.withColumnRenamed("g", "og"), "t").where((F.col("og") < F.col("g")) & (F.col("hi") * 100 >= F.col("n") * percent) & (F.col("n") * 100 >= F.col("lo") * percent))
-    shared = shared.groupBy("c", "og").agg(F.count("*").alias("k"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.first("n").alias("n"))
+    met = (F.col("og") < F.col("g")) & (F.col("hi") * 100 >= F.col("n") * percent) & (F.col("n") * 100 >= F.col("lo") * percent)
+    shared = own.join(matrix.withColumnRenamed("g", "og"), "t").where(met)
+    shared = shared.groupBy("c", "og").agg(F.count("*").alias("k"), F.min("lo").alias("lo"), F.max("far").alias("far"), F.first("n").alias("n"), F.first("r").alias("r"))
     low = F.greatest("lo", F.ceil(F.col("n") * percent / 100))
-    high = F.least("hi", F.floor(F.col("n") * 100 / percent))
-    least = F.least(_least_shared(F.col("n"), low, percent), _least_shared(F.col("n"), high, percent))
-    opened = materialize(shared.where(F.col("k") >= least).select("c", "og"), "opened")
-    asked = own.select("t", "c", "n").join(opened, "c")
-    members = own.select("t", F.col("c").alias("m"), F.col("n").alias("mn"), F.col("g").alias("og"))
-    pairs = asked.join(members, ["t", "og"]).where(_fits(F.col("n"), F.col("mn"), percent)).groupBy("c", "m").agg(F.count("*").alias("k"), F.first("n").alias("n"), F.first("mn").alias("mn"))
-    pairs = pairs.where(F.col("k") >= _least_shared(F.col("n"), F.col("mn"), percent)).select(F.col("c").alias("a"), F.col("m").alias("b"))
-    across = verified(docs, id_col, text_col, classes, pairs, words, percent)
+    qualifies = _needed(F.col("n"), low, percent) <= F.col("k") + F.least(rest, F.col("far"))
+    opened = materialize(shared.where(qualifies).select("c", "og"), "opened")
+    # members of open groups, by the same bound
+    asked = own.select("t", "c", "n", "r").join(opened, "c")
+    members = own.select("t", F.col("c").alias("m"), F.col("n").alias("mn"), F.col("r").alias("mr"), F.col("g").alias("og"))
+    pairs = asked.join(members, ["t", "og"]).where(_fits(F.col("n"), F.col("mn"), percent))
+    pairs = pairs.groupBy("c", "m").agg(F.count("*").alias("k"), *(F.first(x).alias(x) for x in ("n", "r", "mn", "mr")))
+    likely = _needed(F.col("n"), F.col("mn"), percent) <= F.col("k") + F.least(rest, F.col("mn") - F.col("mr"))
+    across = verified(docs, id_col, text_col, classes, pairs.where(likely).select(F.col("c").alias("a"), F.col("m").alias("b")), words, percent)
     if across.isEmpty():
         return groups
-    return components(across.union(groups.select("node", "label")))
+    # the groups that such links join, as a graph of its own
+    for end in ("a", "b"):
+        across = across.join(groups.select(F.col("node").alias(end), F.col("label").alias(f"l{end}")), end, "left")
+    joined = components(across.select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b")))
+    moved = groups.join(joined.select(F.col("node").alias("label"), F.col("label").alias("to")), "label", "left")
+    return moved.select("node", F.coalesce("to", "label").alias("label")).union(joined.select("node", "label"))
 
 
 def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
