@@ -133,7 +133,7 @@ def is_clean_name(text: Column) -> Column:
 def clean_geo_name(text: Column) -> Column:
     """Without brackets and quotes; of parts by a slash, Early, Middle or Late, else the last."""
     plain = F.translate(F.regexp_replace(text, r"\(.*?\)", ""), "'\"[]", "")
-    parts = F.transform(F.split(plain, "/"), F.trim)
+    parts = F.transform(F.split(plain, "/"), lambda x: F.trim(x))
     chosen = F.element_at(parts, -1)
     for p in ("Late", "Middle", "Early"):
         chosen = F.when(F.array_contains(parts, p), F.lit(p)).otherwise(chosen)

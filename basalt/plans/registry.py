@@ -1,10 +1,568 @@
-"""Queries over the driver tables, one or more for each operator, with their SQL."""
+"""Queries over the driver tables, one or more for each operator, with their SQL.
+
+The driver tables hold no fauna, so roles are mapped: parts are species with ages, events are arrivals, orders are facts,
+regions, nations and suppliers are a lineage, pages and documents are text.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from basalt.functions import html, text
+from basalt.functions.authors import clean_author_udf
+from basalt.operators import audit, catalog, hierarchy, interval, merge, ordering, reconcile, validate
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
+
+
+def query(name: str, sql: str | None = None):
+    def add(f):
+        QUERIES[name] = f
+        if sql:
+            SQL[name] = sql
+        return f
+
+    return add
+
+
+def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/{name}.parquet")
+
+
+def _rows(spark: SparkSession, schema: str, *rows: tuple) -> DataFrame:
+    return spark.createDataFrame(list(rows), schema)
+
+
+_WEIGHT_SQL = "CASE {0} WHEN 'excluded' THEN 0 WHEN 'synonym' THEN 1 WHEN 'nudum' THEN 1 WHEN 'preoccupied' THEN 1 WHEN 'possible synonym' THEN 2 WHEN 'possible nudum' THEN 2 WHEN 'dubious' THEN 3 ELSE 4 END"
+_STATUS = ("valid", "synonym", "dubious", "possible nudum", "possible synonym", "nudum")
+
+
+def _status_of(n):
+    """One of six statuses by a number."""
+    out = F.lit(_STATUS[0])
+    for i, s in enumerate(_STATUS):
+        out = F.when(n % 6 == i, F.lit(s)).otherwise(out)
+    return out
+
+
+_STATUS_SQL = "CASE {0} % 6 WHEN 0 THEN 'valid' WHEN 1 THEN 'synonym' WHEN 2 THEN 'dubious' WHEN 3 THEN 'possible nudum' WHEN 4 THEN 'possible synonym' ELSE 'nudum' END"
+
+# --- validation, lookups
+
+
+@query(
+    "status_resolve_lookup",
+    f"""WITH truth AS (SELECT lower(p_brand) AS g, arg_max({_STATUS_SQL.format("p_partkey")}, p_partkey) AS s FROM part WHERE p_partkey % 3 <> 0 GROUP BY 1),
+    j AS (SELECT p_partkey, {_STATUS_SQL.format("(p_partkey // 7)")} AS own, coalesce(s, 'valid') AS theirs FROM part LEFT JOIN truth ON lower(p_brand) = g)
+    SELECT p_partkey, CASE WHEN {_WEIGHT_SQL.format("theirs")} < {_WEIGHT_SQL.format("own")} THEN theirs ELSE own END AS status,
+    CASE WHEN {_WEIGHT_SQL.format("theirs")} < {_WEIGHT_SQL.format("own")} AND theirs <> own THEN 'FIX' ELSE 'OK' END AS outcome FROM j""",
+)
+def _(spark, d):
+    part = _t(spark, d, "part")
+    truth = part.where("p_partkey % 3 <> 0").select(F.col("p_brand").alias("genus"), _status_of(F.col("p_partkey")).alias("status"), F.col("p_partkey").alias("pos"))
+    species = part.select("p_partkey", F.col("p_brand").alias("genus"), _status_of(F.floor(F.col("p_partkey") / 7)).alias("status"))
+    return validate.resolve_status(species, truth).select("p_partkey", "status", "outcome")
+
+
+_ABOUT = "p_name || CASE p_partkey % 7 WHEN 0 THEN ' preoccupied, synonym' WHEN 1 THEN ' Nomen dubium?' WHEN 2 THEN ' now known as x' WHEN 3 THEN ' possibly a nomen nudum' WHEN 4 THEN ' chimaera' ELSE '' END"
+_CLASSIFY = """list_filter([CASE WHEN contains(t, 'preoccupied') THEN 'preoccupied' END, CASE WHEN contains(t, 'synonym') OR contains(t, 'now known as') THEN 'synonym' END,
+    CASE WHEN contains(t, 'nudum') THEN 'nudum' END, CASE WHEN contains(t, 'dubium') OR contains(t, 'doubtful') THEN 'dubious' END, CASE WHEN contains(t, 'chimaera') THEN 'chimaera' END], lambda x: x IS NOT NULL)"""
+
+
+@query(
+    "status_classify_priority",
+    f"""WITH a AS (SELECT p_partkey, lower({_ABOUT}) AS t FROM part), b AS (SELECT p_partkey, t, {_CLASSIFY} AS f FROM a)
+    SELECT p_partkey, CASE WHEN len(f) = 0 THEN 'valid' ELSE array_to_string(f, ',') END AS every, CASE WHEN len(f) = 0 THEN 'valid'
+    WHEN contains(t, 'possibl') OR contains(t, 'probabl') OR contains(t, 'likely') OR contains(t, 'perhaps') OR contains(t, '?') OR contains(t, 'may be') THEN 'possible ' || f[1] ELSE f[1] END AS status FROM b""",
+)
+def _(spark, d):
+    part = _t(spark, d, "part").withColumn("about", F.expr(_ABOUT))
+    return part.select("p_partkey", F.array_join(text.statuses(F.col("about")), ",").alias("every"), text.status_of(F.col("about")).alias("status"))
+
+
+# --- arrival order
+
+
+@query("dedup_keep_first", "SELECT arg_min(event_id, event_id) AS event_id, user_id, event_type, arg_min(value, event_id) AS value FROM events GROUP BY user_id, event_type")
+def _(spark, d):
+    return ordering.keep_first(_t(spark, d, "events").select("event_id", "user_id", "event_type", "value"), ["user_id", "event_type"], ["event_id"])
+
+
+@query("last_wins_map", "SELECT user_id, arg_max(event_type, event_id) AS event_type, max(event_id) AS event_id FROM events GROUP BY user_id")
+def _(spark, d):
+    return ordering.keep_last(_t(spark, d, "events").select("user_id", "event_type", "event_id"), ["user_id"], ["event_id"])
+
+
+@query(
+    "run_dedup",
+    "SELECT event_id, user_id, event_type FROM (SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS b, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events) WHERE n = 1 OR b IS DISTINCT FROM event_type",
+)
+def _(spark, d):
+    return ordering.run_dedup(_t(spark, d, "events"), ["user_id"], ["ts", "event_id"], ["event_type"]).select("event_id", "user_id", "event_type")
+
+
+# --- time scale and ages
+
+_SCALE = "('Selandian', 61.6, 0.0), ('Danian', 66.0, 0.0), ('Maastrichtian', 72.1, 0.2), ('Campanian', 83.6, 0.2), ('Santonian', 86.3, 0.5)"
+#: Ages of parts lie between 1 and 57; this scale covers 3 to 45, with errors.
+_LOCAL = (("Alpha", 10.0, 0.0), ("Beta", 20.0, 1.5), ("Gamma", 30.0, 0.5), ("Alpha", 45.0, 2.0))
+
+
+def _scale(spark: SparkSession) -> DataFrame:
+    rows = [(i, "-", s, a, e) for i, (s, a, e) in enumerate(_LOCAL)]
+    return _rows(spark, "pos long, period string, stage string, start_ma double, uncertainty double", *rows)
+
+
+_BOUNDS_SQL = "bounds(pos, name, older, younger, err) AS (VALUES (0, 'Alpha', 10.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE), (1, 'Beta', 20.0, 10.0, 1.5), (2, 'Gamma', 30.0, 20.0, 0.5), (3, 'Alpha', 45.0, 30.0, 2.0))"
+_AGED_SQL = "aged AS (SELECT p_partkey, p_size + p_partkey % 7 / 10.0::DOUBLE AS a, p_size::DOUBLE AS b, p_brand FROM part)"
+_MET_SQL = f"""{_BOUNDS_SQL}, {_AGED_SQL},
+    met AS (SELECT p_partkey, pos, name, older, younger, a <> b AND round(least(a, older) - greatest(b, younger), 4) < err AS marginal FROM aged JOIN bounds
+        ON (a = b AND a >= younger - err AND a < older + err) OR (a <> b AND round(least(a, older) - greatest(b, younger), 4) > 0)),
+    kept AS (SELECT * FROM met WHERE NOT marginal OR p_partkey NOT IN (SELECT p_partkey FROM met WHERE NOT marginal))"""
+_LABEL_SQL = f"""WITH {_MET_SQL}, named AS (SELECT p_partkey, b.name, max(b.pos) AS pos, max(b.older) AS older, min(b.younger) AS younger
+        FROM (SELECT DISTINCT p_partkey, name FROM kept) k JOIN bounds b USING (name) GROUP BY p_partkey, b.name),
+    lab AS (SELECT p_partkey, arg_max(name, pos) AS first, arg_min(name, pos) AS last, count(*) AS n, max(older) AS older, min(younger) AS younger FROM named GROUP BY p_partkey)"""
+
+
+def _aged(spark: SparkSession, d: str) -> DataFrame:
+    part = _t(spark, d, "part")
+    high = F.col("p_size") + F.col("p_partkey") % 7 / F.lit(10.0)
+    age = F.when(high == F.col("p_size"), high.cast("string")).otherwise(F.concat_ws("–", high.cast("string"), F.col("p_size").cast("string")))
+    return part.select(F.col("p_partkey").alias("id"), age.alias("age"), F.when(F.col("p_partkey") % 2 == 0, "alpha").otherwise("-").alias("stage"))
+
+
+@query("lag_bounds", "SELECT n_nationkey AS pos, n_name AS name, n_nationkey * 2.5 AS older, CASE WHEN n_nationkey = 0 THEN 0.0 ELSE (n_nationkey - 1) * 2.5 END AS younger, 0.1::DOUBLE AS error FROM nation WHERE n_nationkey % 5 <> 4 AND (n_nationkey = 0 OR (n_nationkey - 1) % 5 <> 4)")
+def _(spark, d):
+    n = F.col("n_nationkey")
+    start = F.when(n % 5 == 4, "-").otherwise((n * 2.5).cast("string"))
+    scale = _t(spark, d, "nation").select(n.alias("pos"), F.lit("-").alias("period"), F.col("n_name").alias("stage"), start.alias("start_ma"), F.lit(0.1).alias("uncertainty"))
+    out = interval.scale_bounds(scale)
+    return out.select("pos", "name", F.col("older").cast("decimal(12,1)").alias("older"), F.col("younger").cast("decimal(12,1)").alias("younger"), "error")
+
+
+@query("interval_overlap_assign", _LABEL_SQL + " SELECT p_partkey AS id, CASE WHEN n > 1 THEN first || '-' || last ELSE first END AS label, older, younger FROM lab")
+def _(spark, d):
+    return interval.assign_stages(_aged(spark, d), _scale(spark)).where("label is not null").select("id", "label", "older", "younger")
+
+
+@query("interval_marginal_fallback", f"WITH {_MET_SQL} SELECT p_partkey AS id, pos, name, marginal FROM met")
+def _(spark, d):
+    aged = _aged(spark, d).withColumn("a", text.read_age(F.col("age"))).select("id", "a.*")
+    met = interval.interval_matches(aged, interval.scale_bounds(_scale(spark)))
+    return met.select("id", F.col("pos").cast("int").alias("pos"), "name", "marginal")
+
+
+@query("interval_out_of_bounds", f"WITH {_MET_SQL} SELECT p_partkey AS id FROM aged WHERE p_partkey NOT IN (SELECT p_partkey FROM met)")
+def _(spark, d):
+    return interval.assign_stages(_aged(spark, d), _scale(spark)).where("outcome = 'OUT_OF_BOUNDS'").select("id")
+
+
+@query(
+    "label_range_compare",
+    _LABEL_SQL + """, l AS (SELECT aged.p_partkey, CASE WHEN n > 1 THEN first || '-' || last ELSE first END AS label, CASE WHEN aged.p_partkey % 2 = 0 THEN 'alpha' ELSE '-' END AS stage FROM aged LEFT JOIN lab USING (p_partkey))
+    SELECT p_partkey AS id, CASE WHEN label IS NULL OR lower(replace(label, '-', ' ')) = lower(replace(stage, '-', ' ')) THEN stage ELSE label END AS stage,
+    CASE WHEN label IS NULL THEN 'OUT_OF_BOUNDS' WHEN lower(replace(label, '-', ' ')) = lower(replace(stage, '-', ' ')) THEN 'OK' ELSE 'FIX' END AS outcome FROM l""",
+)
+def _(spark, d):
+    return interval.assign_stages(_aged(spark, d), _scale(spark)).select("id", "stage", "outcome")
+
+
+# --- merge
+
+
+def _arrivals(spark: SparkSession, d: str) -> DataFrame:
+    return _t(spark, d, "events").select((F.col("user_id") % 40).alias("g"), "event_type", _status_of(F.col("event_id")).alias("status"), F.col("event_id").alias("pos"))
+
+
+_MERGE_SQL = f"""WITH a AS (SELECT user_id % 40 AS g, event_type, {_STATUS_SQL.format("event_id")} AS status, event_id AS pos FROM events),
+    t AS (SELECT *, min(pos) FILTER (status NOT IN ('valid', 'dubious')) OVER (PARTITION BY g, event_type) AS turn FROM a)
+    SELECT g, event_type, arg_min(status, row({_WEIGHT_SQL.format("status")}, pos)) AS status,
+    coalesce(max(pos) FILTER (status IN ('valid', 'dubious') AND pos > turn), min(pos)) AS pos FROM t GROUP BY g, event_type"""
+
+
+@query("record_merge", _MERGE_SQL)
+def _(spark, d):
+    return merge.merge_records(_arrivals(spark, d), ["g", "event_type"])
+
+
+@query("record_merge_fold", _MERGE_SQL)
+def _(spark, d):
+    return merge.folded(merge.merge_fold(_arrivals(spark, d), ["g", "event_type"], ["event_type"]), ["g", "event_type"])
+
+
+@query("page_skip_fold")
+def _(spark, d):
+    e = _t(spark, d, "events")
+    rows = e.select(F.col("event_id").alias("pos"), (F.col("user_id") % 50).cast("string").alias("page"), (F.col("event_id") % 2).cast("int").alias("section"), (F.col("user_id") % 9).cast("string").alias("genus"), F.col("event_type").alias("species"), _status_of(F.col("event_id")).alias("status"))
+    return merge.page_skips(rows)
+
+
+@query("auto_type_single", "SELECT event_id, count(*) OVER (PARTITION BY user_id, ts::DATE) = 1 OR event_type = 'signup' AS is_type FROM events")
+def _(spark, d):
+    e = _t(spark, d, "events").select("event_id", "user_id", F.to_date("ts").alias("day"), (F.col("event_type") == "signup").alias("is_type"))
+    return merge.auto_type(e, ["user_id", "day"]).select("event_id", "is_type")
+
+
+@query("meta_backfill", "SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' AND o_orderkey % 4 = 0 THEN coalesce(c_name, '-') WHEN o_orderkey % 4 = 0 THEN '-' ELSE o_orderpriority END AS author FROM orders LEFT JOIN customer ON o_custkey = c_custkey")
+def _(spark, d):
+    o = _t(spark, d, "orders").join(_t(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey"), "left")
+    o = o.withColumn("author", F.when(F.col("o_orderkey") % 4 == 0, "-").otherwise(F.col("o_orderpriority")))
+    return merge.backfill(o, F.col("o_orderstatus") == "F", {"author": "c_name"}).select("o_orderkey", "author")
+
+
+# --- audit
+
+
+def _snapshots(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    o = _t(spark, d, "orders")
+    page = F.concat(F.lit("C"), F.col("o_custkey"))
+    fact = lambda kept, v: o.where(kept).select(page.alias("page"), F.col("o_orderkey").cast("string").alias("species"), v.alias("value"))
+    old = fact("o_orderkey % 5 <> 0", F.col("o_orderstatus"))
+    new = fact("o_orderkey % 7 <> 0", F.when(F.col("o_orderkey") % 11 == 0, F.lit("X")).otherwise(F.col("o_orderstatus")))
+    pages = o.select(page.alias("page"), "o_custkey").distinct()
+    old = old.union(pages.where("o_custkey % 3 = 0").select("page", F.lit(None).cast("string"), F.lit("a")))
+    new = new.union(pages.select("page", F.lit(None).cast("string"), F.lit("a")))
+    tombstones = o.where("o_orderkey % 10 = 0").select(F.concat_ws(" ", page, "o_orderkey").alias("name"))
+    return old, new, tombstones
+
+
+_DIFF_SQL = """WITH o AS (SELECT 'C' || o_custkey AS page, o_orderkey::VARCHAR AS species, o_orderkey AS k, o_orderstatus AS v FROM orders),
+    tomb AS (SELECT page || ' ' || species AS name, page FROM o WHERE k % 10 = 0),
+    old AS (SELECT page, species, v FROM o WHERE k % 5 <> 0 UNION ALL SELECT DISTINCT 'C' || o_custkey, NULL, 'a' FROM orders WHERE o_custkey % 3 = 0),
+    new AS (SELECT page, species, CASE WHEN k % 11 = 0 THEN 'X' ELSE v END AS v FROM o WHERE k % 7 <> 0 UNION ALL SELECT DISTINCT 'C' || o_custkey, NULL, 'a' FROM orders),
+    diff AS (SELECT coalesce(n.page, p.page) AS page, CASE WHEN n.page IS NULL THEN p.species ELSE n.species END AS species, CASE WHEN n.page IS NULL THEN 'LOST' WHEN p.page IS NOT NULL THEN CASE WHEN p.v = n.v THEN 'OK' ELSE 'UPDATED' END
+        WHEN n.species IS NOT NULL AND n.page || ' ' || n.species IN (SELECT name FROM tomb) THEN 'RESURRECTED' WHEN n.species IS NULL AND n.page IN (SELECT page FROM tomb) THEN 'RESURRECTED' ELSE 'NEW' END AS change
+        FROM new n FULL JOIN old p ON n.page = p.page AND coalesce(n.species, '') = coalesce(p.species, ''))"""
+
+
+@query("snapshot_diff", _DIFF_SQL + " SELECT page, species, change FROM diff")
+def _(spark, d):
+    return audit.snapshot_diff(*_snapshots(spark, d), first_run=False)
+
+
+@query("snapshot_lost", _DIFF_SQL + " SELECT page, species FROM diff WHERE change = 'LOST'")
+def _(spark, d):
+    return audit.snapshot_diff(*_snapshots(spark, d), first_run=False).where("change = 'LOST'").select("page", "species")
+
+
+@query("tombstones_next", _DIFF_SQL + " SELECT name FROM tomb WHERE name NOT IN (SELECT page || ' ' || species FROM diff WHERE change = 'RESURRECTED' AND species IS NOT NULL) UNION SELECT page || ' ' || species FROM diff WHERE change = 'LOST' AND species IS NOT NULL")
+def _(spark, d):
+    old, new, buried = _snapshots(spark, d)
+    return audit.next_tombstones(audit.snapshot_diff(old, new, buried, first_run=False), buried)
+
+
+@query("history_counts", _DIFF_SQL + " SELECT change, count(*) AS n FROM diff WHERE change NOT IN ('OK', 'INIT') GROUP BY change")
+def _(spark, d):
+    return audit.history(audit.snapshot_diff(*_snapshots(spark, d), first_run=False))
+
+
+@query("prefix_exists", "SELECT DISTINCT p_partkey FROM part JOIN (SELECT DISTINCT lower(string_split(p_name, ' ')[1]) AS w FROM part WHERE p_size = 1) ON starts_with(lower(p_name), w || ' ')")
+def _(spark, d):
+    part = _t(spark, d, "part")
+    first = F.lower(F.substring_index("p_name", " ", 1))
+    words = part.where("p_size = 1").select(first.alias("w")).distinct()
+    return part.where(F.col("p_name").contains(" ")).join(words, first == F.col("w"), "left_semi").select("p_partkey")
+
+
+# --- hierarchy
+
+
+def _lineages(spark: SparkSession, d: str) -> DataFrame:
+    s = _t(spark, d, "supplier").join(_t(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).join(_t(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    return s.select(F.col("s_name").alias("source"), F.col("s_suppkey").alias("pos"), F.array("r_name", "n_name", "s_name").alias("lineage"))
+
+
+_LINEAGE_SQL = "WITH l AS (SELECT s_name, s_suppkey, r_name, n_name FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"
+_PATH_SQL = """, p AS (SELECT r_name AS node, arg_min(s_name, s_suppkey) AS source, '||' || r_name || '|' AS path FROM l GROUP BY r_name UNION ALL
+    SELECT n_name, arg_min(s_name, s_suppkey), '|' || any_value(r_name) || '|' || n_name || '|' FROM l GROUP BY n_name UNION ALL SELECT s_name, s_name, '|' || r_name || '|' || n_name || '|' || s_name || '|' FROM l)"""
+
+
+@query("path_materialize", _LINEAGE_SQL + _PATH_SQL + " SELECT node, path FROM p")
+def _(spark, d):
+    return hierarchy.prefixes(_lineages(spark, d)).select("node", hierarchy.render(F.col("path"), F.col("node")).alias("path"))
+
+
+@query("path_prefix_first_wins", _LINEAGE_SQL + _PATH_SQL + " SELECT node, source FROM p")
+def _(spark, d):
+    return hierarchy.prefixes(_lineages(spark, d)).select("node", "source")
+
+
+@query("clade_containment", _LINEAGE_SQL + _PATH_SQL + " SELECT node FROM p WHERE contains(path, '|ASIA|')")
+def _(spark, d):
+    paths = hierarchy.prefixes(_lineages(spark, d)).withColumn("p", hierarchy.render(F.col("path"), F.col("node")))
+    return paths.where(hierarchy.contains(F.col("p"), "ASIA")).select("node")
+
+
+# --- order, catalogue
+
+
+@query(
+    "scientific_sort",
+    """SELECT row_number() OVER (ORDER BY lower(p_brand), CASE WHEN p_size % 2 = 0 THEN 0 ELSE 1 END, coalesce(CASE WHEN p_partkey % 3 > 0 THEN 1800 + p_size END, 9999), lower(p_name), p_partkey) AS id,
+    p_brand AS genus, p_name AS species, p_size % 2 = 0 AS is_type, CASE WHEN p_partkey % 3 > 0 THEN CAST(1800 + p_size AS INTEGER) END AS year, p_type AS age_ma FROM part""",
+)
+def _(spark, d):
+    p = F.col("p_partkey")
+    rows = _t(spark, d, "part").select(p.alias("pos"), F.col("p_brand").alias("genus"), F.col("p_name").alias("species"), (F.col("p_size") % 2 == 0).alias("is_type"), F.when(p % 3 > 0, (F.col("p_size") + 1800).cast("string")).otherwise("-").alias("year"), F.col("p_type").alias("age"), *(F.lit("-").alias(c) for c in ("status", "clade", "stage", "author")))
+    return ordering.species_table(rows).select("id", "genus", "species", "is_type", "year", "age_ma")
+
+
+@query("catalog_order_query", "SELECT p_brand AS genus, p_name AS species, row_number() OVER (ORDER BY nullif(p_brand, 'Brand#11') NULLS FIRST, p_name NULLS FIRST, p_partkey) AS rank FROM part WHERE p_brand IN ('Brand#11', 'Brand#12', 'Brand#21')")
+def _(spark, d):
+    part = _t(spark, d, "part").where(F.col("p_brand").isin("Brand#11", "Brand#12", "Brand#21"))
+    w = Window.orderBy(F.nullif(F.col("p_brand"), F.lit("Brand#11")).asc_nulls_first(), F.col("p_name").asc_nulls_first(), "p_partkey")
+    return part.select(F.col("p_brand").alias("genus"), F.col("p_name").alias("species"), F.row_number().over(w).cast("long").alias("rank"))
+
+
+_TEMPLATE = "{genus|} {species|}\n{m_status|free} {user|} {skeletal|none}\nnotes:{notes|}"
+
+
+@query("template_defaults", "SELECT 'C' || c_custkey AS genus, CASE WHEN c_name IN ('', '-') THEN '' ELSE c_name END AS species, CASE WHEN c_custkey % 3 = 0 THEN 'free' ELSE c_mktsegment END AS m_status, '' AS \"user\", CASE WHEN c_custkey % 2 = 0 THEN 'none' ELSE 'done' END AS skeletal, 'skeletal' AS stage, 'False' AS is_approved, '' AS s_author FROM customer")
+def _(spark, d):
+    c = F.col("c_custkey")
+    rows = _t(spark, d, "customer").select(F.concat(F.lit("C"), c).alias("genus"), F.col("c_name").alias("species"), F.when(c % 3 == 0, "-").otherwise(F.col("c_mktsegment")).alias("m_status"), F.when(c % 2 == 0, None).otherwise("done").alias("skeletal"), F.lit(1).alias("gone"))
+    return catalog.fill_defaults(rows, catalog.parse_template(_TEMPLATE))
+
+
+def _names(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    c = _t(spark, d, "customer").select("c_custkey", F.concat(F.lit("G"), F.col("c_custkey") % 50).alias("genus"), F.concat(F.lit("s"), "c_custkey").alias("species"))
+    entries = c.where("c_custkey % 3 = 0")
+    moves = c.where("c_custkey % 2 = 0").select(F.col("c_custkey").alias("pos"), F.concat_ws(" ", "genus", "species").alias("old_name"), F.concat(F.lit("g"), (F.col("c_custkey") + 1) % 50).alias("new_genus"))
+    return c, entries, moves
+
+
+_NAMES_SQL = """WITH c AS (SELECT c_custkey AS k, 'G' || c_custkey % 50 AS genus, 's' || c_custkey AS species FROM customer),
+    e AS (SELECT lower(genus || ' ' || species) AS n FROM c WHERE k % 3 = 0), m AS (SELECT k AS pos, lower(genus || ' ' || species) AS old, 'g' || (k + 1) % 50 AS too FROM c WHERE k % 2 = 0)"""
+
+
+@query("fallback_lookup", _NAMES_SQL + ", f AS (SELECT too, arg_min(old, pos) AS old FROM m WHERE old IN (SELECT n FROM e) GROUP BY too) SELECT k AS c_custkey, coalesce(e.n, f.old) AS entry FROM c LEFT JOIN e ON lower(c.genus || ' ' || c.species) = e.n LEFT JOIN f ON lower(c.genus) = f.too")
+def _(spark, d):
+    return catalog.find_entries(*_names(spark, d)).select("c_custkey", "entry")
+
+
+def _folders(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    p = _t(spark, d, "part").select("p_partkey", F.concat(F.lit("G"), F.col("p_partkey") % 20).alias("genus"), F.concat(F.lit("s"), "p_partkey").alias("species"))
+    names = lambda c: p.where(c).select("genus", "species")
+    old = F.concat(F.lit("H"), F.col("p_partkey") % 20)
+    moved = p.where("p_partkey % 5 in (2, 3)").select(old.alias("genus"), "species")
+    root = names("p_partkey % 5 = 0").union(moved).union(p.where("p_partkey % 9 = 0").select(F.lit("Z"), "species"))
+    moves = p.where("p_partkey % 5 = 2").select(F.col("p_partkey").alias("pos"), F.concat_ws(" ", old, "species").alias("old_name"), F.col("genus").alias("new_genus"))
+    return names("true"), root, names("p_partkey % 5 = 1"), moves
+
+
+_FOLDERS_SQL = """WITH p AS (SELECT p_partkey AS k, 'G' || p_partkey % 20 AS genus, 's' || p_partkey AS species, 'H' || p_partkey % 20 AS old FROM part),
+    plan AS (SELECT genus, species, CASE k % 5 WHEN 0 THEN 'OK' WHEN 1 THEN 'RESURRECT' WHEN 2 THEN 'MIGRATE' ELSE 'CREATE' END AS action, CASE WHEN k % 5 = 2 THEN lower(old || ' ' || species) END AS source FROM p)"""
+
+
+@query("reconcile_plan", _FOLDERS_SQL + " SELECT * FROM plan")
+def _(spark, d):
+    return reconcile.reconcile_plan(*_folders(spark, d))
+
+
+@query("archive_plan", _FOLDERS_SQL + " SELECT old AS genus, species FROM p WHERE k % 5 = 3 UNION ALL SELECT 'Z', species FROM p WHERE k % 9 = 0")
+def _(spark, d):
+    wanted, root, archive, moves = _folders(spark, d)
+    return reconcile.archive_plan(wanted, root, reconcile.reconcile_plan(wanted, root, archive, moves))
+
+
+def _work(spark: SparkSession, d: str) -> DataFrame:
+    o = F.col("o_orderkey")
+    pick = lambda n, xs: F.element_at(F.array(*map(F.lit, xs)), (n % len(xs) + 1).cast("int"))
+    return _t(spark, d, "orders").select("o_orderkey", F.concat(F.lit("G"), F.col("o_custkey") % 9).alias("genus"), F.concat(F.lit("s"), o).alias("species"), pick(o, catalog.STATUSES).alias("m_status"), pick(F.floor(o / 5), catalog.STAGES[:4]).alias("stage"), pick(F.floor(o / 20), ("ann", "bob")).alias("user"), pick(F.floor(o / 40), ("", "cy")).alias("s_author"), pick(F.floor(o / 80), ("claim", "submit", "approve", "reject", "release")).alias("action"))
+
+
+_WORK_SQL = """WITH w AS (SELECT o_orderkey, 'G' || o_custkey % 9 AS genus, 's' || o_orderkey AS species, ['free', 'busy', 'review', 'finished', 'needs_fix'][o_orderkey % 5 + 1] AS m_status, ['skeletal', 'mesh', 'texture', 'rig'][o_orderkey // 5 % 4 + 1] AS stage,
+    ['ann', 'bob'][o_orderkey // 20 % 2 + 1] AS u, ['', 'cy'][o_orderkey // 40 % 2 + 1] AS s_author, ['claim', 'submit', 'approve', 'reject', 'release'][o_orderkey // 80 % 5 + 1] AS action FROM orders)"""
+
+
+@query("catalog_filter", _WORK_SQL + " SELECT o_orderkey FROM w WHERE m_status = 'review' AND stage = 'mesh'")
+def _(spark, d):
+    return catalog.query(_work(spark, d), "all review mesh").select("o_orderkey")
+
+
+@query("catalog_lookup", _WORK_SQL + " SELECT o_orderkey, genus FROM w WHERE genus = 'G4'")
+def _(spark, d):
+    return catalog.query(_work(spark, d), "g4").select("o_orderkey", "genus")
+
+
+@query(
+    "workflow_transition",
+    _WORK_SQL + """ SELECT o_orderkey, CASE WHEN action = 'claim' AND m_status IN ('free', 'needs_fix') THEN 'busy' WHEN action = 'submit' AND m_status = 'busy' AND u = 'ann' THEN 'review' WHEN action = 'approve' AND m_status = 'review' THEN CASE stage WHEN 'rig' THEN 'finished' ELSE 'free' END
+    WHEN action = 'reject' AND m_status = 'review' THEN 'needs_fix' WHEN action = 'release' AND m_status = 'busy' AND u = 'ann' THEN CASE s_author WHEN '' THEN 'free' ELSE 'needs_fix' END ELSE m_status END AS m_status,
+    CASE WHEN action = 'claim' AND m_status IN ('free', 'needs_fix') THEN 'ann' WHEN action = 'approve' AND m_status = 'review' THEN '' WHEN action = 'release' AND m_status = 'busy' AND u = 'ann' THEN s_author ELSE u END AS "user",
+    CASE WHEN action = 'submit' AND m_status = 'busy' AND u = 'ann' THEN 'ann' WHEN action = 'approve' AND m_status = 'review' THEN '' ELSE s_author END AS s_author,
+    CASE WHEN action = 'approve' AND m_status = 'review' THEN CASE stage WHEN 'skeletal' THEN 'mesh' WHEN 'mesh' THEN 'texture' WHEN 'texture' THEN 'rig' ELSE 'finished' END ELSE stage END AS stage FROM w""",
+)
+def _(spark, d):
+    return _work(spark, d).withColumns(catalog.transition(F.col("action"), F.lit("ann"), F.lit(True))).select("o_orderkey", "m_status", "user", "s_author", "stage")
+
+
+@query("union_sections", "SELECT event_id, 0 AS section, event_type FROM events WHERE event_type = 'signup' UNION ALL SELECT event_id, 1, 'stub' FROM events WHERE event_type = 'error'")
+def _(spark, d):
+    e = _t(spark, d, "events")
+    main = e.where("event_type = 'signup'").select("event_id", F.lit(0).alias("section"), "event_type")
+    stub = e.where("event_type = 'error'").select("event_id", F.lit(1).alias("section"))
+    return main.unionByName(stub, allowMissingColumns=True).fillna("stub", ["event_type"])
+
+
+# --- scalars
+
+
+@query("year_parse", "SELECT p_partkey, CAST(p_size + 1800 AS INTEGER) AS year FROM part WHERE p_partkey % 4 <> 0 UNION ALL SELECT p_partkey, NULL FROM part WHERE p_partkey % 4 = 0")
+def _(spark, d):
+    raw = F.when(F.col("p_partkey") % 4 == 0, "-").otherwise(F.concat(F.col("p_size") + 1800, F.lit("a")))
+    return _t(spark, d, "part").select("p_partkey", text.parse_year(raw).alias("year"))
+
+
+@query("sentinel_cast", "SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE p_size / 4.0::DOUBLE END AS v FROM part")
+def _(spark, d):
+    raw = F.when(F.col("p_partkey") % 3 == 0, "-").otherwise((F.col("p_size") / 4).cast("string"))
+    return _t(spark, d, "part").select("p_partkey", text.parse_double(raw).alias("v"))
+
+
+_AGE = "'Temporal range: Late ' || CASE p_partkey % 3 WHEN 0 THEN 'Campanian to Maastrichtian, ' WHEN 1 THEN 'Jurassic, ' ELSE 'Aptian, ' END || p_size || '.5' || CASE p_partkey % 2 WHEN 0 THEN ' to ' || (p_size - 1) ELSE '' END || ' Ma ±' || p_size % 3 || '.25'"
+
+
+@query("number_extract", f"SELECT p_partkey, CAST(regexp_extract(t, '(\\d+\\.?\\d*)', 1) AS DOUBLE) AS first, CAST(regexp_extract(t, '±\\s*(\\d+\\.?\\d*)', 1) AS DOUBLE) AS error FROM (SELECT p_partkey, {_AGE} AS t FROM part)")
+def _(spark, d):
+    t = F.expr(_AGE)
+    return _t(spark, d, "part").select("p_partkey", text.first_number(t).alias("first"), text.uncertainty(t).alias("error"))
+
+
+@query("age_range_parse", "SELECT p_partkey, p_size || '.5' || CASE p_partkey % 2 WHEN 0 THEN '–' || (p_size - 1) ELSE '' END AS age FROM part")
+def _(spark, d):
+    return _t(spark, d, "part").select("p_partkey", text.age_range(F.expr(_AGE)).alias("age"))
+
+
+@query("stage_regex", "SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'Campanian-Maastrichtian' WHEN 1 THEN 'Late Jurassic' ELSE 'Aptian' END AS stage FROM part")
+def _(spark, d):
+    return _t(spark, d, "part").select("p_partkey", text.stage_range(F.expr(_AGE)).alias("stage"))
+
+
+@query("first_dash_split", "SELECT doc_id, CASE WHEN regexp_matches(text, '[-–—]') THEN trim(regexp_extract(text, '[-–—]([\\s\\S]*)$', 1)) ELSE '-' END AS rest FROM documents")
+def _(spark, d):
+    return _t(spark, d, "documents").select("doc_id", text.after_dash(F.col("text")).alias("rest"))
+
+
+@query("tag_strip", "SELECT page_id, trim(regexp_replace(regexp_replace(html, '<[^>]*>', '', 'g'), '\\[\\d+\\]', '', 'g')) AS plain FROM pages")
+def _(spark, d):
+    return _t(spark, d, "pages").select("page_id", text.strip_tags(F.col("html")).alias("plain"))
+
+
+_BLOCKS_SQL = "WITH b AS (SELECT page_id, unnest(string_split(html, '<li>')) AS block, generate_subscripts(string_split(html, '<li>'), 1) - 1 AS i FROM pages)"
+
+
+def _blocks(spark: SparkSession, d: str) -> DataFrame:
+    return _t(spark, d, "pages").select("page_id", F.posexplode(F.split("html", "<li>")).alias("i", "block")).where(F.trim("block") != "")
+
+
+@query("li_blocks", _BLOCKS_SQL + " SELECT page_id, CAST(i AS INTEGER) AS i, string_split(regexp_replace(block, '</li>|</ul|<figure|<ul|<h|<div|<p', chr(1), 'gi'), chr(1))[1] AS head FROM b WHERE trim(block) <> ''")
+def _(spark, d):
+    return _blocks(spark, d).select("page_id", "i", text.block_head(F.col("block")).alias("head"))
+
+
+@query("name_pattern", _BLOCKS_SQL + """ SELECT page_id, CAST(i AS INTEGER) AS i, nullif(regexp_extract(block, '(?:<i>|")(?:<a[^>]*>)?([A-Z][a-z]+)', 1), '') AS name FROM b WHERE trim(block) <> ''""")
+def _(spark, d):
+    return _blocks(spark, d).select("page_id", "i", text.first_name(F.col("block")).alias("name"))
+
+
+@query("page_slice", "SELECT page_id, CASE WHEN a > 0 AND b > 0 THEN CASE WHEN b > a THEN substr(html, a, b - a) ELSE '' END ELSE html END AS part FROM (SELECT page_id, html, instr(html, '<article') AS a, instr(html, '</article') AS b FROM pages)")
+def _(spark, d):
+    return _t(spark, d, "pages").select("page_id", text.slice_page(F.col("html"), "<article", "</article").alias("part"))
+
+
+@query("whitespace_collapse", "SELECT doc_id, trim(regexp_replace(text, '[ \\t\\n\\r]+', ' ', 'g')) AS text FROM documents")
+def _(spark, d):
+    return _t(spark, d, "documents").select("doc_id", text.collapse_space(F.col("text")).alias("text"))
+
+
+@query("geo_name_clean", "SELECT * FROM (VALUES ('Upper/Late', 'Late'), ('Lower/Early', 'Early'), ('Foo (formerly Bar)', 'Foo'), ('\"Baz\"', 'Baz'), ('A / B', 'B'), ('-', '-')) t(raw, name)")
+def _(spark, d):
+    rows = _rows(spark, "raw string", ("Upper/Late",), ("Lower/Early",), ("Foo (formerly Bar)",), ('"Baz"',), ("A / B",), ("-",))
+    return rows.select("raw", text.clean_geo_name(F.col("raw")).alias("name"))
+
+
+@query("hierarchy_blank", "SELECT * FROM (VALUES ('Y', '-', 'X', '-'), ('E', 'P', '-', 'S'), ('E', 'P', 'Q', '-')) t(era, period, epoch, stage)")
+def _(spark, d):
+    rows = _rows(spark, "era string, period string, epoch string, stage string", ("Y", "Y", "X", "X"), ("E", "P", "p", "S"), ("E", "P", "Q", "q"))
+    return rows.withColumns(text.blank_hierarchy(*(F.col(c) for c in ("era", "period", "epoch", "stage"))))
+
+
+@query("clean_name_predicate", "SELECT * FROM (VALUES ('Campanian', true), ('Large climate shift', false), ('a b c d e f', false), ('-', false), ('', false)) t(raw, ok)")
+def _(spark, d):
+    rows = _rows(spark, "raw string", ("Campanian",), ("Large climate shift",), ("a b c d e f",), ("-",), ("",))
+    return rows.select("raw", text.is_clean_name(F.col("raw")).alias("ok"))
+
+
+@query("json_facts", "SELECT event_id, e.key AS key, e.value AS value FROM (SELECT event_id, unnest(map_entries(from_json(props, '\"MAP(VARCHAR, VARCHAR)\"'))) AS e FROM events)")
+def _(spark, d):
+    facts = _t(spark, d, "events").select("event_id", F.posexplode(F.map_entries(F.from_json("props", "map<string,string>"))).alias("pos", "e"))
+    return facts.select("event_id", "e.key", "e.value")
+
+
+@query("positional_next_row", "SELECT conv_id, turn, lead(text) OVER (PARTITION BY conv_id ORDER BY turn, role) AS answer FROM conversations QUALIFY role = 'user'")
+def _(spark, d):
+    w = Window.partitionBy("conv_id").orderBy("turn", "role")
+    return _t(spark, d, "conversations").withColumn("answer", F.lead("text").over(w)).where("role = 'user'").select("conv_id", "turn", "answer")
+
+
+@query("bytes_total", "SELECT CAST(sum(octet_length(encode(html))) AS BIGINT) AS bytes, count(*) AS pages FROM pages")
+def _(spark, d):
+    return _t(spark, d, "pages").agg(F.sum(F.octet_length("html")).alias("bytes"), F.count("*").alias("pages"))
+
+
+# --- HTML
+
+
+@query("html_title")
+def _(spark, d):
+    return _t(spark, d, "pages").select("page_id", html.title_udf("html").alias("title"))
+
+
+@query("html_list_items", "SELECT page_id, CAST(i AS INTEGER) AS i, regexp_extract(block, '>([^<]*)</a>', 1) AS item FROM (SELECT page_id, unnest(string_split(n, '<li>')[2:]) AS block, generate_subscripts(string_split(n, '<li>')[2:], 1) - 1 AS i FROM (SELECT page_id, regexp_extract(html, '<nav>.*</nav>') AS n FROM pages))")
+def _(spark, d):
+    pages = _t(spark, d, "pages").select("page_id", F.regexp_extract("html", "<nav>.*</nav>", 0).alias("nav"))
+    return pages.select("page_id", F.posexplode(html.list_items_udf("nav")).alias("i", "item"))
+
+
+@query("table_grid", "SELECT * FROM (VALUES (0, 'A,B,B'), (1, 'A,C,D')) t(r, cells)")
+def _(spark, d):
+    rows = _rows(spark, "h string", ("<table><tr><th>Start</th><th>Eon</th></tr><tr><td rowspan=2>A<sup>1</sup></td><td colspan=2>B</td></tr><tr><td>C</td><td>D</td></tr></table>",))
+    return rows.select(F.posexplode(html.table_grid_udf("h")).alias("r", "g")).select("r", F.array_join("g", ",").alias("cells"))
+
+
+_ARTICLE = """<table class="infobox biota"><tr><td colspan=2><div>Temporal range: Late Campanian to Maastrichtian, 80.5 to 72 Ma</div></td></tr><tr><td>Clade:</td><td>Exampleformes</td></tr>
+<tr><td>Genus:</td><td>†<i>Exemplar</i> <small>Doe &amp; Roe, 1999</small></td></tr><tr><th colspan=2>Type species</th></tr><tr><td>†<i>Exemplar primus</i></td></tr>
+<tr><th>Other species</th></tr><tr><td><ul><li><i>E. secundus</i> <small>Poe, 2001</small>?</li><li>"E. tertius" Coe, 2003</li></ul></td></tr>
+<tr><th>Synonyms</th></tr><tr><td><ul><li><i>Prior nomen</i></li><li><i>Prior exemplum</i> <small>Loe, 1950</small><ul><li><i>Not this</i> Joe, 1900</li></ul></li><li>Possible <i>Late nomenclum</i> Moe, 1951</li></ul></td></tr></table>"""
+
+
+def _article(spark: SparkSession) -> DataFrame:
+    return _rows(spark, "h string", (_ARTICLE,)).select(html.article_udf("h").alias("a"))
+
+
+@query("infobox_species", "SELECT * FROM (VALUES ('Exemplar', 'primus', 'valid', true, 'Doe & Roe', '1999'), ('Exemplar', 'secundus', 'dubious', false, 'Poe', '2001'), ('Exemplar', 'tertius', 'nudum', false, 'Coe', '2003')) t(genus, species, status, is_type, author, year)")
+def _(spark, d):
+    return _article(spark).select(F.explode("a.records").alias("r")).select("r.*").where("section = 0").drop("section")
+
+
+@query("synonyms", "SELECT * FROM (VALUES ('Prior', 'exemplum', 'synonym', 'Loe', '1950'), ('Not', 'this', 'synonym', 'Joe', '1900'), ('Late', 'nomenclum', 'possible synonym', 'Possible Moe', '1951')) t(genus, species, status, author, year)")
+def _(spark, d):
+    return _article(spark).select(F.explode("a.records").alias("r")).select("r.*").where("section = 1").drop("section", "is_type")
+
+
+@query("infobox_classification", "SELECT 'Exemplar' AS genus, 'Exampleformes' AS clade, '80.5–72' AS age, 'Campanian-Maastrichtian' AS stage")
+def _(spark, d):
+    a = _article(spark).withColumn("t", text.certain_part(F.col("a.range_text")))
+    return a.select("a.genus", "a.clade", text.age_range(F.col("t")).alias("age"), text.stage_range(F.col("t")).alias("stage"))
+
+
+@query("author_clean", "SELECT * FROM (VALUES ('Rich & Rich,', 'Rich & Rich'), ('Paul, Paul', 'Paul'), ('Osborn et al.', 'Osborn et al.'), ('Smith emend. Jones', 'Jones'), ('Hofmann', 'Hmann'), (NULL, '-')) t(raw, author)")
+def _(spark, d):
+    rows = _rows(spark, "raw string", ("Rich & Rich,",), ("Paul, Paul",), ("Osborn et al.",), ("Smith emend. Jones",), ("Hofmann",), (None,))
+    none = F.lit(None).cast("string")
+    return rows.select("raw", clean_author_udf("raw", none, none).alias("author"))
