@@ -4,17 +4,17 @@ A document's tokens are the distinct hashes of its five-word shingles. Documents
 work is on classes. Tokens have one global order (uncommon before common, then by hash); a class's probe is its first
 n - ceil(t n) + 1 tokens, so two classes with Jaccard t or more share a probe token.
 
-1. Similar classes are put into groups: a class is compared with the class that leads most of its probe tokens' lists, and
-   those that link are joined.
+1. Similar classes are partitioned into groups: a class goes with the class that leads most of its probe tokens' lists, and
+   so on up to a root; large groups are dealt into blocks of bounded size.
 2. The matrix holds each group's union of probe tokens, as (token, group) rows. A class (the query) meets the groups that
-   hold its tokens; what they share, plus what can lie beyond the probes, bounds the overlap, and only groups
-   whose bound reaches the threshold are opened. In an open group the same bound, member by member, leaves the pairs
-   that are compared exactly.
-3. Links between classes of different groups join them. Links inside a group can't change components, so none is lost.
+   hold its tokens; what they share in a fixed share of the order, plus what can lie outside it, bounds the overlap, and only
+   groups whose bound reaches the threshold are opened.
+3. In an open group the query is compared exactly with the members of fitting size, and members with each other, except
+   where they are connected already: that can't change components, so no link that matters is lost.
 
 Which tokens are common is estimated by counting all shingles of all documents in a table of fixed size; the estimate only
 shapes the order, never the result. A copied document is one class, a common passage comes last in the order, a family of
-near copies is one group, and common tokens' lists are dealt by salt: no step lists or pairs what a token holds.
+near copies is a few groups, and common tokens' lists are dealt by salt: no step lists or pairs what a token holds.
 Sets are compared by 64-bit hashes of their shingles.
 
 Defined cases: a null or empty text, or one without words, has no shingles, links with nothing, and is its own component; of
@@ -25,6 +25,7 @@ no other; extra columns are ignored.
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -50,6 +51,10 @@ SALTS = 16
 COVER = 0.23
 #: Rows of ids up to which a side is broadcast (16 bytes each); larger ones are shuffled.
 BROADCAST_ROWS = 500_000
+#: A group holds at most so many sets and (expected) tokens, and is opened to so many queries at once.
+GROUP_SETS = 512
+GROUP_TOKENS = 400_000
+GROUP_QUERIES = 1024
 MEMO = 400_000
 _COMMON = 1 << 62
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
@@ -223,40 +228,37 @@ def _needed(a: Column, b: Column, percent: int) -> Column:
     return F.ceil((a + b) * percent / (100 + percent))
 
 
-def verified(
-    docs: DataFrame, id_col: str, text_col: str, classes: DataFrame, pairs: DataFrame, words: int = WORDS, percent: int = PERCENT
-) -> DataFrame:
-    """Of pairs (a, b) of classes, those whose sets reach the threshold. Sets are made from the classes' first documents."""
-    pairs = materialize(pairs.select("a", "b"), "pairs")
-    wanted = pairs.select(F.col("a").alias("c")).union(pairs.select(F.col("b").alias("c"))).distinct()
-    wanted = materialize(wanted.join(classes.select(F.col("d1").alias("c"), F.col("rep").alias("first")), "c"), "wanted")
-    few = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
-    rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text")).join(few, F.col("__id").eqNullSafe(F.col("first"))).select("c", "text")
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in _texts(batches, 1):
-            made = [shingles(t, words) for t in texts]
-            ours = [len(s) > 0 and _digest(s)[0] == c for s, c in zip(made, part.column(0).to_pylist())]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([c for c, ok in zip(part.column(0).to_pylist(), ours) if ok], pa.int64()), pa.array([s.tobytes() for s, ok in zip(made, ours) if ok], pa.binary())],
-                names=["c", "set"],
-            )
-
-    held = materialize(rows.mapInArrow(sets, "c long, set binary").groupBy("c").agg(F.first("set").alias("set")), "sets")
-    both = pairs.join(held.select(F.col("c").alias("b"), F.col("set").alias("sb")), "b").join(held.select(F.col("c").alias("a"), F.col("set").alias("sa")), "a")
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = (np.frombuffer(z.as_buffer(), np.uint64) for z in (x, y))
-                at = np.searchsorted(x, y)
-                at[at == len(x)] = 0
-                same = int((x[at] == y).sum())
-                keep.append(100 * same >= percent * (len(x) + len(y) - same))
-            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
-
-    return materialize(both.select("a", "b", "sa", "sb").mapInArrow(compare, "a long, b long"), "links")
+def compare_group(members: dict[int, np.ndarray], queries: dict[int, np.ndarray], inside: bool, percent: int) -> list[tuple[int, int]]:
+    """Links among members (if ``inside``) and between queries and members, as a star for each of their components. Sets
+    that are connected already aren't compared."""
+    sets = members | queries
+    up = {c: c for c in sets}
+
+    def top(c: int) -> int:
+        while up[c] != c:
+            up[c] = c = up[up[c]]
+        return c
+
+    def meet(a: int, b: int) -> None:
+        i, j = top(a), top(b)
+        if i != j:
+            x, y = sets[a], sets[b]
+            at = np.searchsorted(x, y)
+            at[at == len(x)] = 0
+            same = int((x[at] == y).sum())
+            if 100 * same >= percent * (len(x) + len(y) - same):
+                up[max(i, j)] = min(i, j)
+
+    order = sorted(members, key=lambda c: (len(members[c]), c))
+    sizes = [len(members[c]) for c in order]
+    if inside:
+        for i, a in enumerate(order):
+            for b in order[i + 1 : bisect_right(sizes, sizes[i] * 100 // percent)]:
+                meet(a, b)
+    for q, s in queries.items():
+        for m in order[bisect_left(sizes, -(-len(s) * percent // 100)) : bisect_right(sizes, len(s) * 100 // percent)]:
+            meet(q, m)
+    return [(c, top(c)) for c in sets if top(c) != c]
 
 
 def class_links(
@@ -264,38 +266,53 @@ def class_links(
 ) -> DataFrame:
     """(node, label): the smallest class that a class is connected to, of those that link with any other."""
     rows = materialize(matrix_rows(docs, text_col, common, words, percent), "matrix")
-    # groups: every class and the leader of most of its tokens
+    # groups: every class goes with the leader of most of its tokens, and so on up; large groups are dealt into blocks
     led = rows.where((F.col("c") != F.col("h")) & _fits(F.col("n"), F.col("hn"), percent)).groupBy("c", "h").agg(F.count("*").alias("k"), F.first("n").alias("n"))
     led = led.where(F.col("k") * 20 >= F.col("n")).groupBy("c").agg(F.max_by("h", F.struct("k", "h")).alias("h"))
-    near = verified(docs, id_col, text_col, classes, led.select(F.col("c").alias("a"), F.col("h").alias("b")), words, percent)
-    groups = forest_labels(near)
-    own = rows.select("t", "c", "n", "r").join(groups.withColumnRenamed("node", "c"), "c", "left")
-    own = materialize(own.select("t", "c", "n", "r", F.coalesce("label", "c").alias("g")), "grouped")
-    # what an overlap may have outside the covered share
-    rest = F.col("n") - F.col("r")
+    tree = forest_labels(led.select(F.col("c").alias("a"), F.col("h").alias("b"))).select(F.col("node").alias("c"), F.col("label").alias("root"))
+    members = rows.groupBy("c").agg(F.first("n").alias("n")).join(tree, "c", "left").withColumn("root", F.coalesce("root", "c"))
+    members = materialize(members, "members")
+    sizes = members.groupBy("root").agg(F.count("*").alias("size"), F.greatest(F.ceil(F.count("*") / GROUP_SETS), F.ceil(F.sum("n") / GROUP_TOKENS)).alias("blocks")).where("size > 1")
+    block = F.when(F.col("blocks") > 1, F.xxhash64("root", F.pmod(F.xxhash64("c"), F.col("blocks")))).otherwise(F.col("root"))
+    members = materialize(members.join(sizes, "root", "left").select("c", block.alias("g"), F.col("size").isNotNull().alias("many")), "members")
+    own = materialize(rows.select("t", "c", "n", "r").join(members.select("c", "g"), "c"), "grouped")
+    # the matrix; queries against groups: of two groups the one with the larger label asks
+    rest = F.col("n") - F.col("r")  # what an overlap may have outside the covered share
     matrix = own.groupBy("t", "g").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.max(rest).alias("far"))
-    # queries against groups; of two groups the one with the larger label asks
     met = (F.col("og") < F.col("g")) & (F.col("hi") * 100 >= F.col("n") * percent) & (F.col("n") * 100 >= F.col("lo") * percent)
     shared = own.join(matrix.withColumnRenamed("g", "og"), "t").where(met)
     shared = shared.groupBy("c", "og").agg(F.count("*").alias("k"), F.min("lo").alias("lo"), F.max("far").alias("far"), F.first("n").alias("n"), F.first("r").alias("r"))
     low = F.greatest("lo", F.ceil(F.col("n") * percent / 100))
     qualifies = _needed(F.col("n"), low, percent) <= F.col("k") + F.least(rest, F.col("far"))
-    opened = materialize(shared.where(qualifies).select("c", "og"), "opened")
-    # members of open groups, by the same bound
-    asked = own.select("t", "c", "n", "r").join(opened, "c")
-    members = own.select("t", F.col("c").alias("m"), F.col("n").alias("mn"), F.col("r").alias("mr"), F.col("g").alias("og"))
-    pairs = asked.join(members, ["t", "og"]).where(_fits(F.col("n"), F.col("mn"), percent))
-    pairs = pairs.groupBy("c", "m").agg(F.count("*").alias("k"), *(F.first(x).alias(x) for x in ("n", "r", "mn", "mr")))
-    likely = _needed(F.col("n"), F.col("mn"), percent) <= F.col("k") + F.least(rest, F.col("mn") - F.col("mr"))
-    across = verified(docs, id_col, text_col, classes, pairs.where(likely).select(F.col("c").alias("a"), F.col("m").alias("b")), words, percent)
-    if across.isEmpty():
-        return groups
-    # the groups that such links join, as a graph of its own
-    for end in ("a", "b"):
-        across = across.join(groups.select(F.col("node").alias(end), F.col("label").alias(f"l{end}")), end, "left")
-    joined = components(across.select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b")))
-    moved = groups.join(joined.select(F.col("node").alias("label"), F.col("label").alias("to")), "label", "left")
-    return moved.select("node", F.coalesce("to", "label").alias("label")).union(joined.select("node", "label"))
+    opened = materialize(shared.where(qualifies).select("c", F.col("og").alias("g")), "opened")
+    # open groups: members, and queries in parts of bounded size, to each of which the members go
+    parts = opened.groupBy("g").agg(F.ceil(F.count("*") / GROUP_QUERIES).cast("int").alias("parts"))
+    asking = opened.join(parts, "g").select("c", "g", F.pmod(F.xxhash64("c"), F.col("parts")).cast("int").alias("part"), F.lit(True).alias("asks"))
+    asked = members.join(parts, "g", "left").where(F.col("many") | F.col("parts").isNotNull())
+    asked = asked.select("c", "g", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("part"), F.lit(False).alias("asks"))
+    todo = materialize(asking.union(asked), "todo")
+    wanted = todo.select("c").distinct().join(classes.select(F.col("d1").alias("c"), F.col("rep").alias("first")), "c")
+    wanted = materialize(wanted, "wanted")
+    small = todo.count() <= BROADCAST_ROWS
+    near = F.broadcast if small else lambda df: df
+    held = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text")).join(near(wanted), F.col("__id").eqNullSafe(F.col("first"))).select("c", "text")
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in _texts(batches, 1):
+            made = [shingles(t, words) for t in texts]
+            # rows that share the id of a class's first document may be of other classes
+            pick = [(c, s.tobytes()) for s, c in zip(made, part.column(0).to_pylist()) if len(s) and _digest(s)[0] == c]
+            yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in pick], pa.int64()), pa.array([s for _, s in pick], pa.binary())], names=["c", "set"])
+
+    def compare(key: tuple, rows: pa.Table) -> pa.Table:
+        found: tuple[dict, dict] = {}, {}
+        for c, asks, data in zip(rows["c"].to_pylist(), rows["asks"].to_pylist(), rows["set"]):
+            found[asks][c] = np.frombuffer(data.as_buffer(), np.uint64)
+        links = compare_group(*found, inside=key[1].as_py() == 0, percent=percent)
+        return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
+
+    work = held.mapInArrow(sets, "c long, set binary").join(near(todo), "c")
+    return components(work.groupBy("g", "part").applyInArrow(compare, "a long, b long"))
 
 
 def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
