@@ -79,7 +79,7 @@ def read_info(spark: SparkSession, path: str) -> DataFrame:
     files = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("path"), F.split("value", "notes:", 2).alias("parts"))
     line = files.select("path", F.explode(F.split(F.get("parts", 0), "\n")).alias("line")).where(F.col("line").contains(":"))
     pairs = line.select("path", F.trim(F.substring_index("line", ":", 1)).alias("key"), F.trim(F.regexp_replace("line", r"^[^:]*:", "")).alias("value"))
-    return pairs.union(files.where(F.size("parts") > 1).select("path", F.lit("notes"), F.get("parts", 1)))
+    return pairs.union(files.where(F.size("parts") > 1).select("path", F.lit("notes"), F.rtrim(F.get("parts", 1), F.lit("\n"))))
 
 
 def render_info(df: DataFrame, template: str, notes: str = "notes") -> DataFrame:
