@@ -9,7 +9,7 @@ from basalt.functions.text import parse_double, read_age
 
 
 def scale_bounds(scale: DataFrame) -> DataFrame:
-    """(pos, name, older, younger, error): the younger bound is the start of the row before, whatever that row is; rows
+    """(at, name, older, younger, error), at being the scale's pos: the younger bound is the start of the row before, whatever that row is; rows
     without bounds are dropped after that. The scale is one short ordered list."""
     w = Window.orderBy("pos")
     start = parse_double(F.col("start_ma").cast("string"))
@@ -17,19 +17,19 @@ def scale_bounds(scale: DataFrame) -> DataFrame:
     raw = F.upper(F.col("uncertainty").cast("string"))
     error = F.when(raw.isNull() | raw.isin("-", "", "NONE"), 0.0).otherwise(raw.try_cast("double"))
     name = F.when(F.col("stage").isNull() | (F.col("stage") == "-"), F.col("period")).otherwise(F.col("stage"))
-    out = scale.select("pos", name.alias("name"), F.round(start, 4).alias("older"), F.round(younger, 4).alias("younger"), F.round(error, 4).alias("error"))
+    out = scale.select(F.col("pos").alias("at"), name.alias("name"), F.round(start, 4).alias("older"), F.round(younger, 4).alias("younger"), F.round(error, 4).alias("error"))
     return out.where(F.col("older").isNotNull() & F.col("younger").isNotNull() & F.col("error").isNotNull())
 
 
 def interval_matches(items: DataFrame, bounds: DataFrame, key: str = "id") -> DataFrame:
-    """(key, pos, name, marginal) for every stage that an item's age (d_max, d_min) meets.
+    """(key, d_max, d_min, at, name, marginal) for every stage that an item's age (d_max, d_min) meets.
 
     A point lies in [younger - error, older + error); an interval must overlap, marginally if by less than the error."""
     point = F.col("d_max") == F.col("d_min")
     inside = point & (F.col("d_max") >= F.col("younger") - F.col("error")) & (F.col("d_max") < F.col("older") + F.col("error"))
     over = F.round(F.least("d_max", "older") - F.greatest("d_min", "younger"), 4)
     meets = inside | (~point & (over > 0))
-    return items.join(bounds, meets).select(key, "d_max", "d_min", "pos", "name", (~point & (over < F.col("error"))).alias("marginal"))
+    return items.join(bounds, meets).select(key, "d_max", "d_min", "at", "name", (~point & (over < F.col("error"))).alias("marginal"))
 
 
 def assign_stages(items: DataFrame, scale: DataFrame, key: str = "id", age: str = "age", stage: str = "stage") -> DataFrame:
@@ -44,7 +44,7 @@ def assign_stages(items: DataFrame, scale: DataFrame, key: str = "id", age: str
     # by name: a name that stands elsewhere on the scale brings that row along
     names = met.select(key, "name").distinct()
     rows = names.join(bounds, "name")
-    ordered = F.transform(F.array_sort(F.collect_list(F.struct((-F.col("pos")).alias("p"), F.col("name").alias("n")))), lambda x: x["n"])
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct((-F.col("at")).alias("p"), F.col("name").alias("n")))), lambda x: x["n"])
     got = rows.groupBy(key).agg(F.array_distinct(ordered).alias("__n"), F.max("older").alias("older"), F.min("younger").alias("younger"))
     first, last = F.get("__n", 0), F.element_at("__n", -1)
     got = got.withColumn("label", F.when(F.size("__n") > 1, F.concat_ws("-", first, last)).otherwise(first)).drop("__n").withColumnRenamed(key, "__k")

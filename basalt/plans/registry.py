@@ -141,7 +141,7 @@ def _(spark, d):
     start = F.when(n % 5 == 4, "-").otherwise((n * 2.5).cast("string"))
     scale = _t(spark, d, "nation").select(n.alias("pos"), F.lit("-").alias("period"), F.col("n_name").alias("stage"), start.alias("start_ma"), F.lit(0.1).alias("uncertainty"))
     out = interval.scale_bounds(scale)
-    return out.select("pos", "name", F.col("older").cast("decimal(12,1)").alias("older"), F.col("younger").cast("decimal(12,1)").alias("younger"), "error")
+    return out.select(F.col("at").alias("pos"), "name", F.col("older").cast("decimal(12,1)").alias("older"), F.col("younger").cast("decimal(12,1)").alias("younger"), "error")
 
 
 @query("interval_overlap_assign", _LABEL_SQL + " SELECT p_partkey AS id, CASE WHEN n > 1 THEN first || '-' || last ELSE first END AS label, older, younger FROM lab")
@@ -153,7 +153,7 @@ def _(spark, d):
 def _(spark, d):
     aged = _aged(spark, d).withColumn("a", text.read_age(F.col("age"))).select("id", "a.*")
     met = interval.interval_matches(aged, interval.scale_bounds(_scale(spark)))
-    return met.select("id", F.col("pos").cast("int").alias("pos"), "name", "marginal")
+    return met.select("id", F.col("at").cast("int").alias("pos"), "name", "marginal")
 
 
 @query("interval_out_of_bounds", f"WITH {_MET_SQL} SELECT p_partkey AS id FROM aged WHERE p_partkey NOT IN (SELECT p_partkey FROM met)")
