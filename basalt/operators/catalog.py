@@ -7,6 +7,8 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from basalt.functions.text import capitalize
+
 # The catalogue's internal fields, stages and statuses.
 INTERNAL = {"stage": "skeletal", "is_approved": "False", "s_author": ""}
 NEXT_STAGE = {"skeletal": "mesh", "mesh": "texture", "texture": "rig", "rig": "finished"}
@@ -90,3 +92,21 @@ def transition(action: Column, user: Column, curator: Column) -> dict[str, Colum
         "s_author": F.when(submit, user).when(approve, "").otherwise(F.col("s_author")),
         "stage": F.when(approve, following).otherwise(F.col("stage")),
     }
+
+
+def card(item_user: str = "user") -> Column:
+    """An entry as text: name and status, work status, stage unless finished, and whose it is."""
+    state, user = F.lower("m_status"), F.col(item_user)
+    name = F.concat_ws(" ", capitalize(F.col("genus")), "species")
+    label = F.when(state.isin("review", "needs_fix"), "author").otherwise("claimed_by")
+    owner = F.when(F.coalesce(user, F.lit("")) != "", F.concat(label, F.lit(": @"), user))
+    stage = F.when(state != "finished", F.concat(F.lit("stage: "), F.lower("stage")))
+    return F.concat_ws("\n", F.concat(name, F.lit(" ("), F.col("status"), F.lit(")")), F.concat(F.lit("status: "), state), stage, owner)
+
+
+def rewrite(pairs: DataFrame, changes: dict[str, str]) -> DataFrame:
+    """(key, value) lines with new values for some keys; all others stay."""
+    value = F.col("value")
+    for k, v in changes.items():
+        value = F.when(F.col("key") == k, F.lit(v)).otherwise(value)
+    return pairs.withColumn("value", value)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from basalt.functions import html, text
 from basalt.functions.authors import clean_author_udf
-from basalt.operators import audit, catalog, hierarchy, interval, merge, ordering, reconcile, validate
+from basalt.operators import audit, catalog, hierarchy, interval, merge, ordering, pages, reconcile, validate
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -566,3 +566,61 @@ def _(spark, d):
     rows = _rows(spark, "raw string", ("Rich & Rich,",), ("Paul, Paul",), ("Osborn et al.",), ("Smith emend. Jones",), ("Hofmann",), (None,))
     none = F.lit(None).cast("string")
     return rows.select("raw", clean_author_udf("raw", none, none).alias("author"))
+
+
+# --- pages, reports, cards
+
+
+@query("report_counts", "SELECT s AS section, count(*) AS n FROM (SELECT CASE WHEN contains(status, 'synonym') THEN 'synonym' WHEN contains(status, 'nudum') THEN 'nudum' WHEN contains(status, 'preoccupied') THEN 'preoccupied' WHEN status = 'valid' THEN 'valid' ELSE 'other' END AS s FROM (SELECT " + _STATUS_SQL.format("event_id") + " AS status FROM events)) GROUP BY s")
+def _(spark, d):
+    rows = _t(spark, d, "events").select(pages.status_bucket(_status_of(F.col("event_id"))).alias("section"))
+    return rows.groupBy("section").agg(F.count("*").alias("n"))
+
+
+_TITLE = "CASE p_partkey % 4 WHEN 0 THEN 'Name' || p_partkey || ' (animal)' WHEN 1 THEN 'Other (Name)' WHEN 2 THEN '†Name' || p_partkey ELSE 'name' || p_partkey END"
+
+
+@query("page_outcomes", "SELECT p_partkey, CASE WHEN p_partkey % 4 = 1 THEN 'REDIRECT' WHEN p_size % 5 = 0 THEN 'NO_INFOBOX' WHEN p_partkey % 4 = 0 OR p_size % 2 = 0 THEN 'ALIAS' ELSE 'OK' END AS outcome FROM part")
+def _(spark, d):
+    size = F.col("p_size")
+    out = pages.page_outcome(F.concat(F.lit("Name"), "p_partkey"), F.when(size % 2 == 0, "_(reptile)").otherwise(""), F.expr(_TITLE), size % 5 != 0)
+    return _t(spark, d, "part").select("p_partkey", out.alias("outcome"))
+
+
+@query("scope_filter", _LINEAGE_SQL + " SELECT s_name, CASE WHEN s_suppkey % 7 = 0 THEN 'NO_CLADE' WHEN s_suppkey % 5 = 0 THEN 'UNKNOWN' WHEN r_name = 'ASIA' THEN 'OUT_OF_SCOPE' ELSE 'IN_SCOPE' END AS outcome, CASE WHEN s_suppkey % 3 = 0 THEN n_name WHEN s_suppkey % 7 = 0 THEN '-' ELSE s_name END AS clade FROM l")
+def _(spark, d):
+    key, line = F.col("pos"), F.col("lineage")
+    rows = _lineages(spark, d)
+    raw = F.when(key % 7 == 0, "-").otherwise(F.col("source"))
+    scoped = F.when(line[0] == "ASIA", F.array().cast("array<string>")).otherwise(line)
+    named = F.when(key % 3 == 0, "incertae sedis").otherwise(raw)
+    refined = pages.refine_clade(named, F.array(line[0], line[1], F.lit("Incertae")))
+    return rows.select(F.col("source").alias("s_name"), pages.scope_outcome(raw, scoped, key % 5 == 0).alias("outcome"), refined.alias("clade"))
+
+
+@query("historical_names", "SELECT min(p_partkey) AS pos, p_name AS old_name, arg_min(p_brand, p_partkey) AS new_genus FROM (SELECT p_partkey, upper(p_name[1]) || p_name[2:] AS p_name, p_brand FROM part WHERE p_partkey % 2 = 0) GROUP BY p_name")
+def _(spark, d):
+    first = F.concat(F.upper(F.substring("p_name", 1, 1)), F.substring("p_name", 2, 1000))
+    name = F.when(F.col("p_partkey") % 2 == 0, first).when(F.col("p_partkey") % 4 == 1, F.concat(F.col("p_brand"), F.lit(" x"))).otherwise("E. x")
+    return pages.migrations(_t(spark, d, "part").select(F.col("p_partkey").alias("pos"), name.alias("name"), F.col("p_brand").alias("genus")))
+
+
+@query(
+    "species_card",
+    _WORK_SQL + """ SELECT o_orderkey, genus || ' ' || species || ' (valid)' || chr(10) || 'status: ' || m_status || CASE WHEN m_status <> 'finished' THEN chr(10) || 'stage: ' || stage ELSE '' END || chr(10) || CASE WHEN m_status IN ('review', 'needs_fix') THEN 'author' ELSE 'claimed_by' END || ': @' || u AS card FROM w""",
+)
+def _(spark, d):
+    return _work(spark, d).withColumn("status", F.lit("valid")).select("o_orderkey", catalog.card().alias("card"))
+
+
+@query("info_rewrite", "SELECT event_id, event_type AS key, CASE event_type WHEN 'click' THEN 'new' ELSE user_id::VARCHAR END AS value FROM events")
+def _(spark, d):
+    rows = _t(spark, d, "events").select("event_id", F.col("event_type").alias("key"), F.col("user_id").cast("string").alias("value"))
+    return catalog.rewrite(rows, {"click": "new"})
+
+
+@query("whitelist_semi", "SELECT c_custkey FROM customer WHERE lower(c_mktsegment) IN (SELECT lower(c_mktsegment) FROM customer WHERE c_custkey <= 3)")
+def _(spark, d):
+    c = _t(spark, d, "customer")
+    listed = c.where("c_custkey <= 3").select(F.lower("c_mktsegment").alias("name")).distinct()
+    return c.join(listed, F.lower("c_mktsegment") == F.col("name"), "left_semi").select("c_custkey")

@@ -113,3 +113,44 @@ def load_tables(spark: SparkSession, mode: str, tables: dict[str, DataFrame]) ->
 def drop_mode(spark: SparkSession, mode: str) -> None:
     for name in tables_like(spark, f"{mode}_"):
         spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def read_folders(spark: SparkSession, path: str) -> DataFrame:
+    """(genus, species) of folders two levels down that hold a file; hidden and deleted ones are left out."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select(F.split("path", "/").alias("p"))
+    depth = len(path.rstrip("/").removeprefix("file://").split("/"))
+    skip = F.size(F.split(F.lit("file:"), "/"))
+    rest = files.select(F.slice("p", depth + skip, 3).alias("d")).where(F.size("d") == 3)
+    genus, species = F.get("d", 0), F.get("d", 1)
+    shown = ~genus.startswith(".") & ~species.startswith(".") & ~genus.startswith("_deleted_")
+    return rest.where(shown).select(genus.alias("genus"), species.alias("species")).distinct()
+
+
+def read_genera(spark: SparkSession, main: str, custom: str | None = None) -> DataFrame:
+    """(genus, status): a custom list's names (capitalised, status '-') if one is given, else the main list with statuses in lower
+    case and without blank names."""
+    from basalt.schemas import GENERA_LIST
+
+    if custom is not None:
+        return read_lines(spark, custom, "capitalize").select(F.col("name").alias("genus"), F.lit("-").alias("status"))
+    rows = read_csv(spark, main, GENERA_LIST).select(F.trim("genus").alias("genus"), F.lower(F.trim("status")).alias("status"))
+    return rows.where("genus <> ''")
+
+
+def write_names_json(df: DataFrame, path: str, name: str = "name") -> bool:
+    """The sorted distinct names as JSON Lines; an empty table removes the dataset instead. True if there is one."""
+    spark = df.sparkSession
+    if df.isEmpty():
+        jvm = spark.sparkContext._jvm
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+        return False
+    df.select(name).distinct().orderBy(name).write.mode("overwrite").json(path)
+    return True
+
+
+def write_json_map(df: DataFrame, path: str) -> None:
+    """(pos, key, value) as one JSON object in order of pos; a snapshot's size, as its consumers read it whole."""
+    pairs = F.array_sort(F.collect_list(F.struct("pos", "key", "value")))
+    entries = F.transform(pairs, lambda x: F.struct(x["key"], x["value"]))
+    df.agg(F.to_json(F.map_from_entries(entries)).alias("value")).write.mode("overwrite").text(path)

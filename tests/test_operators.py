@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from basalt.functions import html, text
 from basalt.functions.authors import clean_author
-from basalt.operators import audit, catalog, hierarchy, interval, merge, ordering, reconcile, validate
+from basalt.operators import audit, catalog, hierarchy, interval, merge, ordering, pages, reconcile, validate
 
 
 def test_status_text(spark):
@@ -121,3 +121,12 @@ def test_order(spark):
     assert [r["pos"] for r in ordering.run_dedup(df, [], ["pos"], ["k", "v"]).orderBy("pos").collect()] == [1, 2, 4, 5]
     assert sorted(r["pos"] for r in ordering.keep_first(df, ["k"], ["pos"]).collect()) == [1, 5]
     assert ordering.keep_first(df.limit(0), ["k"], ["pos"]).count() == 0
+
+
+def test_old_names(spark):
+    assert pages.old_name("<li>†<i>Prior</i> <b>x</b> <i>exemplum?</i> Loe</li>") == "Prior exemplum"
+    assert pages.old_name("<li>none</li>") is None
+    rows = spark.createDataFrame([(2, "Prior a", "G"), (1, "Prior a", "H"), (3, "G b", "G"), (4, "P. c", "G"), (5, "See d", "G"), (6, None, "G"), (7, "lower e", "G")], "pos int, name string, genus string")
+    assert [tuple(r) for r in pages.migrations(rows).collect()] == [(1, "Prior a", "H")]
+    out = pages.report(rows.selectExpr("genus as section", "name as entry")).where("section = 'H'").first()
+    assert (out["n"], out["entries"]) == (1, ["Prior a"])

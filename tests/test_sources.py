@@ -81,3 +81,20 @@ def test_stream(spark, tmp_path):
     run = merge_stream(stream, str(tmp_path / "out"), str(tmp_path / "ck"), ["k"]).trigger(availableNow=True).start()
     run.awaitTermination()
     assert [(r["status"], r["pos"]) for r in merged(spark.read.parquet(str(tmp_path / "out")), ["k"]).collect()] == [("synonym", 3)]
+
+
+def test_folders_lists_and_maps(spark, tmp_path):
+    for name in ("A/a", "B/b", ".git/x", "_deleted_C/c", "D/.e"):
+        (tmp_path / "root" / name).mkdir(parents=True)
+        (tmp_path / "root" / name / "info.txt").write_text("x")
+    assert sorted(map(tuple, io.read_folders(spark, f"{tmp_path}/root").collect())) == [("A", "a"), ("B", "b")]
+    (tmp_path / "main.csv").write_text("genus;status\nAbc;VALID\n;x\n")
+    (tmp_path / "own.txt").write_text("xYZ\n")
+    assert [tuple(r) for r in io.read_genera(spark, str(tmp_path / "main.csv")).collect()] == [("Abc", "valid")]
+    assert [tuple(r) for r in io.read_genera(spark, "", str(tmp_path / "own.txt")).collect()] == [("Xyz", "-")]
+    names = spark.createDataFrame([("b",), ("a",), ("b",)], "name string")
+    assert io.write_names_json(names, f"{tmp_path}/names")
+    assert [r["name"] for r in spark.read.json(f"{tmp_path}/names").orderBy("name").collect()] == ["a", "b"]
+    assert not io.write_names_json(names.limit(0), f"{tmp_path}/names") and not (tmp_path / "names").exists()
+    io.write_json_map(spark.createDataFrame([(1, "k", "v"), (0, "z", "w")], "pos int, key string, value string"), f"{tmp_path}/map")
+    assert [tuple(r) for r in io.read_json_map(spark, f"{tmp_path}/map").collect()] == [(0, "z", "w"), (1, "k", "v")]
