@@ -266,8 +266,13 @@ def class_links(
 ) -> DataFrame:
     """(node, label): the smallest class that a class is connected to, of those that link with any other."""
     rows = materialize(matrix_rows(docs, text_col, common, words, percent), "matrix")
-    # groups: every class goes with the leader of most of its tokens, and so on up; large groups are dealt into blocks
-    led = rows.where((F.col("c") != F.col("h")) & _fits(F.col("n"), F.col("hn"), percent)).groupBy("c", "h").agg(F.count("*").alias("k"), F.first("n").alias("n"))
+    # groups: every class goes with the leader of most of its tokens, the leader of a salt with that of the whole list, and so
+    # on up; large groups are dealt into blocks
+    led = rows.where(F.col("c") != F.col("h")).select("c", "n", "h", "hn")
+    heads = rows.where((F.col("t") >= _COMMON) & (F.col("c") == F.col("h"))).select("t", "c", "n")
+    tops = heads.groupBy("t").agg(F.min(F.struct("c", "n")).alias("top"))
+    led = led.union(heads.join(tops, "t").where(F.col("c") != F.col("top.c")).select("c", "n", "top.c", "top.n"))
+    led = led.where(_fits(F.col("n"), F.col("hn"), percent)).groupBy("c", "h").agg(F.count("*").alias("k"), F.first("n").alias("n"))
     led = led.where(F.col("k") * 20 >= F.col("n")).groupBy("c").agg(F.max_by("h", F.struct("k", "h")).alias("h"))
     tree = forest_labels(led.select(F.col("c").alias("a"), F.col("h").alias("b"))).select(F.col("node").alias("c"), F.col("label").alias("root"))
     members = rows.groupBy("c").agg(F.first("n").alias("n")).join(tree, "c", "left").withColumn("root", F.coalesce("root", "c"))
