@@ -85,6 +85,8 @@ def repeated_windows(
     w = w.join(shared, "f", "left_semi")
     place = F.struct("id", "__k1", "s")
     first = w.groupBy("g").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first < last").select("g", "first")
+    # written, so that the join shuffles both sides by g on its own and can split a common window
+    first = materialize(first, "line-first")
     return w.join(first, "g").where(place > F.col("first")).select("__k1", "__k2", "s", "e")
 
 
