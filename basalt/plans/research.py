@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basalt.functions import html, text
 from basalt.operators.interval import assign_stages
 from basalt.operators.merge import merge_records, page_skips
-from basalt.operators.ordering import keep_first, run_dedup
+from basalt.operators.ordering import keep_first, numbered, run_dedup
 from basalt.operators.validate import resolve_status
 
 # Where pages are cut, and the suffixes of a page's candidates, in order.
@@ -65,7 +65,7 @@ def fauna(genera: DataFrame, pages: DataFrame) -> DataFrame:
     arrival = F.struct("pos", "section", "i")
     every = every.select(arrival.alias("arrival"), F.struct("pos", "source_genus").cast("string").alias("page"), *(c for c in every.columns if c not in ("pos", "i")))
     # a number for each arrival: the fold and the merge need a plain one
-    every = every.withColumn("pos", F.row_number().over(Window.orderBy("arrival")).cast("long")).drop("arrival")
+    every = numbered(every, ["arrival"], "pos").drop("arrival")
     kept = page_skips(every).where("outcome <> 'skipped'").drop("outcome", "page", "section")
     kept = kept.withColumns({"gk": F.lower("genus"), "sk": F.lower("species")})
     return merge_records(kept, ["gk", "sk"]).drop("gk", "sk")

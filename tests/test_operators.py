@@ -130,3 +130,11 @@ def test_old_names(spark):
     assert [tuple(r) for r in pages.migrations(rows).collect()] == [(1, "Prior a", "H")]
     out = pages.report(rows.selectExpr("genus as section", "name as entry")).where("section = 'H'").first()
     assert (out["n"], out["entries"]) == (1, ["Prior a"])
+
+
+def test_numbers(spark):
+    df = spark.createDataFrame([(i * 7 % 101, None if i % 9 == 0 else str(i % 5)) for i in range(101)], "pos int, k string")
+    want = sorted(((k is not None, k or "", p) for p, k in df.collect()))
+    got = ordering.numbered(df, ["k", "pos"]).orderBy("id").collect()
+    assert [r["id"] for r in got] == list(range(1, 102)) and [(r["k"] is not None, r["k"] or "", r["pos"]) for r in got] == want
+    assert ordering.numbered(df.limit(0), ["k", "pos"]).count() == 0
