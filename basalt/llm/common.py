@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
+from basalt.storage import materialize, new_dir, shared_dir
+
+__all__ = ["SPACE", "WORD", "materialize", "new_dir", "read_table", "shared_dir"]
+
 #: Words are runs of anything but ASCII white space.
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -15,27 +16,3 @@ WORD = r"[^\x20\x09-\x0D]+"
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of the data folder; only Spark's readers touch the path."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-_OWN: dict[str, str] = {}
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all machines share: ``spark.checkpoint.dir``; a temporary one only where that is unset."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        app = spark.sparkContext.applicationId
-        path = _OWN.setdefault(app, "file://" + tempfile.mkdtemp(prefix="basalt-"))
-    return path.rstrip("/")
-
-
-def new_dir(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/basalt/{label}-{uuid.uuid4().hex}"
-
-
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write df to the shared folder and read it back: lineage ends there, and lost executors cost nothing."""
-    spark = df.sparkSession
-    path = new_dir(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
