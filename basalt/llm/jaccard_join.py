@@ -14,7 +14,7 @@ n - ceil(t n) + 1 tokens, so two classes with Jaccard t or more share a probe to
 
 Which tokens are common is estimated by counting all shingles of all documents in a table of fixed size; the estimate only
 shapes the order, never the result. A copied document is one class, a common passage comes last in the order, a family of
-near copies is a few groups, and common tokens' lists are dealt by salt: no step lists or pairs what a token holds.
+near copies is a few groups, and common tokens' lists are dealt by size and salt: no step lists or pairs what a token holds.
 Sets are compared by 64-bit hashes of their shingles.
 
 Defined cases: a null or empty text, or one without words, has no shingles, links with nothing, and is its own component; of
@@ -188,7 +188,7 @@ def matrix_rows(df: DataFrame, text_col: str, common: np.ndarray, words: int, pe
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (tokens, classes, sizes, covers)], names=["t", "c", "n", "r"])
 
     rows = df.select(text_col).mapInArrow(probe, "t long, c long, n int, r int")
-    salt = F.when(F.col("t") >= _COMMON, F.pmod("c", F.lit(SALTS))).otherwise(0).cast("int")
+    salt = F.when(F.col("t") >= _COMMON, _size_class(F.col("n")) * SALTS + F.pmod("c", F.lit(SALTS))).otherwise(0).cast("int")
     width = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
     rows = rows.withColumn("s", salt).repartition(width, "t", "s").sortWithinPartitions("t", "s", "c")
 
@@ -219,6 +219,11 @@ def matrix_rows(df: DataFrame, text_col: str, common: np.ndarray, words: int, pe
     return rows.select("t", "c", "n", "r", "s").mapInArrow(lists, "t long, c long, n int, r int, h long, hn int")
 
 
+def _size_class(n: Column) -> Column:
+    """Sizes of one class are within a factor of 1.2, so that a list's leader has a fitting size."""
+    return F.floor(F.log(n) / F.log(F.lit(1.2))).cast("int")
+
+
 def _fits(a: Column, b: Column, percent: int) -> Column:
     return (F.least(a, b) * 100 >= F.greatest(a, b) * percent)
 
@@ -268,12 +273,14 @@ def class_links(
     rows = materialize(matrix_rows(docs, text_col, common, words, percent), "matrix")
     # groups: every class goes with the leader of most of its tokens, the leader of a salt with that of the whole list, and so
     # on up; large groups are dealt into blocks
-    led = rows.where(F.col("c") != F.col("h")).select("c", "n", "h", "hn")
-    heads = rows.where((F.col("t") >= _COMMON) & (F.col("c") == F.col("h"))).select("t", "c", "n")
-    tops = heads.groupBy("t").agg(F.min(F.struct("c", "n")).alias("top"))
-    led = led.union(heads.join(tops, "t").where(F.col("c") != F.col("top.c")).select("c", "n", "top.c", "top.n"))
-    led = led.where(_fits(F.col("n"), F.col("hn"), percent)).groupBy("c", "h").agg(F.count("*").alias("k"), F.first("n").alias("n"))
-    led = led.where(F.col("k") * 20 >= F.col("n")).groupBy("c").agg(F.max_by("h", F.struct("k", "h")).alias("h"))
+    many = F.col("t") >= _COMMON  # only classes that consist of common tokens probe with them, as near copies do
+    led = rows.where(F.col("c") != F.col("h")).select("c", "n", "h", "hn", many.alias("many"))
+    heads = rows.where(many & (F.col("c") == F.col("h"))).select("t", "c", "n")
+    heads = heads.withColumn("z", _size_class(F.col("n")))
+    tops = heads.groupBy("t", "z").agg(F.min(F.struct("c", "n")).alias("top"))
+    led = led.union(heads.join(tops, ["t", "z"]).where(F.col("c") != F.col("top.c")).select("c", "n", "top.c", "top.n", F.lit(True)))
+    led = led.where(_fits(F.col("n"), F.col("hn"), percent)).groupBy("c", "h").agg(F.count("*").alias("k"), F.first("n").alias("n"), F.max("many").alias("many"))
+    led = led.where((F.col("k") * 20 >= F.col("n")) | F.col("many")).groupBy("c").agg(F.max_by("h", F.struct("k", "h")).alias("h"))
     tree = forest_labels(led.select(F.col("c").alias("a"), F.col("h").alias("b"))).select(F.col("node").alias("c"), F.col("label").alias("root"))
     members = rows.groupBy("c").agg(F.first("n").alias("n")).join(tree, "c", "left").withColumn("root", F.coalesce("root", "c"))
     members = materialize(members, "members")
