@@ -518,7 +518,7 @@ def _(spark, d):
 # --- HTML
 
 
-@query("html_title")
+@query("html_title", "SELECT page_id, trim(replace(replace(replace(replace(replace(regexp_replace(regexp_extract(html, '<h1[^>]*>(.*?)</h1>', 1), '<[^>]*>', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', chr(34)), '&#x27;', chr(39)), '&amp;', '&')) AS title FROM pages")
 def _(spark, d):
     return _t(spark, d, "pages").select("page_id", html.title_udf("html").alias("title"))
 
