@@ -4,8 +4,13 @@ From every line with a word starts one window: the shortest run of lines that ha
 ``min_words`` words. Where windows end depends on what follows alone, so equal runs have equal windows wherever
 they stand. The least line hash of a window is its fingerprint, which guarantees that two runs holding a common
 window share a fingerprint. Fingerprints found at two or more positions are joined with their positions; the windows
-around them are matched with the first place that holds the same lines, and matches are extended both ways by
-uniting the windows that overlap or touch. All runs but those of the first place are deleted.
+around them are matched with the first place that holds the same lines, and windows that overlap or touch are united. All
+runs but those of the first place are deleted.
+
+With ``extend`` a match then goes on line by line while the lines agree with those of its first place. A window ends no
+later than the next one, so backwards the windows reach all lines that agree, and forwards at most
+``min_lines - 1`` lines are left: each window carries those, and they are compared in the join. Without it, as OP4_SQL
+defines the query, only whole windows go.
 
 A copy's first place is the smallest (id, key, line), found by an aggregation that combines before it shuffles, so a
 line or a text that stands in a third of the rows is no hot group: nothing lists or pairs a fingerprint's positions.
@@ -28,7 +33,8 @@ MIN_WORDS = 50
 
 
 def _windows(text: Column, min_lines: int, min_words: int) -> Column:
-    """array<struct<s, e, p, f, g>>: first and last line, fingerprint's line and hash, hash of all lines' hashes."""
+    """array<struct<s, e, p, f, g, next>>: first and last line, fingerprint's line and hash, hash of all lines' hashes, and
+    the next ``min_lines - 1`` lines with a word (line and hash; null behind the text's end)."""
     wordy = r"[^\x20\x09-\x0D]"
     line = lambda x, i: F.struct(
         i.alias("i"),
@@ -52,6 +58,7 @@ def _windows(text: Column, min_lines: int, min_words: int) -> Column:
             made = F.struct(
                 x["i"].alias("s"), at[k]["i"].alias("e"), place.alias("p"), least.alias("f"),
                 F.xxhash64(F.lit(k), *(y["h"] for y in at)).alias("g"),
+                _next(a, j + k, min_lines - 1).alias("next"),
             )
             ends = (words >= min_words) if k < min_lines - 1 else at[k].isNotNull()
             out = F.when(ends, made) if out is None else out.when(ends, made)
@@ -62,6 +69,22 @@ def _windows(text: Column, min_lines: int, min_words: int) -> Column:
     return F.filter(F.get(over, 0), lambda w: w.isNotNull())
 
 
+def _next(a: Column, j: Column, n: int) -> Column:
+    """The n lines behind the j-th one of a."""
+    none = F.array().cast("array<struct<i:int,h:bigint>>")
+    at = [F.get(a, j + k) for k in range(1, n + 1)]
+    return F.array(*(F.when(x.isNotNull(), F.struct(x["i"].alias("i"), x["h"].alias("h"))) for x in at)) if n else none
+
+
+def _extended(e: Column, own: Column, first: Column, n: int) -> Column:
+    """The last line of a window that ends at e, and goes on while the next lines agree with the first place's hashes."""
+    out, agree = e, F.lit(True)
+    for k in range(n):
+        agree = agree & F.coalesce(own[k]["h"] == first[k], F.lit(False))
+        out = F.when(agree, own[k]["i"]).otherwise(out)
+    return out
+
+
 def _keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.coalesce(F.col(text_col), F.lit(""))
     return df.withColumns(
@@ -74,36 +97,48 @@ def _keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def repeated_windows(
-    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_lines: int = MIN_LINES, min_words: int = MIN_WORDS
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_lines: int = MIN_LINES, min_words: int = MIN_WORDS, extend: bool = True
 ) -> DataFrame:
-    """(__k1, __k2, s, e): the windows of a row that stand at an earlier place too."""
+    """(__k1, __k2, s, e): the windows of a row that stand at an earlier place too, extended."""
     keyed = _keyed(df.select(id_col, text_col), id_col, text_col)
     w = keyed.select(F.col(id_col).alias("id"), "__k1", "__k2", F.explode(_windows(F.col("__text"), min_lines, min_words)).alias("w"))
-    w = materialize(w.select("id", "__k1", "__k2", "w.*"), "line-windows")
+    w = w.select("id", "__k1", "__k2", "w.*")
+    w = materialize(w if extend else w.drop("next"), "line-windows")
     place = F.struct("id", "__k1", "p")
     shared = w.groupBy("f").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a < b").select("f")
     w = w.join(shared, "f", "left_semi")
     place = F.struct("id", "__k1", "s")
-    first = w.groupBy("g").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first < last").select("g", "first")
+    # of equal id and text, so of equal place, the next lines are equal too
+    follow = [F.transform("next", lambda x: x["h"]).alias("next")] if extend else []
+    first = w.groupBy("g").agg(F.min(F.struct(place.alias("at"), *follow)).alias("first"), F.max(place).alias("last"))
+    first = first.where("first.at < last").select("g", "first")
     # written, so that the join shuffles both sides by g on its own and can split a common window
     first = materialize(first, "line-first")
-    return w.join(first, "g").where(place > F.col("first")).select("__k1", "__k2", "s", "e")
+    w = w.join(first, "g").where(place > F.col("first.at"))
+    e = _extended(F.col("e"), F.col("next"), F.col("first.next"), min_lines - 1) if extend else F.col("e")
+    return w.select("__k1", "__k2", "s", e.alias("e"))
 
 
 def line_dedup(
-    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_lines: int = MIN_LINES, min_words: int = MIN_WORDS
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_lines: int = MIN_LINES, min_words: int = MIN_WORDS, extend: bool = True
 ) -> DataFrame:
     """df with repeated runs taken out of the text, and n_lines, n_removed (long) and removed, the runs as
     ``first-last`` line numbers from 0, joined by commas."""
-    found = repeated_windows(df, id_col, text_col, min_lines, min_words)
+    found = repeated_windows(df, id_col, text_col, min_lines, min_words, extend)
     found = found.groupBy("__k1", "__k2").agg(F.collect_set(F.struct("s", "e")).alias("__found"))
     keyed = _keyed(df, id_col, text_col)
     out = keyed.join(found, ["__k1", "__k2"], "left")
     nth = F.row_number().over(Window.partitionBy("__k1", "__k2").orderBy("__k1"))
     out = out.withColumn("__nth", nth)
-    own = F.transform(_windows(F.col("__text"), min_lines, min_words), lambda w: F.struct(w["s"], w["e"]))
+    end = lambda w: F.greatest(w["e"], F.array_max(F.transform(w["next"], lambda x: x["i"]))) if extend else w["e"]
+    own = F.transform(_windows(F.col("__text"), min_lines, min_words), lambda w: F.struct(w["s"].alias("s"), end(w).alias("e")))
     none = F.array().cast("array<struct<s:int,e:int>>")
     out = out.withColumn("__w", F.when(F.col("__nth") > 1, own).otherwise(F.coalesce(F.sort_array("__found"), none)))
+    if extend:
+        # a window may reach past the end of later ones, of up to 2 * min_lines - 3
+        back = lambda x, j: [F.get(F.col("__found"), j - k)["e"] for k in range(1, 2 * min_lines)]
+        out = out.withColumn("__found", F.col("__w"))
+        out = out.withColumn("__w", F.transform("__found", lambda x, j: F.struct(x["s"].alias("s"), F.greatest(x["e"], *back(x, j)).alias("e"))))
     opens = F.filter("__w", lambda x, j: (j == 0) | (x["s"] > F.get(F.col("__w"), j - 1)["e"] + 1))
     ends = F.filter("__w", lambda x, j: (j == F.size("__w") - 1) | (F.get(F.col("__w"), j + 1)["s"] > x["e"] + 1))
     out = out.withColumn("__runs", F.zip_with(opens, ends, lambda a, b: F.struct(a["s"].alias("s"), b["e"].alias("e"))))
@@ -130,7 +165,7 @@ def line_dedup(
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = line_dedup(docs)
+    out = line_dedup(docs, extend=False)
     return out.select("doc_id", "n_lines", "n_removed", "removed", F.sha2("text", 256).alias("clean_sha256"))
 
 

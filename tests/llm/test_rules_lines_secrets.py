@@ -116,3 +116,38 @@ def test_native_plans(spark, model):
     docs = spark.read.parquet(f"{DATA}/sf0.001/documents.parquet")
     for df in (qr.quality_rules(docs), ld.line_dedup(docs), ss.secret_scan(docs, model)):
         assert not re.search("Python|Pandas|Arrow", df._jdf.queryExecution().executedPlan().toString())
+
+
+def test_dedup_extends_matches_to_the_last_line_that_agrees(spark):
+    line = lambda mark, n: " ".join(f"{mark}{i}" for i in range(n))
+    a, b, x, y, z, p = line("a", 60), line("b", 30), line("x", 10), line("y", 45), "z z z", line("p", 55)
+    rows = [(1, f"{a}\n{b}\nown one"), (2, f"new two\n\n{a}\n \n{b}\nother two\nthree"), (3, f"{x}\n{y}\n{z}"), (4, f"{x}\n{y}\n{z}\nq"), (5, f"{a}\n{z}"), (6, f"{p}\n{z}"), (6, f"{p}\n{z}")]
+    df = spark.createDataFrame(rows, "doc_id int, text string")
+    out = sorted((r["doc_id"], r["text"]) for r in ld.line_dedup(df).collect())
+    assert out == [(1, rows[0][1]), (2, "new two\n\nother two\nthree"), (3, rows[2][1]), (4, "q"), (5, z), (6, ""), (6, rows[5][1])]
+    assert {r["removed"] for r in ld.line_dedup(df).where("doc_id = 2").collect()} == {"2-4"}
+
+
+def test_dedup_random_lines_equal_literal_extension(spark):
+    rng = random.Random(8)
+    line = lambda: rng.choice(["a b", "c", "d e f", " ", "", "long " * 60, "half " * 30, *(f"line {i}" for i in range(4))])
+    texts = [[line() for _ in range(rng.randrange(16))] for _ in range(150)]
+    lines = [[(i, x) for i, x in enumerate(t) if re.search(r"[^\x20\x09-\x0D]", x)] for t in texts]
+    firsts, gone = {}, [set() for _ in texts]
+    for d, own in enumerate(lines):
+        for s in range(len(own)):
+            for k in range(1, 4):
+                words = sum(x.count(" ") + 1 for _, x in own[s : s + k])
+                if s + k <= len(own) and (k == 3 or words >= 50):
+                    fd, fs = firsts.setdefault(tuple(x for _, x in own[s : s + k]), (d, s))
+                    if (fd, fs) != (d, s):
+                        while s + k < len(own) and fs + k < len(lines[fd]) and own[s + k][1] == lines[fd][fs + k][1]:
+                            k += 1
+                        while s and fs and own[s - 1][1] == lines[fd][fs - 1][1]:
+                            s, fs, k = s - 1, fs - 1, k + 1
+                        gone[d] |= set(range(own[s][0], own[s + k - 1][0] + 1))
+                    break
+    df = spark.createDataFrame([(i, "\n".join(t)) for i, t in enumerate(texts)], "doc_id int, text string")
+    got = {r["doc_id"]: r["text"] for r in ld.line_dedup(df).collect()}
+    # an empty array of lines is the text ""
+    assert got == {d: "\n".join(x for i, x in enumerate(t) if i not in gone[d]) for d, t in enumerate(texts)}
