@@ -47,6 +47,21 @@ def test_dropout_is_lossless_seeded_and_varied(pieces, texts):
     assert sum(_ids(codec, t) != _ids(other, t) for t in texts) > len(texts) // 2
 
 
+def test_every_occurrence_draws_its_own_skips(pieces):
+    codec = md.Codec(pieces, 0.1)
+    keys = codec.keys("different " * 3000, "7")
+    got = codec.encode_many(keys)[1:-1]
+    plain = md.Codec(pieces, 0.0).encode_stretch(keys[1])
+    # more ways than four, and most of them rare
+    assert len(set(got)) > 8 and max(set(got), key=got.count) == plain
+    steps = []
+    codec.encode_symbols(codec._start(keys[1][0]), 0, steps)
+    # skips may lead to the same ids in the end
+    assert 0.9 ** len(steps) - 0.03 < got.count(plain) / len(got) < 0.9
+    assert got[:9] == [codec.encode_stretch(k) for k in keys[1:10]]
+    assert codec.encode_many(codec.keys("different " * 50, "7")) != codec.encode_many(codec.keys("different " * 50, "8"))
+
+
 def test_encode_table(docs, none):
     out = md.encode(docs)
     assert out.count() == docs.count() and out.where("not lossless").isEmpty()
