@@ -9,8 +9,9 @@ n - ceil(t n) + 1 tokens, so two classes with Jaccard t or more share a probe to
 2. The matrix holds each group's union of probe tokens, as (token, group) rows. A class (the query) meets the groups that
    hold its tokens; what they share in a fixed share of the order, plus what can lie outside it, bounds the overlap, and only
    groups whose bound reaches the threshold are opened.
-3. In an open group the query is compared exactly with the members of fitting size, and members with each other, except
-   where they are connected already: that can't change components, so no link that matters is lost.
+3. In an open group the query is compared exactly with all members, and members with each other. Two classes meet in one
+   place, so every link is found once. Components follow from the links; documents get their number of links, and
+   ``jaccard_links`` lists the links themselves as pairs of classes.
 
 Which tokens are common is estimated by counting all shingles of all documents in a table of fixed size; the estimate only
 shapes the order, never the result. A copied document is one class, a common passage comes last in the order, a family of
@@ -25,7 +26,6 @@ no other; extra columns are ignored.
 from __future__ import annotations
 
 import zlib
-from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -233,43 +233,72 @@ def _needed(a: Column, b: Column, percent: int) -> Column:
     return F.ceil((a + b) * percent / (100 + percent))
 
 
-def compare_group(members: dict[int, np.ndarray], queries: dict[int, np.ndarray], inside: bool, percent: int) -> list[tuple[int, int]]:
-    """Links among members (if ``inside``) and between queries and members, as a star for each of their components. Sets
-    that are connected already aren't compared."""
-    sets = members | queries
-    up = {c: c for c in sets}
-
-    def top(c: int) -> int:
-        while up[c] != c:
-            up[c] = c = up[up[c]]
-        return c
-
-    def meet(a: int, b: int) -> None:
-        i, j = top(a), top(b)
-        if i != j:
-            x, y = sets[a], sets[b]
-            at = np.searchsorted(x, y)
-            at[at == len(x)] = 0
-            same = int((x[at] == y).sum())
-            if 100 * same >= percent * (len(x) + len(y) - same):
-                up[max(i, j)] = min(i, j)
-
-    order = sorted(members, key=lambda c: (len(members[c]), c))
-    sizes = [len(members[c]) for c in order]
-    if inside:
-        for i, a in enumerate(order):
-            for b in order[i + 1 : bisect_right(sizes, sizes[i] * 100 // percent)]:
-                meet(a, b)
-    for q, s in queries.items():
-        for m in order[bisect_left(sizes, -(-len(s) * percent // 100)) : bisect_right(sizes, len(s) * 100 // percent)]:
-            meet(q, m)
-    return [(c, top(c)) for c in sets if top(c) != c]
+def overlaps(sets: list[np.ndarray], first: int) -> np.ndarray:
+    """What each of the first sets shares with each set behind it, as a matrix. Tokens that few sets hold are counted by pairs,
+    others by products of 0-1 matrices."""
+    n = len(sets)
+    tokens = np.concatenate(sets)
+    owner = np.repeat(np.arange(n), [len(x) for x in sets])
+    order = np.argsort(tokens, kind="stable")
+    tokens, owner = tokens[order], owner[order]
+    new = np.r_[True, tokens[1:] != tokens[:-1]]
+    size = np.diff(np.r_[np.flatnonzero(new), len(tokens)])
+    column, size = np.cumsum(new) - 1, np.repeat(size, size)
+    few = max(2, int((first * n / 75) ** 0.5))
+    out = np.zeros((first, n), np.int64)
+    at = (size > 1) & (size <= few)
+    o, c = owner[at], column[at]
+    for d in range(1, few):
+        same = np.flatnonzero(c[d:] == c[:-d])
+        if not len(same):
+            break
+        a, b = o[same], o[same + d]
+        a, b = a[a < first], b[a < first]
+        np.add.at(out, (a, b), 1)
+    at = size > few
+    o, c = owner[at], column[at]
+    c = np.cumsum(np.r_[False, c[1:] != c[:-1]]) if len(c) else c
+    for k in range(0, int(c[-1]) + 1 if len(c) else 0, 2048):
+        lo, hi = np.searchsorted(c, [k, k + 2048])
+        held = np.zeros((n, min(2048, int(c[-1]) + 1 - k)), np.float32)
+        held[o[lo:hi], c[lo:hi] - k] = 1
+        out += (held[:first] @ held.T).astype(np.int64)
+    return out
+
+
+def compare_group(members: dict[int, np.ndarray], queries: dict[int, np.ndarray], inside: bool, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """All links (a, b) among members (if ``inside``) and between members and queries."""
+    names = np.array([*members, *queries], np.int64)
+    first = len(members)
+    if not first or len(names) < 2:
+        return names[:0], names[:0]
+    sets = [*members.values(), *queries.values()]
+    n = np.array([len(x) for x in sets], np.int64)
+    same = overlaps(sets, first)
+    linked = 100 * same >= percent * (n[:first, None] + n - same)
+    linked[:, :first] = np.triu(linked[:, :first], 1) if inside else False
+    a, b = np.nonzero(linked)
+    return names[a], names[b]
+
+
+def _stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the classes in links: the smallest one that each is connected to, and its number of links."""
+    names, at = np.unique(np.r_[a, b], return_inverse=True)
+    i, j = at[: len(a)], at[len(a) :]
+    label, before = np.arange(len(names)), None
+    while before is None or (label != before).any():
+        before = label.copy()
+        np.minimum.at(label, i, label[j])
+        np.minimum.at(label, j, label[i])
+        label = label[label]
+    return names, names[label], np.bincount(at, minlength=len(names))
 
 
 def class_links(
-    docs: DataFrame, id_col: str, text_col: str, classes: DataFrame, common: np.ndarray, words: int = WORDS, percent: int = PERCENT
+    docs: DataFrame, id_col: str, text_col: str, classes: DataFrame, common: np.ndarray, words: int = WORDS, percent: int = PERCENT, pairs: bool = False
 ) -> DataFrame:
-    """(node, label): the smallest class that a class is connected to, of those that link with any other."""
+    """(c, label, n, near): of the classes that a group links, the smallest one they are connected to in it, the number of
+    their links in it, and with ``pairs`` the classes linked, each link at one of its two classes."""
     rows = materialize(matrix_rows(docs, text_col, common, words, percent), "matrix")
     # groups: every class goes with the leader of most of its tokens, the leader of a salt with that of the whole list, and so
     # on up; large groups are dealt into blocks
@@ -320,34 +349,58 @@ def class_links(
         found: tuple[dict, dict] = {}, {}
         for c, asks, data in zip(rows["c"].to_pylist(), rows["asks"].to_pylist(), rows["set"]):
             found[asks][c] = np.frombuffer(data.as_buffer(), np.uint64)
-        links = compare_group(*found, inside=key[1].as_py() == 0, percent=percent)
-        return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
+        a, b = compare_group(*found, inside=key[1].as_py() == 0, percent=percent)
+        names, label, n = _stars(a, b)
+        near = pa.nulls(len(names), pa.list_(pa.int64()))
+        if pairs:
+            order = np.argsort(a, kind="stable")
+            ends = np.searchsorted(a[order], names, "right")
+            near = pa.ListArray.from_arrays(pa.array(np.r_[0, ends], pa.int32()), pa.array(b[order], pa.int64()))
+        return pa.table({"c": pa.array(names, pa.int64()), "label": pa.array(label, pa.int64()), "n": pa.array(n, pa.int64()), "near": near})
 
     work = held.mapInArrow(sets, "c long, set binary").join(near(todo), "c")
-    return components(work.groupBy("g", "part").applyInArrow(compare, "a long, b long"))
+    return materialize(work.groupBy("g", "part").applyInArrow(compare, "c long, label long, n long, near array<bigint>"), "links")
 
 
-def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """(id, n_shingles, class_key, component_id): component_id is the smallest id that links reach, class_key the same for
-    documents with equal sets (null without shingles)."""
+def _joined(df: DataFrame, id_col: str, text_col: str, words: int, percent: int, pairs: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Documents (id, n, d1, d2), classes (d1, d2, rep, copies), and what class_links finds."""
     docs = df.select(id_col, text_col)
     made = materialize(profile(docs, id_col, text_col, words), "profile")
     rows = made.where("chunk is null").select("id", "n", "d1", "d2")
     common = common_buckets(made.where("chunk is not null").select("part", "chunk", "counts"))
     classes = materialize(rows.where("n > 0").groupBy("d1", "d2").agg(F.min("id").alias("rep"), F.count("*").alias("copies")), "classes")
-    links = class_links(docs, id_col, text_col, classes, common, words, percent)
-    labelled = classes.join(links.withColumnRenamed("node", "d1"), "d1", "left").select("d1", "d2", "rep", F.coalesce("label", "d1").alias("label"))
+    return rows, classes, class_links(docs, id_col, text_col, classes, common, words, percent, pairs)
+
+
+def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """(id, n_shingles, class_key, component_id, n_links): component_id is the smallest id that links reach, class_key the
+    same for documents with equal sets (null without shingles), n_links the number of other classes linked."""
+    rows, classes, links = _joined(df, id_col, text_col, words, percent, False)
+    labels = components(links.select(F.col("c").alias("a"), F.col("label").alias("b"))).withColumnRenamed("node", "d1")
+    degrees = links.groupBy(F.col("c").alias("d1")).agg(F.sum("n").alias("links"))
+    labelled = classes.join(degrees.join(labels, "d1", "left"), "d1", "left").select("d1", "d2", "rep", "links", F.coalesce("label", "d1").alias("label"))
     whole = labelled.groupBy("label").agg(F.min("rep").alias("first"))
-    named = labelled.join(whole, "label").select("d1", "d2", "first")
+    named = labelled.join(whole, "label").select("d1", "d2", "first", "links")
     out = rows.join(named, ["d1", "d2"], "left")
     return out.select(
         F.col("id").alias(id_col),
         F.col("n").alias("n_shingles"),
         F.col("d1").alias("class_key"),
         F.when(F.col("n") > 0, F.col("first")).otherwise(F.col("id")).alias("component_id"),
+        F.coalesce("links", F.lit(0)).alias("n_links"),
     )
 
 
+def jaccard_links(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """(class_a, class_b, id_a, id_b): every link between different sets once, by class key and by the smallest id of each
+    class; class_a is the smaller key."""
+    _, classes, links = _joined(df, id_col, text_col, words, percent, True)
+    found = links.select("c", F.explode("near").alias("d")).select(F.least("c", "d").alias("class_a"), F.greatest("c", "d").alias("class_b"))
+    for side in "ab":
+        found = found.join(classes.select(F.col("d1").alias(f"class_{side}"), F.col("rep").alias(f"id_{side}")), f"class_{side}")
+    return found.select("class_a", "class_b", "id_a", "id_b")
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(read_table(spark, sf_dir, "documents"))
 

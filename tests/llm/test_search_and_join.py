@@ -127,6 +127,32 @@ def test_join_on_odd_texts(docs, none):
     assert jj.jaccard_components(none).count() == 0
 
 
+def test_join_loses_no_link(spark, monkeypatch):
+    rng = random.Random(12)
+    monkeypatch.setattr(jj, "GROUP_SETS", 16)
+    monkeypatch.setattr(jj, "GROUP_QUERIES", 7)
+    texts = sum((_family(rng, [f"{k}w{i}" for i in range(250)], 60) for k in range(3)), []) + [" ".join(f"s{i}" for i in range(n)) for n in (5, 12, 13, 14, 15)]
+    rows = list(enumerate(texts + texts[:9]))
+    sets = {}
+    for i, t in rows:
+        sets.setdefault(frozenset(zip(*(t.split()[k:] for k in range(5)))), i)
+    sets = {i: s for s, i in sets.items()}
+    want = {(i, j) for i, a in sets.items() for j, b in sets.items() if i < j and 100 * len(a & b) >= 80 * len(a | b)}
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    links = jj.jaccard_links(df).collect()
+    assert len(want) > 500 and len(links) == len(want) and {tuple(sorted((r["id_a"], r["id_b"]))) for r in links} == want
+    own = {s: i for i, s in sets.items()}
+    degree = {i: sum(own[frozenset(zip(*(t.split()[k:] for k in range(5))))] in p for p in want) for i, t in rows}
+    assert {r["doc_id"]: r["n_links"] for r in jj.jaccard_components(df).collect()} == degree
+
+
+def test_overlaps_of_few_and_many_holders():
+    rng = np.random.default_rng(13)
+    sets = [np.unique(rng.integers(0, k, 40).astype(np.uint64)) for k in [60] * 30 + [4000] * 40 + [300] * 30]
+    got = jj.overlaps(sets, 70)
+    assert all(got[i, j] == len(np.intersect1d(sets[i], sets[j])) for i in range(70) for j in range(i + 1, 100))
+
+
 def test_components(spark):
     rng = random.Random(11)
     edges = [(i, i + 1) for i in range(200, 260)] + [(rng.randrange(150), rng.randrange(150)) for _ in range(90)] + [(5, 5), (None, 3)]
