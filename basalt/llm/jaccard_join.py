@@ -34,6 +34,7 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from basalt.llm.common import materialize, read_table
 from basalt.llm.components import components, forest_labels
@@ -101,7 +102,7 @@ def _texts(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.
 
 def profile(df: DataFrame, id_col: str, text_col: str, words: int = WORDS) -> DataFrame:
     """A row (id, n, d1, d2) for each document, and each task's counts of its shingles' buckets (part, chunk, counts)."""
-    schema = df.select(F.col(id_col).alias("id")).schema
+    schema = T.StructType().add("id", df.schema[id_col].dataType)  # null in rows of counts
     for name, kind in (("n", "long"), ("d1", "long"), ("d2", "long"), ("part", "integer"), ("chunk", "integer"), ("counts", "binary")):
         schema = schema.add(name, kind)
 

@@ -40,11 +40,15 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, that with the smallest id. Documents without words are no one's
-    copies; rows that share an id are one document and stay or go together."""
-    found = jaccard_components(docs)
-    gone = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__id")), "left_anti").select(*docs.columns)
+    """One row of each group of near copies stays, that with the smallest id (null ids last), of equal ids the smallest hash
+    of the text, of equal texts the first row. Rows without words are no one's copies; an id that several rows share, or that
+    is null, says nothing about them."""
+    # written, so that a row has the same number whenever it is read
+    rows = materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.xxhash64("text").alias("text"), "__row")
+    found = jaccard_components(rows.withColumn("__key", key), "__key")
+    gone = found.where(~F.col("__key").eqNullSafe(F.col("component_id"))).select("__key.__row")
+    return rows.join(gone, "__row", "left_anti").select(*docs.columns)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -25,6 +25,20 @@ def test_stages(spark):
     assert {r["doc_id"] for r in docs.collect()} == set(seen["secret_scan"])
 
 
+def test_near_copies_are_decided_by_row(spark):
+    rng = random.Random(4)
+    prose = lambda: " ".join(f"w{rng.randrange(10**5)}" for _ in range(90))
+    a, b, c, d, e, f, g = (prose() for _ in range(7))
+    near = lambda x: x + " more"
+    rows = [(1, a), (None, near(a)), (None, b), (None, near(b)), (None, c), (7, d), (7, e), (7, near(e)), (8, f), (8, f), (9, near(d)), (None, None), (None, ""), (2, near(g)), (7, g)]
+    docs = spark.createDataFrame([(i, t, "en", "src", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    out = [(r["doc_id"], r["text"]) for r in cp.near_duplicates(spark, docs, "").collect()]
+    assert len(out) == 9
+    left = lambda *pairs: [x for x in out if x in pairs]
+    for one in ([(1, a)], [(None, b), (None, near(b))], [(None, c)], [(7, d)], [(7, e), (7, near(e))], [(8, f)], [(None, None)], [(None, "")], [(2, near(g))]):
+        assert len(left(*one)) == 1, one
+
+
 def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
     for name, stage in cp.STAGES:
