@@ -22,8 +22,8 @@ MAX_REPEAT_PCT = 50
 #: A document goes when more than this share of its characters was in removed lines.
 MAX_LOST_PCT = 50
 SYMBOLS = "#*$%&|<>"
-#: Positions take this many low bits beside a window's hash, so texts may have 2**25 words.
-POSITION_BITS = 25
+#: Positions take this many low bits beside a window's hash: as many as an array can have elements.
+POSITION_BITS = 31
 
 NAVIGATION = (
     r"(?i)^\s*(home|menu|log ?in|log ?out|sign ?(in|up)|register|search|next|previous|back to top|skip to (main )?content"
@@ -57,24 +57,27 @@ def line_fails(line: Column) -> Column:
     )
 
 
-def _repeat_words(words: Column, grams: Column) -> Column:
-    """Words covered by windows of three that occur twice or more: windows' hashes are sorted with their positions,
-    equal neighbours are compared word by word, and the positions found are swept once."""
-    mask = (1 << POSITION_BITS) - 1
+def _candidates(grams: Column) -> Column:
+    """Positions of windows whose hash bits a neighbour in the sorted array has too, so of all that occur twice or more."""
+    bits = lambda x: F.shiftright(x, POSITION_BITS)
+    alike = lambda x, y: F.coalesce(bits(x) == bits(y), F.lit(False))
+    near = F.filter(grams, lambda x, j: alike(x, F.get(grams, j - 1)) | alike(x, F.get(grams, j + 1)))
+    return F.transform(near, lambda x: x.bitwiseAND(F.lit((1 << POSITION_BITS) - 1)).cast("int"))
 
-    def same(x: Column, y: Column) -> Column:
-        p, q = x.bitwiseAND(F.lit(mask)).cast("int"), y.bitwiseAND(F.lit(mask)).cast("int")
-        equal = F.shiftright(x, POSITION_BITS) == F.shiftright(y, POSITION_BITS)
-        for k in range(3):
-            equal = equal & (F.get(words, p + k) == F.get(words, q + k))
-        return equal
 
-    none = F.lit(False)
+def _window(words: Column, p: Column) -> Column:
+    return F.struct(*(F.get(words, p + k).alias(f"w{k}") for k in range(3)), p.alias("p"))
+
 
-    def twice(x: Column, j: Column) -> Column:
-        return F.coalesce(same(x, F.get(grams, j - 1)), none) | F.coalesce(same(x, F.get(grams, j + 1)), none)
+def _repeat_words(windows: Column) -> Column:
+    """Words covered by windows of three that occur twice or more: of the sorted windows and positions equal neighbours are
+    found, and their positions are swept once."""
+
+    def same(x: Column, y: Column) -> Column:
+        return F.coalesce((x["w0"] == y["w0"]) & (x["w1"] == y["w1"]) & (x["w2"] == y["w2"]), F.lit(False))
 
-    hits = F.array_sort(F.transform(F.filter(grams, twice), lambda x: x.bitwiseAND(F.lit(mask)).cast("int")))
+    twice = F.filter(windows, lambda x, j: same(x, F.get(windows, j - 1)) | same(x, F.get(windows, j + 1)))
+    hits = F.sort_array(F.transform(twice, lambda x: x["p"]))
     start = F.struct(F.lit(0).alias("n"), F.lit(-3).alias("last"))
     step = lambda a, p: F.struct((a["n"] + F.least(F.lit(3), p - a["last"])).alias("n"), p.alias("last"))
     return F.aggregate(hits, start, step, lambda a: a["n"])
@@ -102,11 +105,14 @@ def quality_rules(
         F.array().cast("array<bigint>")
     )
     df = df.withColumn("__grams", F.sort_array(windows))
+    # bits decide only which windows are sorted by their words
+    df = df.withColumn("__near", _candidates(F.col("__grams")))
+    df = df.withColumn("__windows", F.sort_array(F.transform("__near", lambda p: _window(F.col("__words"), p))))
     df = df.withColumn("__lines", F.split(text, "\n"))
     df = df.withColumn("__good", F.filter("__lines", lambda x: ~line_fails(x) | ~x.rlike(r"[^\x20\x09-\x0D]")))
     with_word = F.filter("__lines", lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     chars = lambda a: F.length(F.array_join(a, ""))
-    n_words, n_repeat = F.size("__words").cast("long"), _repeat_words(F.col("__words"), F.col("__grams")).cast("long")
+    n_words, n_repeat = F.size("__words").cast("long"), _repeat_words(F.col("__windows")).cast("long")
     found = F.struct(
         n_words.alias("n_words"),
         chars("__words").cast("long").alias("word_chars"),
@@ -125,7 +131,7 @@ def quality_rules(
     failed = (q["n_words"] < min_words) | (100 * q["n_repeat_words"] > max_repeat_pct * q["n_words"])
     kept = ~failed & (100 * q["lost_chars"] <= max_lost_pct * q["line_chars"])
     out = df.withColumns({n: q[n] for n in names} | {"base_failed": failed, "kept": kept})
-    return out.drop("__words", "__h", "__grams", "__lines", "__good", "__q")
+    return out.drop("__words", "__h", "__grams", "__near", "__windows", "__lines", "__good", "__q")
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,6 +29,19 @@ def test_rules_on_odd_texts(docs, none):
         assert not r["kept"] and r["base_failed"]
 
 
+@pytest.mark.parametrize("bits", [None, 60, 63])
+def test_repeats_don_t_depend_on_hash_bits(spark, monkeypatch, bits):
+    assert qr.POSITION_BITS >= 31
+    if bits:
+        monkeypatch.setattr(qr, "POSITION_BITS", bits)
+    rng = random.Random(bits)
+    rows = [(i, " ".join(rng.choice("abcdefgh"[: 3 + i % 6]) for _ in range(rng.randrange(200)))) for i in range(40)]
+    for r in qr.quality_rules(spark.createDataFrame(rows, "doc_id int, text string")).collect():
+        words = WORD.findall(r["text"])
+        grams = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+        assert r["n_repeat_words"] == len({i + k for i, g in enumerate(grams) if grams.count(g) > 1 for k in range(3)})
+
+
 def test_rules_per_line(spark):
     body = "\n".join(" ".join(f"Word{i}{chr(97 + k)}" for k in range(9)) + " ends here." for i in range(8))
     junk = "a | b | c | d |\nHome\nAll rights reserved.\nNO!! WAY!! SO!! LOUD!! HERE!!\n$$$ ### $$$ ###"
