@@ -2,7 +2,10 @@
 
 The reader walks an archive record by record, gzip member by member or version line by version line. When a check fails
 (member's checksum, header, length, end mark, block digest) it searches for the next valid member or version line, goes
-on from there, and logs the bytes passed over as a quarantined gap; every later record is recovered.
+on from there, and logs the bytes passed over as a quarantined gap; every later record is recovered. A gzip member may hold
+any number of records: its unpacked bytes stream through the same reader, which goes on at the next version line inside them,
+and records that passed stay when the member fails or is cut later. An offset and length tell the packed bytes read for a
+record or gap; together they cover the archive.
 
 Archives are written by tasks into segments of bounded size under names of their own, and only segments that the manifest
 names are read, so a lost executor or a second attempt leaves unread files at most. Paths are opened with pyarrow's file
@@ -34,9 +37,11 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: Payloads below this never become revisits.
 MIN_REVISIT_BYTES = 0
 SEGMENT_BYTES = 32 << 20
-#: A member that unpacks to more is quarantined: it can't be a record this engine wrote, and would fill a task's memory.
+#: A record of more bytes is quarantined: it can't be one that this engine wrote, and would fill a task's memory.
 MAX_RECORD_BYTES = 1 << 30
 CHUNK = 1 << 20
+#: Packed bytes that are unpacked at once.
+PIECE = 1 << 16
 
 RECORD_SCHEMA = (
     "path string, offset long, length long, status string, reason string, warc_type string, record_id string, "
@@ -121,37 +126,104 @@ class _Window:
         self.at += n
 
 
-def _member(w: _Window) -> tuple[bytes, int]:
-    """The gzip member that begins here, unpacked, and its packed size."""
-    d, used, out, total = zlib.decompressobj(31), 0, [], 0
-    while not d.eof:
-        w.need(used + 1)
-        part = bytes(w.buf[used : used + CHUNK])
-        if not part:
-            raise Bad("member is cut")
+class _Member:
+    """The unpacked bytes of the gzip member that begins at the window's place, as a file. What was fed stays in the window
+    until records that end behind it have passed, as after a failure the next member is searched there."""
+
+    def __init__(self, w: _Window) -> None:
+        self.w, self.d, self.fed, self.total, self.why = w, zlib.decompressobj(31), 0, 0, ""
+        self.marks: list[tuple[int, int]] = []
+
+    def read(self, n: int) -> bytes:
+        """Up to n bytes; none at the end or after a failure, which ``why`` names."""
+        limit = PIECE
+        while not self.d.eof and not self.why:
+            self.w.need(self.fed + 1)
+            part, before = bytes(self.w.buf[self.fed : self.fed + limit]), self.d.copy()
+            try:
+                got = self.d.decompress(part, n)
+            except zlib.error:
+                # what comes before the bad byte is unpacked in smaller parts
+                self.d, limit = before, min(limit, len(part)) // 2
+                if not limit:
+                    self.why = "member's checksum"
+                continue
+            self.fed += len(part) - len(self.d.unused_data) - len(self.d.unconsumed_tail)
+            self.total += len(got)
+            self.marks.append((self.total, self.w.at + self.fed))
+            if got:
+                return got
+            if not part and not self.d.eof:
+                self.why = "member is cut"
+        return b""
+
+    def release(self, done: int) -> None:
+        """Let go of packed bytes that only the first ``done`` unpacked ones need; not of the last read, which may reach further."""
+        k = 0
+        while k < len(self.marks) and self.marks[k][0] < done:
+            k += 1
+        if k:
+            n = self.marks[k - 1][1] - self.w.at
+            del self.marks[:k]
+            self.w.skip(n)
+            self.fed -= n
+
+
+def _member(w: _Window) -> Iterator[tuple[int, int, dict[str, str] | None, bytes, str]]:
+    """The records and gaps of the gzip member that begins here. If it fails, the window is left at the next place where a
+    member or version line begins."""
+    m = _Member(w)
+    inner, at, held, why = _Window(m), w.at, None, ""
+    while inner.need(1):
         try:
-            got = d.decompress(part, MAX_RECORD_BYTES + 1 - total)
-        except zlib.error:
-            raise Bad("member's checksum") from None
-        out.append(got)
-        total += len(got)
-        if total > MAX_RECORD_BYTES:
-            raise Bad("member is too large")
-        used += len(part) - len(d.unused_data) - len(d.unconsumed_tail)
-    return b"".join(out), used
+            headers, block, used = _plain(inner)
+        except Bad as e:
+            why = why or e.args[0]
+            _resync(inner, False)
+            continue
+        # what was found last reaches up to here, as far as is known before the member's end
+        if why or held:
+            to = w.at if not m.marks else max(w.at, at)
+            if held:
+                yield at, to - at, *held, ""
+                at = to
+            if why:
+                yield at, 0, None, b"", why
+            why = ""
+        inner.skip(used)
+        held = headers, block
+        if not m.d.eof:
+            m.release(inner.at)
+    if not m.why:
+        end = w.at + m.fed
+        w.skip(m.fed)
+        if held:
+            yield at, (0 if why else end - at), *held, ""
+            at = at if why else end
+        if why or not held:
+            yield at, end - at, None, b"", why or "version line"
+        return
+    # a block digest proves the last record, any other may hold what is damaged
+    if held and held[0].get("warc-block-digest", "").startswith("sha1:"):
+        yield at, w.at - at, *held, ""
+        at = w.at
+    _resync(w)
+    yield at, w.at - at, None, b"", m.why
 
 
 def _plain(w: _Window) -> tuple[dict[str, str], bytes, int]:
     """The record that begins here in an archive that isn't packed."""
     size = CHUNK
     while True:
-        data = bytes(w.need(size))
+        data = bytes(w.need(size)[:size])
         try:
             return parse_record(data)
         except Bad as why:
-            if w.eof or why.args[0] not in ("header is cut", "record is cut") or size > MAX_RECORD_BYTES:
+            if w.eof and len(w.buf) <= size or why.args[0] not in ("header is cut", "record is cut"):
                 raise
-            size *= 4
+            if size > MAX_RECORD_BYTES:
+                raise Bad("record is too large") from None
+            size = min(size * 4, MAX_RECORD_BYTES + 1)
 
 
 def _starts(w: _Window) -> bool:
@@ -165,14 +237,15 @@ def _starts(w: _Window) -> bool:
     return bool(re.match(rb"WARC/1\.\d\r\n", head))
 
 
-def _resync(w: _Window) -> None:
-    """Go to the next place where a member or version line begins; the end if there is none."""
+def _resync(w: _Window, members: bool = True) -> None:
+    """Go to the next place where a version line, or a member if there can be any, begins; the end if there is none."""
+    mark = rb"\x1f\x8b\x08|WARC/1\." if members else rb"WARC/1\."
     w.skip(1)
     while True:
         w.need(1 << 16)
         if not w.buf:
             return
-        m = re.search(rb"\x1f\x8b\x08|WARC/1\.", w.buf)
+        m = re.search(mark, w.buf)
         if not m:
             w.skip(len(w.buf) if w.eof else max(0, len(w.buf) - 8))
             if not w.eof:
@@ -189,23 +262,17 @@ def salvage(f) -> Iterator[tuple[int, int, dict[str, str] | None, bytes, str]]:
     w = _Window(f)
     while w.need(1):
         start = w.at
+        if w.need(3)[:3] == b"\x1f\x8b\x08":
+            yield from _member(w)
+            continue
         try:
-            if w.need(3)[:3] == b"\x1f\x8b\x08":
-                data, used = _member(w)
-                found, at = [], 0
-                while at < len(data):
-                    headers, block, at = parse_record(data, at)
-                    found.append((headers, block))
-                w.skip(used)
-                for headers, block in found:
-                    yield start, used, headers, block, ""
-            else:
-                headers, block, used = _plain(w)
-                w.skip(used)
-                yield start, used, headers, block, ""
+            headers, block, used = _plain(w)
         except Bad as why:
             _resync(w)
             yield start, w.at - start, None, b"", why.args[0]
+        else:
+            w.skip(used)
+            yield start, used, headers, block, ""
 
 
 def _http(block: bytes) -> tuple[dict[str, str], bytes]:

@@ -59,3 +59,35 @@ def test_gaps_are_logged_in_a_table(spark, tmp_path):
     rows = warc.read_warc(paths).orderBy("offset").collect()
     assert [(r["status"], r["length"], r["warc_type"]) for r in rows] == [("ok", len(good[0]), "response"), ("quarantined", 77, None), ("ok", len(good[1]), "response")]
     assert len(rows[0]["payload"]) == rows[0]["payload_bytes"]
+
+
+def _ids(data):
+    out = list(warc.salvage(io.BytesIO(data)))
+    assert sum(x[1] for x in out) == len(data) and all(x[1] >= 0 for x in out) and [x[0] for x in out] == sorted(x[0] for x in out)
+    return [int(h["warc-record-id"][10:-1]) for _, _, h, _, _ in out if h], [x[4] for x in out if x[2] is None]
+
+
+def test_salvage_inside_members_of_many_records(monkeypatch):
+    records = _records(400)
+    whole = warc.gzip_member(b"".join(records))
+    assert _ids(whole) == (list(range(400)), [])
+    bad = bytearray(b"".join(records))
+    spot = len(b"".join(records[:7])) + len(records[7]) - 60
+    bad[spot] ^= 255
+    single = warc.gzip_member(records[0])
+    # a record that fails inside a member that is sound
+    assert _ids(warc.gzip_member(bytes(bad)) + single) == ([i for i in range(400) if i != 7] + [0], ["block digest"])
+    # a cut member, and one with a bad byte: what passed stays, and the next member is found
+    got, why = _ids(whole[: len(whole) // 2])
+    assert 150 < len(got) < 250 and got == list(range(len(got))) and why == ["member is cut"]
+    hurt = bytearray(whole)
+    hurt[len(whole) // 2 : len(whole) // 2 + 40] = b"\xff" * 40
+    got, why = _ids(bytes(hurt) + single)
+    assert got[-1] == 0 and got[:150] == list(range(150)) and why
+    # bounds are a record's
+    monkeypatch.setattr(warc, "MAX_RECORD_BYTES", 5000)
+    monkeypatch.setattr(warc, "CHUNK", 1000)
+    monkeypatch.setattr(warc, "PIECE", 300)
+    large = warc.record("urn:page:1", None, b"x" * 9000)
+    assert _ids(whole) == (list(range(400)), [])
+    assert _ids(warc.gzip_member(records[0] + large + records[2]) + single) == ([0, 2, 0], ["record is too large"])
