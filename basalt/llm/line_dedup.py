@@ -135,10 +135,10 @@ def line_dedup(
     none = F.array().cast("array<struct<s:int,e:int>>")
     out = out.withColumn("__w", F.when(F.col("__nth") > 1, own).otherwise(F.coalesce(F.sort_array("__found"), none)))
     if extend:
-        # a window may reach past the end of later ones, of up to 2 * min_lines - 3
-        back = lambda x, j: [F.get(F.col("__found"), j - k)["e"] for k in range(1, 2 * min_lines)]
-        out = out.withColumn("__found", F.col("__w"))
-        out = out.withColumn("__w", F.transform("__found", lambda x, j: F.struct(x["s"].alias("s"), F.greatest(x["e"], *back(x, j)).alias("e"))))
+        # a window may reach past the end of later ones, of up to 2 * min_lines - 3; the array is bound once, as in _windows
+        reach = lambda a, x, j: F.greatest(x["e"], *(F.get(a, j - k)["e"] for k in range(1, 2 * min_lines)))
+        over = F.transform(F.array("__w"), lambda a: F.transform(a, lambda x, j: F.struct(x["s"].alias("s"), reach(a, x, j).alias("e"))))
+        out = out.withColumn("__w", F.get(over, 0))
     opens = F.filter("__w", lambda x, j: (j == 0) | (x["s"] > F.get(F.col("__w"), j - 1)["e"] + 1))
     ends = F.filter("__w", lambda x, j: (j == F.size("__w") - 1) | (F.get(F.col("__w"), j + 1)["s"] > x["e"] + 1))
     out = out.withColumn("__runs", F.zip_with(opens, ends, lambda a, b: F.struct(a["s"].alias("s"), b["e"].alias("e"))))
