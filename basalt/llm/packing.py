@@ -1,11 +1,12 @@
-"""Best-fit packing of tokenized documents, bulk-synchronously.
+"""Best-fit packing of tokenized documents.
 
 Documents become pieces of at most ``capacity`` tokens; pieces are range-sorted by length over the cluster, which gives each
 its rank among pieces of its length. Lengths and gaps are whole numbers up to the capacity, so pieces of one length, and
-sequences with one gap, are stretches of ranks. A superstep takes the longest length left: a successor sweep matches
-its ranks with the stretches of sequences whose gap is the smallest that holds it, equal wishes are settled by rank,
-gaps are updated, and the sweep repeats until the length is placed, opening sequences where no gap fits. Supersteps work
-on stretches (a few thousand, whatever the number of documents); pieces then look up their stretch by rank, in parallel.
+sequences with one gap, are stretches of ranks. Which stretch goes where is decided by counted sequential best fit
+decreasing on the driver (``sweep``): longest length first, into the sequences of the smallest gap that holds it. That stands
+in place of distributed supersteps: gaps aren't range-sorted, and there are no distributed successor sweeps, wishes or
+conflicts. There are a few thousand stretches whatever the number of documents, so a round over the cluster for each
+would only add its delay. Pieces then look up their stretch by rank, in parallel.
 The result is that of best fit over pieces in descending length.
 
 Token ids are those of the ``tokenizers`` file; texts of common characters are encoded by ``tiktoken`` over the same merges,
