@@ -25,6 +25,10 @@ SYMBOLS = "#*$%&|<>"
 #: Positions take this many low bits beside a window's hash: as many as an array can have elements.
 POSITION_BITS = 31
 
+#: Sentence marks of the scripts in use; a line with none of them may be code, which a last mark of CODE_END tells.
+MARKS = ".!?…。！？｡．।॥؟۔։።፧།។။᠃"
+CODE_END = ";{}):"
+#: Languages' phrases are parameters of quality_rules; these are the English ones.
 NAVIGATION = (
     r"(?i)^\s*(home|menu|log ?in|log ?out|sign ?(in|up)|register|search|next|previous|back to top|skip to (main )?content"
     r"|read more|share( this)?|subscribe|contact( us)?|about( us)?|site ?map)\s*[.!>»|:]*\s*$"
@@ -35,10 +39,15 @@ BOILERPLATE = (
 )
 
 
-def line_fails(line: Column) -> Column:
+def has_mark(marks: str = MARKS, code_end: str = CODE_END) -> str:
+    """A pattern of lines with a sentence mark, or that end as code does."""
+    return rf"[{marks}]|[{code_end}][ \t\r]*\z"
+
+
+def line_fails(line: Column, marks: str = MARKS, code_end: str = CODE_END, navigation: str = NAVIGATION, boilerplate: str = BOILERPLATE) -> Column:
     """True for a line that a rule removes.
 
-    punctuation: no sentence mark at all, a tenth of the characters are symbols, or marks doubled on every few words;
+    punctuation: no sentence mark and no end of code, a tenth of the characters are symbols, or marks doubled on every few words;
     navigation: three or more bars between short cells, or a lone menu phrase;
     boilerplate: a stock phrase in a line of up to 300 characters.
     """
@@ -46,14 +55,14 @@ def line_fails(line: Column) -> Column:
     symbols = size - F.length(F.translate(line, SYMBOLS, ""))
     shouts = size - F.length(F.regexp_replace(line, "!!", "!"))
     bars = size - F.length(F.translate(line, "|»•", ""))
-    no_mark = ~line.rlike(r"[.!?…]")
+    no_mark = ~line.rlike(has_mark(marks, code_end))
     return (
         no_mark
         | (symbols * 10 > size)
         | ((shouts >= 3) & (shouts * 20 > size))
         | ((bars >= 3) & (bars * 40 > size))
-        | ((size <= 60) & line.rlike(NAVIGATION))
-        | ((size <= 300) & line.rlike(BOILERPLATE))
+        | ((size <= 60) & line.rlike(navigation))
+        | ((size <= 300) & line.rlike(boilerplate))
     )
 
 
@@ -89,9 +98,13 @@ def quality_rules(
     min_words: int = MIN_WORDS,
     max_repeat_pct: int = MAX_REPEAT_PCT,
     max_lost_pct: int = MAX_LOST_PCT,
+    marks: str = MARKS,
+    code_end: str = CODE_END,
+    navigation: str = NAVIGATION,
+    boilerplate: str = BOILERPLATE,
 ) -> DataFrame:
     """df with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_bad_lines, lost_chars (long),
-    clean_text, base_failed and kept."""
+    clean_text, base_failed and kept. Marks are characters of a bracket expression; the last two are patterns."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     df = df.withColumn("__words", F.filter(F.split(text, SPACE + "+"), lambda w: w != ""))
     # three hashes as a hash, then the position below it: plain longs, which Spark sorts without boxing
@@ -109,7 +122,7 @@ def quality_rules(
     df = df.withColumn("__near", _candidates(F.col("__grams")))
     df = df.withColumn("__windows", F.sort_array(F.transform("__near", lambda p: _window(F.col("__words"), p))))
     df = df.withColumn("__lines", F.split(text, "\n"))
-    df = df.withColumn("__good", F.filter("__lines", lambda x: ~line_fails(x) | ~x.rlike(r"[^\x20\x09-\x0D]")))
+    df = df.withColumn("__good", F.filter("__lines", lambda x: ~line_fails(x, marks, code_end, navigation, boilerplate) | ~x.rlike(r"[^\x20\x09-\x0D]")))
     with_word = F.filter("__lines", lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     chars = lambda a: F.length(F.array_join(a, ""))
     n_words, n_repeat = F.size("__words").cast("long"), _repeat_words(F.col("__windows")).cast("long")
@@ -142,7 +155,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _FAIL_SQL = rf"""(
-    NOT regexp_matches(l, '[.!?…]')
+    NOT regexp_matches(l, '{has_mark()}')
     OR (length(l) - length(regexp_replace(l, '[#*$%&|<>]', '', 'g'))) * 10 > length(l)
     OR ((length(l) - length(replace(l, '!!', '!'))) >= 3 AND (length(l) - length(replace(l, '!!', '!'))) * 20 > length(l))
     OR ((length(l) - length(regexp_replace(l, '[|»•]', '', 'g'))) >= 3
