@@ -3,16 +3,33 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from basalt.storage import materialize, new_dir, shared_dir
 
-__all__ = ["SPACE", "WORD", "materialize", "new_dir", "read_table", "shared_dir"]
+__all__ = ["SPACE", "WORD", "join_split", "materialize", "new_dir", "read_table", "shared_dir"]
 
 #: Words are runs of anything but ASCII white space.
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
+#: A key of up to so many rows is no hot one; and no more keys than this are ever broadcast as hot ones.
+HOT_ROWS = 1_000
+HOT_KEYS = 100_000
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of the data folder; only Spark's readers touch the path."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def join_split(rows: DataFrame, keyed: DataFrame, key: str, total: int | None = None) -> DataFrame:
+    """rows joined with keyed, which has each key once with ``n``, the number of its rows; both should be written tables.
+
+    Keys of more than HOT_ROWS rows, and of more than their total over HOT_KEYS, are joined where their rows lie, by a broadcast
+    of at most HOT_KEYS rows of keyed; all others are shuffled, so no task gets more than that of one key."""
+    total = (keyed.agg(F.sum("n")).first()[0] or 0) if total is None else total
+    hot = keyed.where(F.col("n") > max(HOT_ROWS, total // HOT_KEYS))
+    # rows of hot keys leave before the shuffle
+    cold = rows.join(F.broadcast(hot.select(key)), key, "left_anti")
+    cold = cold.join(keyed.where(F.col("n") <= max(HOT_ROWS, total // HOT_KEYS)).hint("merge"), key)
+    return rows.join(F.broadcast(hot), key).unionByName(cold).drop("n")

@@ -59,8 +59,8 @@ def test_dedup_equals_sql(spark):
 
 def test_dedup_random_lines_equal_sql(spark, folder):
     rng = random.Random(5)
-    line = lambda: rng.choice(["a b", "c", "d e f", " ", "", "long " * 60, *(f"line {i}" for i in range(6))])
-    rows = [(i, "\n".join(line() for _ in range(rng.randrange(14)))) for i in range(120)]
+    line = lambda: rng.choice(["a b", "c", "d e f", " ", "", "long " * 60, "half\t " * 25, " " * 49 + "}", *(f"line {i}" for i in range(6))])
+    rows = [(i or None, "\n".join(line() for _ in range(rng.randrange(14)))) for i in range(120)]
     path = folder(documents=spark.createDataFrame(rows, "doc_id long, text string"))
     same(ld.op4_line_dedup(spark, path), connect(folder=path, tables="documents"), ld.OP4_SQL)
 
@@ -151,7 +151,7 @@ def test_dedup_random_lines_equal_literal_extension(spark):
     for d, own in enumerate(lines):
         for s in range(len(own)):
             for k in range(1, 4):
-                words = sum(x.count(" ") + 1 for _, x in own[s : s + k])
+                words = sum(len(WORD.findall(x)) for _, x in own[s : s + k])
                 if s + k <= len(own) and (k == 3 or words >= 50):
                     fd, fs = firsts.setdefault(tuple(x for _, x in own[s : s + k]), (d, s))
                     if (fd, fs) != (d, s):
@@ -206,3 +206,21 @@ def test_rules_know_marks_of_other_scripts_and_code(spark):
     rows = spark.createDataFrame([(1, hindi), (2, code)], "doc_id int, text string")
     assert all(r["kept"] for r in qr.quality_rules(rows).collect())
     assert not any(r["kept"] for r in qr.quality_rules(rows, marks=".", code_end=".").collect())
+
+
+def test_dedup_counts_words_and_not_spaces(spark):
+    lone = " " * 49 + "}"
+    rows = [(1, f"a\n{lone}\nb"), (2, f"c\n{lone}\nd")]
+    df = spark.createDataFrame([(*r, "clash", "clash", "clash") for r in rows], "doc_id int, text string, n_lines string, removed string, __k1 string")
+    out = ld.line_dedup(df)
+    assert sorted((r["doc_id"], r["text"], r["n_lines"], r["removed"], r["__k1"]) for r in out.collect()) == [(*r, 3, "", "clash") for r in rows]
+
+
+def test_hot_keys_leave_before_the_shuffle(spark, monkeypatch):
+    from basalt.llm import common
+
+    monkeypatch.setattr(common, "HOT_ROWS", 5)
+    rows = spark.createDataFrame([(None, 0)] + [(k, i) for k in range(6) for i in range(3 * k)], "k int, i int")
+    keyed = rows.groupBy("k").agg(F.count("*").alias("n"), F.max("i").alias("top")).where("k <> 3")
+    got = sorted((r["k"], r["i"], r["top"]) for r in common.join_split(rows, keyed, "k").collect())
+    assert got == sorted((k, i, 3 * k - 1) for k in range(6) for i in range(3 * k) if k != 3)
