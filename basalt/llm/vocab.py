@@ -4,13 +4,17 @@ from __future__ import annotations
 
 import os
 
-FOLDER = "/opt/tokenizers"
 PIECES = "piece_bpe_32k.model"
 BYTE_BPE = "byte_bpe_50k"
 
 
-def path(name: str, folder: str = FOLDER) -> str:
-    return os.path.join(folder, name)
+def path(name: str, folder: str | None = None) -> str:
+    """A file of the folder, or without one of the installed package."""
+    if folder is not None:
+        return os.path.join(folder, name)
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def read_pieces(file: str) -> list[tuple[str, float, str]]:

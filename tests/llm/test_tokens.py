@@ -146,4 +146,4 @@ def test_sweep_is_best_fit_decreasing(spark):
             gaps.append((min(fits) if fits else capacity) - n)
         df = spark.createDataFrame([(i % 50, i, n) for i, n in enumerate(sizes)], "doc_id int, piece int, length long")
         assert _check(packing.pack(df, capacity).collect(), capacity) == len(gaps)
-    assert packing.sweep(Counter(), 9) == []
+    assert packing.sweep([], [], 9) == ([], [], [])
