@@ -13,19 +13,22 @@ Decoding restores the text byte for byte; characters outside the vocabulary, and
 a text holds it itself, travel as byte pieces.
 
 Defined cases: a null or empty text has no ids and decodes to the empty text; repeated rows with equal ids are
-segmented alike; a null id counts as a key of its own; extra columns are ignored.
+segmented alike; a null id counts as a key of its own; an empty table gives no rows; extra columns are ignored but for those
+that are asked for.
 """
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from basalt.llm import vocab
@@ -369,11 +372,28 @@ class Codec:
         return list(zip(cut, draws))
 
     def decode(self, ids: list[int]) -> str:
-        out = b"".join(map(self.text.__getitem__, ids)).decode()
+        out = b"".join(map(self.text.__getitem__, ids)).decode("utf-8", "replace")
         return out[1:] if out else ""
 
 
-_OWN: dict[int, Codec] = {}
+_OWN: dict[str, Codec] = {}
+
+
+def _shared(spark: SparkSession, codec: Codec) -> Callable[[], Codec]:
+    """Gives a worker its own copy of the codec, once for each broadcast."""
+    sent, name = spark.sparkContext.broadcast(codec), uuid.uuid4().hex
+
+    def get() -> Codec:
+        if name not in _OWN:
+            _OWN.clear()
+            _OWN[name] = sent.value
+        return _OWN[name]
+
+    return get
+
+
+def _names(id_col: str, keep: tuple[str, ...], new: tuple[str, ...]) -> list[str]:
+    return [id_col, *(c for c in keep if c != id_col and c not in new)]
 
 
 def encode(
@@ -384,42 +404,67 @@ def encode(
     seed: int = SEED,
     vocab_file: str | None = None,
     with_ids: bool = True,
+    check: bool = True,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """The id, ids (array<int>; if ``with_ids``), n_tokens, ids_crc32 (of little-endian unsigned 32-bit ids) and lossless."""
+    """The id, the columns ``keep``, ids (array<int>; if ``with_ids``), n_tokens, ids_crc32 (of little-endian unsigned 32-bit
+    ids) and, with ``check``, lossless."""
     spark = df.sparkSession
-    codec = spark.sparkContext.broadcast(Codec(vocab.read_pieces(vocab_file or vocab.path(vocab.PIECES)), rate, seed))
-    schema = df.select(id_col).schema
+    codec = _shared(spark, Codec(vocab.read_pieces(vocab_file or vocab.path(vocab.PIECES)), rate, seed))
+    names = _names(id_col, keep, ("ids", "n_tokens", "ids_crc32", "lossless"))
+    schema = df.select(*names).schema
     if with_ids:
         schema = schema.add("ids", T.ArrayType(T.IntegerType()))
-    schema = schema.add("n_tokens", "long").add("ids_crc32", "long").add("lossless", "boolean")
+    schema = schema.add("n_tokens", "long").add("ids_crc32", "long")
+    if check:
+        schema = schema.add("lossless", "boolean")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if id(codec) not in _OWN:
-            _OWN.clear()
-            _OWN[id(codec)] = codec.value
-        c = _OWN[id(codec)]
+        c = codec()
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                texts = [x or "" for x in part.column(1).to_pylist()]
+                texts = [x or "" for x in part.column(len(names)).to_pylist()]
                 cuts = [c.stretches(text) for text in texts]
                 draws = [c.draws(str(name), len(cut)) for name, cut in zip(part.column(0).to_pylist(), cuts)]
                 data, size = c.encode_all([x for cut in cuts for x in cut], np.concatenate(draws))
-                ends = np.r_[0, np.cumsum(size)][np.cumsum([0, *map(len, cuts)])].tolist()
-                ids, n, crc, same = [], [], [], []
-                for text, a, b in zip(texts, ends, ends[1:]):
-                    got = data[a:b]
-                    n.append(len(got))
-                    crc.append(zlib.crc32(got.astype("<u4").tobytes()))
-                    same.append(c.decode(got.tolist()) == text)
-                    if with_ids:
-                        ids.append(got.astype(np.int32))
-                columns = [part.column(0), *([pa.array(ids, pa.list_(pa.int32()))] if with_ids else [])]
-                columns += [pa.array(n, pa.int64()), pa.array(crc, pa.int64()), pa.array(same, pa.bool_())]
+                ends = np.r_[0, np.cumsum(size)][np.cumsum([0, *map(len, cuts)])]
+                wide = data.astype("<u4")
+                columns = part.columns[: len(names)]
+                if with_ids:
+                    columns.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(wide.astype(np.int32))))
+                columns.append(pa.array(np.diff(ends), pa.int64()))
+                ends = ends.tolist()
+                columns.append(pa.array([zlib.crc32(wide[a:b].tobytes()) for a, b in zip(ends, ends[1:])], pa.int64()))
+                if check:
+                    columns.append(pa.array([c.decode(data[a:b].tolist()) == t for t, a, b in zip(texts, ends, ends[1:])], pa.bool_()))
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return df.select(id_col, text_col).mapInArrow(run, schema)
+    return df.select(*names, F.col(text_col).alias("__text")).mapInArrow(run, schema)
+
+
+def decode(
+    df: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", text_col: str = "text", vocab_file: str | None = None, keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """The id, the columns ``keep`` and the text that the ids stand for; null ids give an empty text, ids that are null or outside
+    the vocabulary give nothing, and bytes that are no UTF-8 the mark of replacement."""
+    codec = _shared(df.sparkSession, Codec(vocab.read_pieces(vocab_file or vocab.path(vocab.PIECES)), 0))
+    names = _names(id_col, keep, (text_col,))
+    schema = df.select(*names).schema.add(text_col, "string")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        c = codec()
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                texts = [c.decode([i for i in ids or () if i is not None and 0 <= i < len(c.text)]) for ids in part.column(len(names)).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(names)], pa.array(texts, pa.string())], names=schema.names)
+
+    return df.select(*names, F.col(ids_col).alias("__ids")).mapInArrow(run, schema)
 
 
 def op3_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encode(read_table(spark, sf_dir, "documents"), with_ids=False)
+    """Every text is encoded, and its ids are decoded as a table's column; lossless compares what comes back."""
+    coded = encode(read_table(spark, sf_dir, "documents"), check=False, keep=("text",))
+    back = decode(coded, text_col="decoded", keep=("text", "n_tokens", "ids_crc32"))
+    return back.select("doc_id", "n_tokens", "ids_crc32", (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("lossless"))

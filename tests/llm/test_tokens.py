@@ -1,10 +1,10 @@
 import random
 import zlib
-from collections import Counter
 
 import numpy as np
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer, models
 
 from basalt.llm import merge_dropout as md
@@ -62,6 +62,43 @@ def test_every_occurrence_draws_its_own_skips(pieces):
     assert codec.encode_many(codec.keys("different " * 50, "7")) != codec.encode_many(codec.keys("different " * 50, "8"))
 
 
+def test_dropout_equals_a_slow_encoder(pieces, texts):
+    """Of all neighbours that merge and aren't skipped the best merge, the first place of equals; again until there is none."""
+    codec = md.Codec(pieces, 0.3)
+    normal = {p: i for i, (p, _, kind) in enumerate(pieces) if kind == "normal"}
+    order = {i: r for r, i in enumerate(sorted(normal.values(), key=lambda i: (-pieces[i][1], i)))}
+    whole = set()
+    for stretch, draw in [k for j, t in enumerate([*texts[:20], *ODD]) for k in codec.keys(t[:800], str(j))]:
+        if len(stretch) > 60 or stretch == md._OWN_MARK:
+            continue
+        parts = [(i, c) for i, c in enumerate(stretch)]
+        if not all(c in normal for _, c in parts):
+            continue
+        while True:
+            merges = [(order[normal[a + b]], i, k) for k, ((i, a), (_, b)) in enumerate(zip(parts, parts[1:])) if a + b in normal]
+            merges = [m for m in merges if not codec._dropped(draw, m[0], m[1])]
+            if not merges:
+                break
+            _, i, k = min(merges)
+            parts[k : k + 2] = [(i, parts[k][1] + parts[k + 1][1])]
+        whole.add(stretch)
+        assert np.frombuffer(codec.encode_stretch((stretch, draw)), "<u2").tolist() == [normal[p] for _, p in parts]
+    assert len(whole) > 200
+
+
+def test_decode_table(spark, docs, none):
+    rows = docs.withColumn("ids", F.lit("clash")).withColumn("decoded", F.lit("clash"))
+    coded = md.encode(rows, check=False, keep=("text", "n_words", "ids", "doc_id"))
+    back = md.decode(coded, text_col="decoded", keep=("text", "n_words")).collect()
+    assert len(back) == docs.count() and all(r["decoded"] == (r["text"] or "") for r in back)
+    assert sorted(str(r["n_words"]) for r in back) == sorted(str(r["n_words"]) for r in docs.collect())
+    odd = spark.createDataFrame([(1, None), (2, []), (3, [None, -5, 10**6]), (4, [259 + 3, 3 + 0xC3])], "doc_id int, ids array<int>")
+    out = {r["doc_id"]: r["text"] for r in md.decode(odd).collect()}
+    assert out[1] == out[2] == out[3] == "" and out[4].endswith("\ufffd")
+    assert md.decode(md.encode(none)).count() == 0
+    assert md.op3_merge_dropout(spark, f"{DATA}/sf0.001").where("not lossless").isEmpty()
+
+
 def test_encode_table(docs, none):
     out = md.encode(docs)
     assert out.count() == docs.count() and out.where("not lossless").isEmpty()
