@@ -12,6 +12,7 @@ by the query and passed through by the operator, columns named like an output ar
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -87,7 +88,7 @@ def word_pieces(pieces: list[tuple[str, float, str]]) -> tuple[list[str], list[s
     return [p[1:] for p in plain if p[0] == "▁" and len(p) > 1 and "▁" not in p[1:]], [p for p in plain if "▁" not in p]
 
 
-_OWN: dict[int, vocab.Memo] = {}
+_OWN: dict[str, vocab.Memo] = {}
 
 
 def token_counts(
@@ -96,6 +97,7 @@ def token_counts(
     """The columns ``keep`` (all but the text, if None), n_words, n_tokens and n_unknown (long)."""
     spark = df.sparkSession
     automaton = spark.sparkContext.broadcast(Automaton(*word_pieces(vocab.read_pieces(vocab_file or vocab.path(vocab.PIECES)))))
+    key = uuid.uuid4().hex  # of this broadcast, in workers that see many
     new = ("n_words", "n_tokens", "n_unknown")
     others = [c for c in (keep if keep is not None else df.columns) if c != text_col and c not in new]
     schema = df.select(*others).schema
@@ -103,7 +105,6 @@ def token_counts(
         schema = schema.add(c, "long")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = id(automaton)
         if key not in _OWN:
             own = automaton.value
 

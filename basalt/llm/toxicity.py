@@ -16,6 +16,7 @@ ignored by the query, and the operator passes them through, replacing those name
 from __future__ import annotations
 
 import math
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -162,7 +163,7 @@ def train(
     return fit([(r["y"], r["rest"], r["held"]) for r in bags], names) if bags else Model(0.0)
 
 
-_OWN: dict[int, tuple[Model, Memo]] = {}
+_OWN: dict[str, tuple[Model, Memo]] = {}
 
 
 def score(df: DataFrame, model: Model, text_col: str = "text", keep: tuple[str, ...] | None = None) -> DataFrame:
@@ -171,17 +172,17 @@ def score(df: DataFrame, model: Model, text_col: str = "text", keep: tuple[str,
     new = ("score", "n_sentences", "offending")
     others = [c for c in (keep if keep is not None else df.columns) if c != text_col and c not in new]
     spark = df.sparkSession
-    sent = spark.sparkContext.broadcast(model)
+    sent, key = spark.sparkContext.broadcast(model), uuid.uuid4().hex  # the key is this broadcast's, in workers that see many
     schema = df.select(*others).schema.add("score", "double").add("n_sentences", "long")
     span = T.StructType().add("start", "integer").add("end", "integer").add("probability", "double")
     schema = schema.add("offending", T.ArrayType(span))
     place = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("probability", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if id(sent) not in _OWN:
+        if key not in _OWN:
             _OWN.clear()
-            _OWN[id(sent)] = (sent.value, Memo(sent.value.word, MEMO))
-        own, memo = _OWN[id(sent)]
+            _OWN[key] = (sent.value, Memo(sent.value.word, MEMO))
+        own, memo = _OWN[key]
         of, bias = memo.__getitem__, own.bias
         left = math.log1p(math.exp(bias))
         for batch in batches:

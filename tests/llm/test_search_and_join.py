@@ -1,4 +1,6 @@
+import math
 import random
+import re
 
 import numpy as np
 import pytest
@@ -188,6 +190,24 @@ def test_toxicity_on_held_out(spark):
             assert any("grumb" in s or "snarf" in s for s in spans)
 
 
+def test_score_is_the_noisy_or_of_its_sentences(spark, docs):
+    """Each sentence's logistic probability from the plain sum of its words' weights, and one minus the product of the rest."""
+    model = toxicity.Model(-2.5, {"snarf": 2.0, "snar*": 0.75, "grum*": 1.5, "word": 0.25, "two": -1.0, "line": 0.5})
+    texts = ["Snarf! Grumble two. two two?\nline 4", "word. " * 40, "x", "...", "SNARFLY, snarf; grump: word"]
+    rows = docs.select("doc_id", "text").union(spark.createDataFrame([(1000 + i, t) for i, t in enumerate(texts)], "doc_id long, text string"))
+    texts_of = {x["doc_id"]: x["text"] for x in rows.collect()}
+    for r in toxicity.score(rows, model).collect():
+        left, n = 1.0, 0
+        text = texts_of[r["doc_id"]] or ""
+        for s in re.split("[.!?\n\r…。]", text.lower()):
+            words = re.sub(r"[-\"#$%&()*+,/:;<=>@\[\\\]^_`{|}~'’“”«»¿¡0-9]", " ", s).split()
+            if words:
+                w = model.weights
+                z = model.bias + sum(w.get(x, 0) + (w.get(x[:4] + "*", 0) if len(x) > 4 else 0) + (w.get(x[:5] + "*", 0) if len(x) > 5 else 0) for x in words)
+                left, n = left * (1 - 1 / (1 + math.exp(-z))), n + 1
+        assert abs(r["score"] - (1 - left)) < 1e-9 and r["n_sentences"] == n
+
+
 def test_toxicity_on_odd_texts(spark, docs, none):
     labels = spark.createDataFrame([(3, 1), (4, 0), (5, None)], "doc_id long, toxic int")
     for which in (labels, labels.limit(0), labels.where("toxic = 1")):
