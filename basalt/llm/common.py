@@ -22,7 +22,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def join_split(rows: DataFrame, keyed: DataFrame, key: str, total: int | None = None) -> DataFrame:
+def join_split(rows: DataFrame, keyed: DataFrame, key: str | list[str], total: int | None = None) -> DataFrame:
     """rows joined with keyed, which has each key once with ``n``, the number of its rows; both should be written tables.
 
     Keys of more than HOT_ROWS rows, and of more than their total over HOT_KEYS, are joined where their rows lie, by a broadcast
@@ -30,6 +30,6 @@ def join_split(rows: DataFrame, keyed: DataFrame, key: str, total: int | None =
     total = (keyed.agg(F.sum("n")).first()[0] or 0) if total is None else total
     hot = keyed.where(F.col("n") > max(HOT_ROWS, total // HOT_KEYS))
     # rows of hot keys leave before the shuffle
-    cold = rows.join(F.broadcast(hot.select(key)), key, "left_anti")
+    cold = rows.join(F.broadcast(hot.select(*([key] if isinstance(key, str) else key))), key, "left_anti")
     cold = cold.join(keyed.where(F.col("n") <= max(HOT_ROWS, total // HOT_KEYS)).hint("merge"), key)
     return rows.join(F.broadcast(hot), key).unionByName(cold).drop("n")

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basalt.llm.common import materialize
+from basalt.llm.common import join_split, materialize
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -27,7 +27,9 @@ def components(edges: DataFrame) -> DataFrame:
         seen = mark
         both = now.union(now.select("v", "u"))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("m", "u").alias("m"))
-        large = now.select(F.col("v").alias("u"), F.col("u").alias("w")).join(least, "u").select(F.col("w").alias("u"), F.col("m").alias("v"))
+        # a label may be that of a third of all nodes
+        hubs = least.join(now.groupBy(F.col("v").alias("u")).agg(F.count("*").alias("n")), "u")
+        large = join_split(now.select(F.col("v").alias("u"), F.col("u").alias("w")), materialize(hubs, "hubs"), "u").select(F.col("w").alias("u"), F.col("m").alias("v"))
         # a node that is larger than all its neighbours keeps its smallest one
         large = large.union(now.join(least, "u").select("u", F.col("m").alias("v"))).where("u <> v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))

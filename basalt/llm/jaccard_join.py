@@ -9,14 +9,18 @@ n - ceil(t n) + 1 tokens, so two classes with Jaccard t or more share a probe to
 2. The matrix holds each group's union of probe tokens, as (token, group) rows. A class (the query) meets the groups that
    hold its tokens; what they share in a fixed share of the order, plus what can lie outside it, bounds the overlap, and only
    groups whose bound reaches the threshold are opened.
-3. In an open group the query is compared exactly with all members, and members with each other. Two classes meet in one
-   place, so every link is found once. Components follow from the links; documents get their number of links, and
-   ``jaccard_links`` lists the links themselves as pairs of classes.
+3. In an open group the query is compared exactly with all members, and members with each other.
+
+``jaccard_components`` needs no more than who is connected. It compares members inside their blocks first, each block with its
+root, so a family of near copies becomes one component by work in proportion to it; then a token counts only if classes of
+different components hold it, and a class meets only groups that aren't known to be connected with it. With ``links``, and for
+``jaccard_links``, every group that may hold a link is opened, so no link between different sets is lost or found twice; of a
+family of m sets that are all alike that takes m times m / GROUP_SETS openings, as it has m times m links.
 
 Which tokens are common is estimated by counting all shingles of all documents in a table of fixed size; the estimate only
-shapes the order, never the result. A copied document is one class, a common passage comes last in the order, a family of
-near copies is a few groups, and common tokens' lists are dealt by size and salt: no step lists or pairs what a token holds.
-Sets are compared by 64-bit hashes of their shingles.
+shapes the order, never the result. A copied document is one class, a common passage comes last in the order, common tokens'
+lists are dealt by size and salt, and joins whose keys may be hot split them off. Shingles are told apart by 64-bit hashes, and
+so are sets while they are compared.
 
 Defined cases: a null or empty text, or one without words, has no shingles, links with nothing, and is its own component; of
 repeated rows each is returned; rows without an id take part, and ids that are null are never the smallest unless there is
@@ -36,7 +40,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basalt.llm.common import materialize, read_table
+from basalt.llm.common import join_split, materialize, read_table
 from basalt.llm.components import components, forest_labels
 from basalt.llm.vocab import Memo
 
@@ -295,14 +299,10 @@ def _stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.nda
     return names, names[label], np.bincount(at, minlength=len(names))
 
 
-def class_links(
-    docs: DataFrame, id_col: str, text_col: str, classes: DataFrame, common: np.ndarray, words: int = WORDS, percent: int = PERCENT, pairs: bool = False
-) -> DataFrame:
-    """(c, label, n, near): of the classes that a group links, the smallest one they are connected to in it, the number of
-    their links in it, and with ``pairs`` the classes linked, each link at one of its two classes."""
-    rows = materialize(matrix_rows(docs, text_col, common, words, percent), "matrix")
-    # groups: every class goes with the leader of most of its tokens, the leader of a salt with that of the whole list, and so
-    # on up; large groups are dealt into blocks
+def _groups(rows: DataFrame, percent: int) -> DataFrame:
+    """(c, g, root, many): the block g of each class, its group's root, and whether the group has several classes. Every class
+    goes with the leader of most of its tokens, the leader of a salt with that of the whole list, and so on up; large groups
+    are dealt into blocks."""
     many = F.col("t") >= _COMMON  # only classes that consist of common tokens probe with them, as near copies do
     led = rows.where(F.col("c") != F.col("h")).select("c", "n", "h", "hn", many.alias("many"))
     heads = rows.where(many & (F.col("c") == F.col("h"))).select("t", "c", "n")
@@ -312,27 +312,65 @@ def class_links(
     led = led.where(_fits(F.col("n"), F.col("hn"), percent)).groupBy("c", "h").agg(F.count("*").alias("k"), F.first("n").alias("n"), F.max("many").alias("many"))
     led = led.where((F.col("k") * 20 >= F.col("n")) | F.col("many")).groupBy("c").agg(F.max_by("h", F.struct("k", "h")).alias("h"))
     tree = forest_labels(led.select(F.col("c").alias("a"), F.col("h").alias("b"))).select(F.col("node").alias("c"), F.col("label").alias("root"))
-    members = rows.groupBy("c").agg(F.first("n").alias("n")).join(tree, "c", "left").withColumn("root", F.coalesce("root", "c"))
-    members = materialize(members, "members")
-    sizes = members.groupBy("root").agg(F.count("*").alias("size"), F.greatest(F.ceil(F.count("*") / GROUP_SETS), F.ceil(F.sum("n") / GROUP_TOKENS)).alias("blocks")).where("size > 1")
+    held = materialize(rows.groupBy("c").agg(F.first("n").alias("n")).join(tree, "c", "left").withColumnRenamed("n", "tokens"), "members")
+    blocks = F.greatest(F.ceil(F.count("*") / GROUP_SETS), F.ceil(F.sum("tokens") / GROUP_TOKENS))
+    sizes = held.groupBy(F.coalesce("root", "c").alias("root")).agg(F.count("*").alias("n"), blocks.alias("blocks")).where("n > 1")
+    sizes = materialize(sizes, "group-sizes")
     block = F.when(F.col("blocks") > 1, F.xxhash64("root", F.pmod(F.xxhash64("c"), F.col("blocks")))).otherwise(F.col("root"))
-    members = materialize(members.join(sizes, "root", "left").select("c", block.alias("g"), F.col("size").isNotNull().alias("many")), "members")
-    own = materialize(rows.select("t", "c", "n", "r").join(members.select("c", "g"), "c"), "grouped")
-    # the matrix; queries against groups: of two groups the one with the larger label asks
+    below = join_split(held.where("root is not null").select("c", "root"), sizes, "root").select("c", "root", "blocks")
+    # a root's own row, and classes of no group
+    tops = held.where("root is null").select("c").join(sizes.select(F.col("root").alias("c"), "blocks"), "c", "left").select("c", F.col("c").alias("root"), "blocks")
+    members = below.unionByName(tops)
+    return materialize(members.select("c", F.coalesce(block, "root").alias("g"), "root", F.col("blocks").isNotNull().alias("many")), "members")
+
+
+def _opened(own: DataFrame, percent: int, connected: DataFrame | None) -> DataFrame:
+    """(c, g): the groups to open to each class; of two groups the one with the larger label asks. own: (t, c, n, r, g). Where
+    it is known that classes are connected (node, label), what is connected already isn't opened."""
     rest = F.col("n") - F.col("r")  # what an overlap may have outside the covered share
-    matrix = own.groupBy("t", "g").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.max(rest).alias("far"))
+    union = [F.min("n").alias("lo"), F.max("n").alias("hi"), F.max(rest).alias("far")]
     met = (F.col("og") < F.col("g")) & (F.col("hi") * 100 >= F.col("n") * percent) & (F.col("n") * 100 >= F.col("lo") * percent)
-    shared = own.join(matrix.withColumnRenamed("g", "og"), "t").where(met)
+    if connected is None:
+        matrix = own.groupBy("t", F.col("g").alias("og")).agg(*union)
+        shared = own.join(matrix, "t").where(met)
+    else:
+        own = own.join(connected.select(F.col("node").alias("c"), "label"), "c", "left").withColumn("label", F.coalesce("label", "c"))
+        held = own.groupBy("t", "label").agg(F.count("*").alias("n"))
+        held = held.groupBy("t").agg(F.sum("n").alias("n"), F.count("*").alias("labels"), F.max_by("label", F.struct("n", "label")).alias("top"))
+        mixed = materialize(held.where("labels > 1").select("t", "n", "top"), "mixed-tokens")
+        own = _mixed(own, mixed)
+        matrix = own.groupBy("t", F.col("g").alias("og")).agg(*union, F.min("label").alias("least"), F.max("label").alias("most"), F.first("top").alias("mtop"))
+        alone = F.col("least") == F.col("most")
+        # the largest component meets the others' groups only, so a family's tokens aren't paired with its own blocks
+        foreign = matrix.where(~(alone & (F.col("least") == F.col("mtop"))))
+        first = own.where("label = top").join(foreign.drop("mtop"), "t")
+        other = own.where("label <> top").join(matrix.drop("mtop"), "t")
+        shared = first.unionByName(other).where(met & ~(alone & (F.col("label") == F.col("least"))))
     shared = shared.groupBy("c", "og").agg(F.count("*").alias("k"), F.min("lo").alias("lo"), F.max("far").alias("far"), F.first("n").alias("n"), F.first("r").alias("r"))
     low = F.greatest("lo", F.ceil(F.col("n") * percent / 100))
     qualifies = _needed(F.col("n"), low, percent) <= F.col("k") + F.least(rest, F.col("far"))
-    opened = materialize(shared.where(qualifies).select("c", F.col("og").alias("g")), "opened")
-    # open groups: members, and queries in parts of bounded size, to each of which the members go
-    parts = opened.groupBy("g").agg(F.ceil(F.count("*") / GROUP_QUERIES).cast("int").alias("parts"))
-    asking = opened.join(parts, "g").select("c", "g", F.pmod(F.xxhash64("c"), F.col("parts")).cast("int").alias("part"), F.lit(True).alias("asks"))
-    asked = members.join(parts, "g", "left").where(F.col("many") | F.col("parts").isNotNull())
-    asked = asked.select("c", "g", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("part"), F.lit(False).alias("asks"))
-    todo = materialize(asking.union(asked), "todo")
+    return materialize(shared.where(qualifies).select("c", F.col("og").alias("g")), "opened")
+
+
+def _mixed(own: DataFrame, mixed: DataFrame) -> DataFrame:
+    """The rows of tokens that classes of several components hold, with the component that has most of them."""
+    rows = materialize(own.withColumnRenamed("n", "size"), "labelled")
+    return materialize(join_split(rows, mixed, "t").withColumnRenamed("size", "n"), "mixed")
+
+
+def _asking(opened: DataFrame, members: DataFrame, first_part: int) -> DataFrame:
+    """(c, g, part, asks): queries in parts of bounded size, to each of which the group's members go."""
+    parts = opened.groupBy("g").agg(F.count("*").alias("n"), F.ceil(F.count("*") / GROUP_QUERIES).cast("int").alias("parts"))
+    parts = materialize(parts, "parts")
+    part = F.pmod(F.xxhash64("c"), F.col("parts")).cast("int") + first_part
+    asking = join_split(opened, parts, "g").select("c", "g", part.alias("part"), F.lit(True).alias("asks"))
+    asked = members.join(parts, "g").select("c", "g", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(False).alias("asks"))
+    return asking.union(asked.withColumn("part", F.col("part") + first_part))
+
+
+def _compare(docs: DataFrame, id_col: str, text_col: str, classes: DataFrame, todo: DataFrame, words: int, percent: int, pairs: bool) -> DataFrame:
+    """Compares what todo (c, g, part, asks) puts together: in part 0 members with each other, in all parts with those asking."""
+    todo = materialize(todo, "todo")
     wanted = todo.select("c").distinct().join(classes.select(F.col("d1").alias("c"), F.col("rep").alias("first")), "c")
     wanted = materialize(wanted, "wanted")
     small = todo.count() <= BROADCAST_ROWS
@@ -363,39 +401,70 @@ def class_links(
     return materialize(work.groupBy("g", "part").applyInArrow(compare, "c long, label long, n long, near array<bigint>"), "links")
 
 
-def _joined(df: DataFrame, id_col: str, text_col: str, words: int, percent: int, pairs: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
+def class_links(
+    docs: DataFrame, id_col: str, text_col: str, classes: DataFrame, common: np.ndarray, words: int = WORDS, percent: int = PERCENT, every: bool = True,
+    pairs: bool = False,
+) -> DataFrame:
+    """(c, label, n, near): of the classes that a group links, the smallest one they are connected to in it, the number of
+    their links in it, and with ``pairs`` the classes linked, each link at one of its two classes. Unless ``every`` link is
+    wanted, there are enough of them to tell who is connected."""
+    rows = materialize(matrix_rows(docs, text_col, common, words, percent), "matrix")
+    members = _groups(rows, percent)
+    own = materialize(rows.select("t", "c", "n", "r").join(members.select("c", "g"), "c"), "grouped")
+    inside = members.where("many").select("c", "g", F.lit(0).alias("part"), F.lit(False).alias("asks"))
+    compare = lambda todo: _compare(docs, id_col, text_col, classes, todo, words, percent, pairs)
+    if every:
+        # members are together in part 0 whether or not anyone asks there
+        return compare(inside.union(_asking(_opened(own, percent, None), members, 0)).distinct())
+    # each block gets its root too
+    roots = members.where("many and g <> root").select("root", "g").distinct()
+    own_block = members.where("c = root and many").select(F.col("root"), F.col("g").alias("home"))
+    roots = roots.join(own_block, "root").where("g <> home").select(F.col("root").alias("c"), "g", F.lit(0).alias("part"), F.lit(False).alias("asks"))
+    near = compare(inside.union(roots))
+    connected = components(near.select(F.col("c").alias("a"), F.col("label").alias("b")))
+    far = compare(_asking(_opened(own, percent, connected), members, 1))
+    return near.union(far)
+
+
+def _joined(df: DataFrame, id_col: str, text_col: str, words: int, percent: int, every: bool, pairs: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Documents (id, n, d1, d2), classes (d1, d2, rep, copies), and what class_links finds."""
     docs = df.select(id_col, text_col)
     made = materialize(profile(docs, id_col, text_col, words), "profile")
     rows = made.where("chunk is null").select("id", "n", "d1", "d2")
     common = common_buckets(made.where("chunk is not null").select("part", "chunk", "counts"))
     classes = materialize(rows.where("n > 0").groupBy("d1", "d2").agg(F.min("id").alias("rep"), F.count("*").alias("copies")), "classes")
-    return rows, classes, class_links(docs, id_col, text_col, classes, common, words, percent, pairs)
-
-
-def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """(id, n_shingles, class_key, component_id, n_links): component_id is the smallest id that links reach, class_key the
-    same for documents with equal sets (null without shingles), n_links the number of other classes linked."""
-    rows, classes, links = _joined(df, id_col, text_col, words, percent, False)
-    labels = components(links.select(F.col("c").alias("a"), F.col("label").alias("b"))).withColumnRenamed("node", "d1")
-    degrees = links.groupBy(F.col("c").alias("d1")).agg(F.sum("n").alias("links"))
-    labelled = classes.join(degrees.join(labels, "d1", "left"), "d1", "left").select("d1", "d2", "rep", "links", F.coalesce("label", "d1").alias("label"))
-    whole = labelled.groupBy("label").agg(F.min("rep").alias("first"))
-    named = labelled.join(whole, "label").select("d1", "d2", "first", "links")
-    out = rows.join(named, ["d1", "d2"], "left")
-    return out.select(
+    return rows, classes, class_links(docs, id_col, text_col, classes, common, words, percent, every, pairs)
+
+
+def jaccard_components(
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT, links: bool = False
+) -> DataFrame:
+    """(id, n_shingles, class_key, component_id): component_id is the smallest id that links reach, class_key the same for
+    documents with equal sets (null without shingles). With ``links`` also n_links, the number of other classes linked."""
+    rows, classes, found = _joined(df, id_col, text_col, words, percent, links, False)
+    labels = components(found.select(F.col("c").alias("a"), F.col("label").alias("b"))).withColumnRenamed("node", "d1")
+    degrees = found.groupBy(F.col("c").alias("d1")).agg(F.sum("n").alias("links"))
+    labelled = classes.join(degrees.join(labels, "d1", "left"), "d1", "left")
+    labelled = materialize(labelled.select("d1", "d2", "rep", "copies", "links", F.coalesce("label", "d1").alias("label")), "labels")
+    whole = materialize(labelled.groupBy("label").agg(F.min("rep").alias("first"), F.count("*").alias("n")), "components")
+    # a component, or a class, may hold a third of all
+    named = join_split(labelled, whole, "label").select("d1", "d2", "first", "links", F.col("copies").alias("n"))
+    out = join_split(rows.where("n > 0").withColumnRenamed("n", "size"), materialize(named, "named"), ["d1", "d2"])
+    none = rows.where("n = 0").select("id", F.col("n").alias("size"), "d1", F.col("id").alias("first"), F.lit(None).cast("long").alias("links"))
+    out = out.select("id", "size", "d1", "first", "links").unionByName(none).select(
         F.col("id").alias(id_col),
-        F.col("n").alias("n_shingles"),
+        F.col("size").alias("n_shingles"),
         F.col("d1").alias("class_key"),
-        F.when(F.col("n") > 0, F.col("first")).otherwise(F.col("id")).alias("component_id"),
+        F.col("first").alias("component_id"),
         F.coalesce("links", F.lit(0)).alias("n_links"),
     )
+    return out if links else out.drop("n_links")
 
 
 def jaccard_links(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(class_a, class_b, id_a, id_b): every link between different sets once, by class key and by the smallest id of each
     class; class_a is the smaller key."""
-    _, classes, links = _joined(df, id_col, text_col, words, percent, True)
+    _, classes, links = _joined(df, id_col, text_col, words, percent, True, True)
     found = links.select("c", F.explode("near").alias("d")).select(F.least("c", "d").alias("class_a"), F.greatest("c", "d").alias("class_b"))
     for side in "ab":
         found = found.join(classes.select(F.col("d1").alias(f"class_{side}"), F.col("rep").alias(f"id_{side}")), f"class_{side}")

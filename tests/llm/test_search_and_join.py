@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from basalt.llm import ann, toxicity
 from basalt.llm import jaccard_join as jj
-from basalt.llm.components import components
+from basalt.llm.components import components, forest_labels
 from tests.oracle import DATA
 
 
@@ -145,7 +145,7 @@ def test_join_loses_no_link(spark, monkeypatch):
     assert len(want) > 500 and len(links) == len(want) and {tuple(sorted((r["id_a"], r["id_b"]))) for r in links} == want
     own = {s: i for i, s in sets.items()}
     degree = {i: sum(own[frozenset(zip(*(t.split()[k:] for k in range(5))))] in p for p in want) for i, t in rows}
-    assert {r["doc_id"]: r["n_links"] for r in jj.jaccard_components(df).collect()} == degree
+    assert {r["doc_id"]: r["n_links"] for r in jj.jaccard_components(df, links=True).collect()} == degree
 
 
 def test_overlaps_of_few_and_many_holders():
@@ -224,3 +224,36 @@ def test_sentences_keep_places(text):
         assert len(text[at : at + len(s)]) == len(s)
         at += len(s) + 1
     assert at == len(text) + 1
+
+
+def test_join_work_grows_in_proportion_to_a_family(spark, monkeypatch):
+    opened, plain = [], jj._opened
+    monkeypatch.setattr(jj, "GROUP_SETS", 32)
+
+    def spy(*args):
+        out = plain(*args)
+        opened.append(out.count())
+        return out
+
+    monkeypatch.setattr(jj, "_opened", spy)
+    rng = random.Random(14)
+    base = [f"w{i}" for i in range(200)]
+
+    def near(i):
+        words = list(base)
+        for _ in range(2):
+            words[rng.randrange(200)] = f"e{i}"
+        return " ".join(words)
+
+    for size in (400, 800):
+        rows = [(i, near(i)) for i in range(size)] + [(size, " ".join(base[:60] + [f"z{i}" for i in range(200)]))]
+        df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("component_id", F.lit("clash")).withColumn("n_shingles", F.lit("clash"))
+        assert jj.jaccard_components(df).where("component_id <> 0").select("doc_id").collect() == [(size,)]
+    assert opened[1] <= 3 * opened[0] + 10
+
+
+def test_forest_labels(spark):
+    parents = [(i, i // 2) for i in range(1, 200)] + [(300, 299)]
+    got = {r["node"]: r["label"] for r in forest_labels(spark.createDataFrame(parents, "a long, b long")).collect()}
+    assert got == {**dict.fromkeys(range(1, 200), 0), 300: 299}
+    assert forest_labels(spark.createDataFrame([], "a long, b long")).count() == 0
