@@ -6,13 +6,15 @@ across, as only it moves large inner products. A query's products with all codew
 four-bit codes are read as one byte, so a block of vectors is scanned by sixteen lookups a vector. The best ``rerank`` of a
 block, and all within a few standard errors of the k-th best of these, are scored exactly, in double precision and component order, on the original vectors.
 
-Codebooks are fitted on a bounded sample (``sample`` rows in expectation); every row is coded and searched. Copies of
-a vector are coded and searched once, with their k + 1 smallest ids. Queries and vectors meet in a grid of blocks of bounded
-size, dealt by a hash; each block gives its k best, and those are cut to k again before and after a shuffle by query.
-
-Defined cases: vectors that are null, zero, or hold null or non-finite components take no part, nor do rows without an id or
-with another length than the most common one (the smaller of equals); rows that share an id count as one, with the
-smallest vector; ties go to the smaller id; an empty table gives no rows; extra columns are ignored.
+Codebooks are fitted on a bounded sample (``sample`` rows in expectation), and so are the partitions: directions by k-means, as
+many as the rows call for, and how many of them a query probes, so that ``coverage`` of the sample's own neighbours lie in
+those. Every row is coded, lies in one partition and is searched. Copies of a vector are coded and searched once, with their
+k + 1 smallest ids. Partitions and their queries are cut into blocks of bounded size that meet in a grid, so a vector travels
+once unless its partition draws very many queries; each block gives its k best, cut to k again around the shuffle by query.
+
+Defined cases: vectors that are null, zero, or hold null or non-finite components take no part, nor do rows without an id;
+vectors of different lengths don't meet, each length is searched by itself; rows that share an id are rows of their own, and a
+query meets all but itself; ties go to the smaller id; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -37,7 +39,13 @@ RERANK = 160
 #: Beyond those, vectors are reranked whose rough score is at most so many standard errors below the k-th best.
 SPREADS = 3.0
 BLOCK_ROWS = 16_384
-BLOCK_QUERIES = 1_024
+BLOCK_QUERIES = 4_096
+#: Distinct vectors for each partition, and the most partitions, which the sample must be able to tell apart.
+PART_ROWS = 16_384
+MOST_PARTS = 1_024
+#: Share of the sample's neighbours that the probed partitions must hold, and queries that this is measured by.
+COVERAGE = 0.97
+PROBE_QUERIES = 400
 ROUNDS = 8
 
 
@@ -113,11 +121,51 @@ def fit(x: np.ndarray, threshold: float = THRESHOLD, rounds: int = ROUNDS, seed:
     return out
 
 
+@dataclass
+class Partitions:
+    """Unit directions that vectors go by, the means of those that go there, and how many a query probes."""
+
+    directions: np.ndarray
+    means: np.ndarray
+    probes: int
+
+    def of(self, x: np.ndarray) -> np.ndarray:
+        return (x @ self.directions.T).argmax(1)
+
+    def probed(self, q: np.ndarray) -> np.ndarray:
+        return np.argsort(-(q @ self.means.T), axis=1, kind="stable")[:, : self.probes]
+
+
+def partition(x: np.ndarray, parts: int, k: int = K, coverage: float = COVERAGE, rounds: int = ROUNDS, seed: int = 7) -> Partitions:
+    """k-means of directions; probes are the fewest that cover enough of the sample's own nearest neighbours."""
+    rng = np.random.default_rng(seed)
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    out = Partitions(unit[rng.choice(len(x), min(parts, len(x)), replace=False)], np.zeros((0, 0)), 1)
+    for _ in range(rounds):
+        own = out.of(x)
+        for j in np.unique(own):
+            mean = unit[own == j].sum(0)
+            out.directions[j] = mean / max(np.linalg.norm(mean), 1e-300)
+    own = out.of(x)
+    out.means = np.array([x[own == j].mean(0) if (own == j).any() else out.directions[j] for j in range(len(out.directions))])
+    asked = rng.choice(len(x), min(PROBE_QUERIES, len(x)), replace=False)
+    score = x[asked] @ x.T
+    score[np.arange(len(asked)), asked] = -np.inf
+    near = np.argsort(-score, axis=1)[:, : min(k, len(x) - 1)]
+    out.probes = len(out.means)
+    if near.shape[1]:
+        # the place that each neighbour's partition has among the query's
+        place = np.argsort(out.probed(x[asked]), axis=1)
+        place = np.sort(np.take_along_axis(place, own[near], 1).ravel())
+        out.probes = int(place[min(len(place) - 1, math.ceil(coverage * len(place)) - 1)]) + 1
+    return out
+
+
 def search_block(
     quantiser: Quantiser, owners: list[np.ndarray], x: np.ndarray, codes: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int, rerank: int
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query, id, score) of each query's k best in a block of distinct vectors x, whose ids are ``owners``, ascending;
-    x and queries are in double precision."""
+    """(query's number, id, score) of each query's k best in a block of distinct vectors x, whose rows' ids are ``owners``,
+    ascending; x and queries are in double precision. The query's own row is left out once."""
     firsts = np.array([o[0] for o in owners], np.int64)
     order = np.argsort(firsts, kind="stable")
     owners, x = [owners[i] for i in order], x[order]
@@ -133,7 +181,7 @@ def search_block(
 
     for at in range(0, len(queries), 64):
         tables = quantiser.tables(queries[at : at + 64])
-        for q, qid, table in zip(queries[at : at + 64], query_ids[at : at + 64], tables):
+        for number, (q, qid, table) in enumerate(zip(queries[at : at + 64], query_ids[at : at + 64], tables), at):
             if len(x) > take:
                 rough = table[0][codes[0]]
                 for t, c in zip(table[1:], codes[1:]):
@@ -158,11 +206,13 @@ def search_block(
                 near = score >= np.partition(score, len(pool) - k - 1)[len(pool) - k - 1]
                 pool, score = pool[near], score[near]
             held = [owners[i] for i in pool]
+            for n, i in enumerate(pool.tolist()):
+                mine = np.flatnonzero(held[n] == qid)
+                if len(mine) and np.array_equal(x[i], q):
+                    held[n] = np.delete(held[n], mine[0])
             ids, score = np.concatenate(held) if held else pool, np.repeat(score, [len(h) for h in held])
-            other = ids != qid
-            ids, score = ids[other], score[other]
             best = np.lexsort((ids, -score))[:k]
-            out_q.append(np.full(len(best), qid))
+            out_q.append(np.full(len(best), number))
             out_i.append(ids[best])
             out_s.append(score[best])
     if not out_q:
@@ -171,14 +221,14 @@ def search_block(
 
 
 def usable(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """(id, v): one row an id, with finite, non-zero vectors of the most common length."""
+    """(row, id, v): rows with an id and finite, non-zero vectors, numbered."""
     v = F.col(vector_col)
     double = F.transform(v, lambda x: x.cast("double"))
     fine = F.forall(double, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(double, lambda x: x != 0)
-    rows = df.where(F.col(id_col).isNotNull() & v.isNotNull() & fine).select(F.col(id_col).cast("long").alias("id"), double.alias("v"))
-    rows = materialize(rows.groupBy("id").agg(F.min("v").alias("v")), "vectors")
-    sizes = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").limit(1).collect()
-    return rows.where(F.size("v") == (sizes[0]["n"] if sizes else 0))
+    # no component is a negative zero, so that equal vectors are alike
+    plain = F.transform(double, lambda x: F.when(x == 0, F.lit(0.0)).otherwise(x))
+    rows = df.where(F.col(id_col).isNotNull() & v.isNotNull() & fine).select(F.col(id_col).cast("long").alias("id"), plain.alias("v"))
+    return materialize(rows.select(F.monotonically_increasing_id().alias("row"), "id", "v"), "vectors")
 
 
 def _matrix(column: pa.ChunkedArray, dim: int) -> np.ndarray:
@@ -187,60 +237,82 @@ def _matrix(column: pa.ChunkedArray, dim: int) -> np.ndarray:
 
 def nearest(
     df: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col: str = "embedding", k: int = K, rerank: int = RERANK,
-    sample: int = SAMPLE, block_rows: int = BLOCK_ROWS, block_queries: int = BLOCK_QUERIES,
+    sample: int = SAMPLE, block_rows: int = BLOCK_ROWS, block_queries: int = BLOCK_QUERIES, part_rows: int = PART_ROWS,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row that ``is_query`` (over the column ``id``) picks, the k nearest found
     among all other rows."""
-    spark = df.sparkSession
-    schema = "query_id long, rank int, vec_id long, score double"
     rows = usable(df, id_col, vector_col)
-    total, asked = rows.agg(F.count("*"), F.count(F.when(is_query, 1))).first()
-    if not asked:
-        return spark.createDataFrame([], schema)
+    sizes = rows.groupBy(F.size("v").alias("n")).agg(F.count("*").alias("total"), F.count(F.when(is_query, 1)).alias("asked")).orderBy("n").collect()
+    out = df.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    for r in sizes:
+        if r["asked"]:
+            one = rows.where(F.size("v") == r["n"])
+            out = out.unionByName(_nearest(one, is_query, r["n"], r["total"], k, rerank, sample, block_rows, block_queries, part_rows))
+    return out
+
+
+def _nearest(
+    rows: DataFrame, is_query: Column, dim: int, total: int, k: int, rerank: int, sample: int, block_rows: int, block_queries: int, part_rows: int
+) -> DataFrame:
+    """nearest() for rows (row, id, v) whose vectors have ``dim`` components."""
     rate = math.ceil(1e6 * min(1.0, sample / total))
-    some = rows.where(F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(1_000_000)) < rate).select("v").toArrow()
+    some = rows.where(F.pmod(F.xxhash64("row", F.lit("sample")), F.lit(1_000_000)) < rate).select("v").toArrow()
     if not len(some):
         some = rows.select("v").limit(sample).toArrow()
-    dim = len(some["v"][0])
-    sent = spark.sparkContext.broadcast(fit(_matrix(some["v"], dim)))
+    x = _matrix(some["v"], dim)
+    parts = partition(x, max(1, min(total // part_rows, MOST_PARTS, len(x) // 8)), k)
+    sent = rows.sparkSession.sparkContext.broadcast((fit(x), parts))
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = sent.value
+        own, parts = sent.value
         for batch in batches:
             for at in range(0, batch.num_rows, 2048):
                 part = batch.slice(at, 2048)
                 x = part.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
                 packed = own.pack(own.encode(x))
                 codes = pa.array([r.tobytes() for r in packed], pa.binary())
-                yield pa.RecordBatch.from_arrays([*part.columns, codes], names=["ids", "v", "code"])
+                yield pa.RecordBatch.from_arrays([*part.columns, codes, pa.array(parts.of(x), pa.int32())], names=["ids", "v", "code", "part"])
+
+    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _, parts = sent.value
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2048):
+                some = batch.slice(at, 2048)
+                probed = parts.probed(some.column(2).flatten().to_numpy(zero_copy_only=False).reshape(-1, dim))
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(probed) + 1) * probed.shape[1], pa.int32()), pa.array(probed.ravel(), pa.int32()))
+                yield pa.RecordBatch.from_arrays([*some.columns, lists], names=["row", "id", "v", "parts"])
 
-    # a grid: every block of vectors with every block of queries, each of bounded size
-    across, down = -(-total // block_rows), -(-asked // block_queries)
-    deal = lambda c, n, salt: F.pmod(F.xxhash64(c, F.lit(salt)), F.lit(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     # copies of a vector are searched once; no query can list more than their k + 1 smallest ids, and those are cut before
     # the shuffle too
     nth = F.row_number().over(Window.partitionBy("v").orderBy("id"))
     distinct = rows.withColumn("n", nth).where(F.col("n") <= k + 1).groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids"))
-    coded = distinct.select("ids", "v").mapInArrow(code, "ids array<long>, v array<double>, code binary")
-    vectors = coded.select("ids", "v", "code", deal("v", across, "row").alias("c")).select("*", every(down).alias("q"))
-    queries = rows.where(is_query).select("id", "v", deal("id", down, "query").alias("q")).select("*", every(across).alias("c"))
+    vectors = materialize(distinct.select("ids", "v").mapInArrow(code, "ids array<long>, v array<double>, code binary, part int"), "coded")
+    asked = rows.where(is_query).select("row", "id", "v").mapInArrow(probe, "row long, id long, v array<double>, parts array<int>")
+    asked = materialize(asked, "asked").withColumn("part", F.explode("parts")).drop("parts")
+    # blocks of bounded size; there are MOST_PARTS rows of these at most
+    across = vectors.groupBy("part").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("across"))
+    grid = across.join(asked.groupBy("part").agg(F.ceil(F.count("*") / block_queries).cast("int").alias("down")), "part")
+    deal = lambda c, n: F.pmod(F.xxhash64(F.lit("deal"), c), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    grid = F.broadcast(materialize(grid, "grid"))
+    left = vectors.join(grid, "part").select("ids", "v", "code", "part", deal("v", "across").alias("c"), every("down").alias("q"))
+    right = asked.join(grid, "part").select("row", "id", "v", "part", deal("row", "down").alias("q"), every("across").alias("c"))
 
     def scan(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows or not right.num_rows:
-            found = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
-        else:
+        row = query = np.zeros(0, np.int64)
+        found = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        if left.num_rows and right.num_rows:
             codes = np.frombuffer(b"".join(left["code"].to_pylist()), np.uint8).reshape(left.num_rows, -1)
             lists = left["ids"].combine_chunks()
             ends = lists.offsets.to_numpy()
             owners = np.split(lists.flatten().to_numpy(), (ends - ends[0])[1:-1])
-            found = search_block(
-                sent.value, owners, _matrix(left["v"], dim), codes, right["id"].to_numpy(), _matrix(right["v"], dim), k, rerank
-            )
-        return pa.table({"query_id": pa.array(found[0], pa.int64()), "vec_id": pa.array(found[1], pa.int64()), "score": pa.array(found[2], pa.float64())})
+            row, query = right["row"].to_numpy(), right["id"].to_numpy()
+            found = search_block(sent.value[0], owners, _matrix(left["v"], dim), codes, query, _matrix(right["v"], dim), k, rerank)
+        columns = {"row": row[found[0]], "query_id": query[found[0]], "vec_id": found[1], "score": found[2]}
+        return pa.table({n: pa.array(c, pa.float64() if n == "score" else pa.int64()) for n, c in columns.items()})
 
-    found = vectors.groupBy("c", "q").cogroup(queries.groupBy("c", "q")).applyInArrow(scan, "query_id long, vec_id long, score double")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = left.groupBy("part", "c", "q").cogroup(right.groupBy("part", "c", "q")).applyInArrow(scan, "row long, query_id long, vec_id long, score double")
+    best = Window.partitionBy("row").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 

@@ -52,7 +52,9 @@ def test_unusable_vectors(spark):
     rows = [(0, [1.0, 0.0]), (1, [1.0, 1.0]), (2, [0.0, 0.0]), (3, None), (4, [nan, 1.0]), (5, [inf, 1.0]), (6, [None, 1.0]), (7, [1.0]), (None, [1.0, 1.0]), (8, [2.0, 5.0]), (20, [2.0, 5.0]), (20, [2.0, 5.0])]
     df = spark.createDataFrame(rows, "vec_id int, embedding array<double>")
     out = [tuple(r) for r in ann.nearest(df, F.col("id") % 20 == 0, k=20).orderBy("query_id", "rank").collect()]
-    assert out == [(0, 1, 8, 2.0), (0, 2, 20, 2.0), (0, 3, 1, 1.0), (20, 1, 8, 29.0), (20, 2, 1, 7.0), (20, 3, 0, 2.0)]
+    # the two rows of id 20 are candidates and queries of their own
+    twenty = [(20, 1, 8, 29.0), (20, 2, 20, 29.0), (20, 3, 1, 7.0), (20, 4, 0, 2.0)]
+    assert out == [(0, 1, 8, 2.0), (0, 2, 20, 2.0), (0, 3, 20, 2.0), (0, 4, 1, 1.0)] + sorted(twenty * 2)
     assert ann.nearest(df.limit(0), F.col("id") % 20 == 0).count() == 0
 
 
@@ -257,3 +259,20 @@ def test_forest_labels(spark):
     got = {r["node"]: r["label"] for r in forest_labels(spark.createDataFrame(parents, "a long, b long")).collect()}
     assert got == {**dict.fromkeys(range(1, 200), 0), 300: 299}
     assert forest_labels(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_partitions_and_shared_ids(spark):
+    rng = np.random.default_rng(15)
+    centres = rng.normal(size=(24, 12)) * 3
+    x = (centres[rng.integers(0, 24, 3000)] + rng.normal(size=(3000, 12)) * 0.5).astype(np.float32)
+    rows = {i: v.tolist() for i, v in enumerate(x)}
+    df = spark.createDataFrame([(i, v, "clash") for i, v in rows.items()], "vec_id long, embedding array<float>, query_id string")
+    found, want = _found(ann.nearest(df, F.col("id") % 20 == 0, k=10, part_rows=150, rerank=40)), brute_nearest(rows, 10)
+    hits = [len({i for _, i in found[q]} & {i for _, i in want[q]}) for q in want]
+    assert sum(hits) >= 0.95 * 10 * len(want)
+    # rows of one id are rows of their own, and lengths don't meet
+    some = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (0, [2.0, 0.0]), (1, [1.0, 1.0]), (20, [1.0, 0.0, 0.0]), (3, [0.0, 4.0, 1.0]), (40, [1.0])]
+    out = ann.nearest(spark.createDataFrame(some, "vec_id long, embedding array<float>"), F.col("id") % 20 == 0, k=2).collect()
+    assert sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in out) == sorted(
+        [(0, 1, 0, 2.0), (0, 2, 0, 1.0)] * 2 + [(0, 1, 0, 2.0), (0, 2, 0, 2.0), (20, 1, 3, 0.0)]
+    )
