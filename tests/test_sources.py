@@ -98,3 +98,25 @@ def test_folders_lists_and_maps(spark, tmp_path):
     assert not io.write_names_json(names.limit(0), f"{tmp_path}/names") and not (tmp_path / "names").exists()
     io.write_json_map(spark.createDataFrame([(1, "k", "v"), (0, "z", "w")], "pos int, key string, value string"), f"{tmp_path}/map")
     assert [tuple(r) for r in io.read_json_map(spark, f"{tmp_path}/map").collect()] == [(0, "z", "w"), (1, "k", "v")]
+
+
+def test_shared_folder(spark):
+    from basalt import storage
+
+    before = storage.made(spark)
+    one, two = (storage.materialize(spark.range(n), "numbers") for n in (3, 4))
+    assert (one.count(), two.count()) == (3, 4) and len(storage.made(spark) - before) == 2
+    storage.discard_others(spark, before, two)
+    assert two.count() == 4 and storage.made(spark) - before == {two._written_to}
+    storage.discard(two, spark.range(2), None)
+    assert storage.made(spark) == before
+
+
+def test_no_machine_local_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    from basalt import storage
+
+    session = SimpleNamespace(conf={}, sparkContext=SimpleNamespace(master="spark://host:7077", applicationId="a"))
+    with pytest.raises(RuntimeError):
+        storage.shared_dir(session)
