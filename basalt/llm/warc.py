@@ -9,7 +9,11 @@ record or gap; together they cover the archive.
 
 Archives are written by tasks into segments of bounded size under names of their own, and only segments that the manifest
 names are read, so a lost executor or a second attempt leaves unread files at most. Paths are opened with pyarrow's file
-systems, so the shared folder may be in any store it knows. A task holds one record at a time.
+systems; those without a scheme mean Spark's default file system, and Hadoop's names of schemes are translated, so the shared
+folder may be in any store that both know. A task holds one record at a time.
+
+A damaged Content-Length that points too far is found at the next version line, if the block up to there has the digest that the
+header gives, and else after the bytes that it names were read, 2 GiB at most.
 
 Defined cases: a null payload is written as empty; rows alike in id and payload are responses of that id, each written; a row
 without an id takes part but is never referred to; a null url leaves the header out; line ends in a url are
@@ -37,8 +41,8 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: Payloads below this never become revisits.
 MIN_REVISIT_BYTES = 0
 SEGMENT_BYTES = 32 << 20
-#: A record of more bytes is quarantined: it can't be one that this engine wrote, and would fill a task's memory.
-MAX_RECORD_BYTES = 1 << 30
+#: A record of more bytes is quarantined: a row's payload can't be as large, and it would fill a task's memory.
+MAX_RECORD_BYTES = (1 << 31) + (1 << 20)
 CHUNK = 1 << 20
 #: Packed bytes that are unpacked at once.
 PIECE = 1 << 16
@@ -211,9 +215,17 @@ def _member(w: _Window) -> Iterator[tuple[int, int, dict[str, str] | None, bytes
     yield at, w.at - at, None, b"", m.why
 
 
+def _head(data: bytes) -> tuple[int, int, str]:
+    """Where the block begins, its length and its digest, by the header alone."""
+    end = data.index(b"\r\n\r\n")
+    size = re.search(rb"(?i)\r\ncontent-length:[ \t]*(\d+)", data[:end])
+    digest = re.search(rb"(?i)\r\nwarc-block-digest:[ \t]*sha1:(\w+)", data[:end])
+    return end + 4, int(size[1]) if size else 0, digest[1].decode() if digest else ""
+
+
 def _plain(w: _Window) -> tuple[dict[str, str], bytes, int]:
     """The record that begins here in an archive that isn't packed."""
-    size = CHUNK
+    size, tried = CHUNK, False
     while True:
         data = bytes(w.need(size)[:size])
         try:
@@ -221,9 +233,18 @@ def _plain(w: _Window) -> tuple[dict[str, str], bytes, int]:
         except Bad as why:
             if w.eof and len(w.buf) <= size or why.args[0] not in ("header is cut", "record is cut"):
                 raise
-            if size > MAX_RECORD_BYTES:
-                raise Bad("record is too large") from None
-            size = min(size * 4, MAX_RECORD_BYTES + 1)
+            if why.args[0] == "record is cut":
+                start, length, digest = _head(data)
+                if start + length > MAX_RECORD_BYTES:
+                    raise Bad("record is too large") from None
+                after = re.compile(rb"\r\n\r\n(?=WARC/1\.\d\r\n)").search(data, start) if digest and not tried else None
+                if after:
+                    tried = True  # a payload may hold version lines of its own
+                    if b32_sha1(data[start : after.start()]) == digest:
+                        raise Bad("content length") from None
+            elif size >= CHUNK * 16:
+                raise Bad("header is cut") from None
+            size = min(size * 4, MAX_RECORD_BYTES + CHUNK)
 
 
 def _starts(w: _Window) -> bool:
@@ -281,8 +302,24 @@ def _http(block: bytes) -> tuple[dict[str, str], bytes]:
     return {k.strip().lower(): v.strip() for k, _, v in lines}, body
 
 
-def _rows(path: str, with_payload: bool) -> Iterator[dict]:
-    fs, inner = pafs.FileSystem.from_uri(path)
+def default_uri(spark: SparkSession) -> str:
+    """What a path without a scheme begins with."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path("/")
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    return root.getFileSystem(conf).makeQualified(root).toString().rstrip("/")
+
+
+def open_path(path: str, default: str) -> tuple[pafs.FileSystem, str]:
+    """pyarrow's file system and path for a path as Hadoop writes it."""
+    if not re.match(r"\w[\w+.-]*:", path):
+        path = default + path
+    path = re.sub(r"^s3[an]:", "s3:", path)
+    path = re.sub(r"^file:/*", "file:///", path)
+    return pafs.FileSystem.from_uri(path)
+
+
+def _rows(path: str, with_payload: bool, default: str) -> Iterator[dict]:
+    fs, inner = open_path(path, default)
     with fs.open_input_stream(inner, compression=None, buffer_size=0) as f:
         for offset, length, h, block, reason in salvage(f):
             row = {"path": path, "offset": offset, "length": length, "status": "quarantined", "reason": reason}
@@ -311,12 +348,13 @@ _ARROW = pa.schema(
 
 def read_warc(paths: DataFrame, path_col: str = "path", with_payload: bool = True) -> DataFrame:
     """Records and quarantined gaps of the archives that ``paths`` lists, a task for each few archives."""
+    default = default_uri(paths.sparkSession)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, held = [], 0
         for batch in batches:
             for path in batch.column(0).to_pylist():
-                for row in _rows(path, with_payload):
+                for row in _rows(path, with_payload, default):
                     rows.append(row)
                     held += 200 + len(row.get("payload") or b"")
                     if held > 4 << 20:
@@ -352,6 +390,7 @@ def write_warc(
     long_enough = F.octet_length("body") >= min_revisit_bytes
     refers = F.when(F.col("first").isNotNull() & ~same & long_enough, F.col("first").cast("string"))
     rows = rows.select("id", "url", "body", refers.alias("refers"))
+    default = default_uri(pages.sparkSession)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs = inner = out = None
@@ -370,7 +409,7 @@ def write_warc(
                 for row in batch.slice(at, 64).to_pylist():
                     if out is None:
                         path = f"{folder}/{own}-{len(done):05d}.warc.gz"
-                        fs, inner = pafs.FileSystem.from_uri(path)
+                        fs, inner = open_path(path, default)
                         fs.create_dir(inner.rpartition("/")[0], recursive=True)
                         out = fs.open_output_stream(inner, compression=None)
                     name = lambda x: f"urn:page:{'' if x is None else x}"
@@ -394,7 +433,10 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest.write.parquet(f"{folder}/manifest")
     listed = spark.read.schema(manifest.schema).parquet(f"{folder}/manifest").select("path")
     width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    found = read_warc(listed.repartition(width, "path"), with_payload=False).where("status = 'ok'")
+    found = read_warc(listed.repartition(width, "path"), with_payload=False)
+    # its own archives hold no gap; one would be lost pages
+    gap = F.raise_error(F.concat_ws(" ", F.lit("quarantined:"), "path", F.col("offset").cast("string"), "reason")).cast("string")
+    found = found.withColumn("record_id", F.when(F.col("status") == "ok", F.col("record_id")).otherwise(gap))
     number = lambda c: F.expr(f"try_cast(nullif(substring({c}, 10), '') as bigint)")
     return found.select(
         number("record_id").alias("page_id"),

@@ -1,5 +1,9 @@
 import io
 import os
+import re
+import zlib
+
+import pytest
 
 from basalt.llm import warc
 from tests.oracle import DATA, connect, same
@@ -91,3 +95,43 @@ def test_salvage_inside_members_of_many_records(monkeypatch):
     large = warc.record("urn:page:1", None, b"x" * 9000)
     assert _ids(whole) == (list(range(400)), [])
     assert _ids(warc.gzip_member(records[0] + large + records[2]) + single) == ([0, 2, 0], ["record is too large"])
+
+
+def test_damaged_length_ends_at_the_next_version_line():
+    class Counted(io.BytesIO):
+        largest = 0
+
+        def read(self, n=-1):
+            self.largest = max(self.largest, n)
+            return super().read(n)
+
+    records = [warc.record(f"urn:page:{i}", None, b"x" * 1000 + b"\r\n\r\nWARC/1.1\r\n") for i in range(3000)]
+    plain = re.sub(rb"Content-Length: \d+\r\n\r\nHTTP", b"Content-Length: 900000000\r\n\r\nHTTP", warc.record("urn:page:1", None, b"y" * 1000))
+    assert b"900000000" in plain
+    f = Counted(b"".join([records[0], plain, *records[2:]]))
+    found = list(warc.salvage(f))
+    assert [x[4] for x in found if x[2] is None] == ["content length"] and len(found) == 3000
+    assert f.largest <= 8 << 20
+    huge = plain.replace(b"900000000", b"900000000000000")
+    found = list(warc.salvage(io.BytesIO(records[0] + huge + records[2])))
+    assert [x[4] for x in found][0::2] == ["", ""] and found[1][4]
+
+
+def test_paths_as_hadoop_writes_them(spark, tmp_path):
+    assert warc.default_uri(spark).startswith("file:")
+    for path in (f"{tmp_path}/a.warc", f"file:{tmp_path}/a.warc", f"file://{tmp_path}/a.warc"):
+        assert warc.open_path(path, warc.default_uri(spark))[1] == f"{tmp_path}/a.warc"
+    assert warc.open_path("s3a://bucket/key?region=us-east-1", "")[1] == "bucket/key"
+    pages = spark.createDataFrame([(1, "u", "<p>", "clash", "clash"), (2, None, "<p>", "clash", None)], "page_id long, url string, html string, payload string, sha string")
+    listed = warc.write_warc(pages, f"{tmp_path}/plain")
+    rows = warc.read_warc(listed.select("path")).collect()
+    assert sorted((r["record_id"], r["refers_to"], r["status"]) for r in rows) == [("urn:page:1", None, "ok"), ("urn:page:2", "urn:page:1", "ok")]
+
+
+def test_the_query_fails_rather_than_lose_a_page(spark, folder, monkeypatch):
+    path = folder(pages=spark.createDataFrame([(1, "u", "a"), (2, "u", "b")], "page_id long, url string, html string"))
+    whole = warc.record
+    monkeypatch.setattr(warc, "gzip_member", lambda data, level=1: zlib.compress(data))
+    assert warc.record is whole
+    with pytest.raises(Exception, match="quarantined"):
+        warc.op2_warc(spark, path).collect()
