@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basalt.storage import materialize, new_dir, shared_dir
+from basalt.storage import discard, discard_others, made, materialize, new_dir, shared_dir
 
-__all__ = ["SPACE", "WORD", "join_split", "materialize", "new_dir", "read_table", "shared_dir"]
+__all__ = ["SPACE", "WORD", "discard", "discard_others", "join_split", "made", "materialize", "new_dir", "read_table", "shared_dir", "shield"]
 
 #: Words are runs of anything but ASCII white space.
 SPACE = r"[\x20\x09-\x0D]"
@@ -22,6 +24,19 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shield(df: DataFrame) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """df with its columns that begin as this subpackage's own ones do (``__``) under other names, and what names them back."""
+    taken, new = {c.lower() for c in df.columns}, {}
+    for c in df.columns:
+        if c.startswith("__"):
+            n = len(new)
+            while f"__user_{n}" in taken:
+                n += 1
+            taken.add(f"__user_{n}")
+            new[c] = f"__user_{n}"
+    return df.withColumnsRenamed(new), lambda out: out.withColumnsRenamed({v: k for k, v in new.items()})
+
+
 def join_split(rows: DataFrame, keyed: DataFrame, key: str | list[str], total: int | None = None) -> DataFrame:
     """rows joined with keyed, which has each key once with ``n``, the number of its rows; both should be written tables.
 

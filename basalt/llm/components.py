@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basalt.llm.common import join_split, materialize
+from basalt.llm.common import discard, join_split, materialize
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -28,13 +28,14 @@ def components(edges: DataFrame) -> DataFrame:
         both = now.union(now.select("v", "u"))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("m", "u").alias("m"))
         # a label may be that of a third of all nodes
-        hubs = least.join(now.groupBy(F.col("v").alias("u")).agg(F.count("*").alias("n")), "u")
-        large = join_split(now.select(F.col("v").alias("u"), F.col("u").alias("w")), materialize(hubs, "hubs"), "u").select(F.col("w").alias("u"), F.col("m").alias("v"))
+        hubs = materialize(least.join(now.groupBy(F.col("v").alias("u")).agg(F.count("*").alias("n")), "u"), "hubs")
+        large = join_split(now.select(F.col("v").alias("u"), F.col("u").alias("w")), hubs, "u").select(F.col("w").alias("u"), F.col("m").alias("v"))
         # a node that is larger than all its neighbours keeps its smallest one
         large = large.union(now.join(least, "u").select("u", F.col("m").alias("v"))).where("u <> v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.explode(F.array(F.struct("v", "m"), F.struct(F.col("u").alias("v"), "m"))).alias("e"))
-        now = materialize(small.select(F.col("e.v").alias("u"), F.col("e.m").alias("v")).where("u <> v").distinct(), "edges")
+        old, now = now, materialize(small.select(F.col("e.v").alias("u"), F.col("e.m").alias("v")).where("u <> v").distinct(), "edges")
+        discard(old, hubs)
 
 
 def forest_labels(parents: DataFrame) -> DataFrame:
@@ -43,6 +44,8 @@ def forest_labels(parents: DataFrame) -> DataFrame:
     while True:
         up = now.select(F.col("node").alias("label"), F.col("label").alias("to"))
         step = materialize(now.join(up, "label", "left").select("node", F.coalesce("to", "label").alias("label"), F.col("to").isNotNull().alias("moved")), "forest")
+        discard(now)
         now = step.select("node", "label")
+        now._written_to = step._written_to
         if step.where("moved").isEmpty():
             return now

@@ -7,7 +7,7 @@ as many positions as lines. The hash is the position's fingerprint: two runs wit
 
 1. Positions are counted by fingerprint, and those whose fingerprint stands at one position only go.
 2. At each other position the windows that selected it are the seeds. A seed is joined with the first place, in the order of
-   (id, row, line), that holds the same lines, as SHA-256 digests of the text tell.
+   (id, row, line), that holds the same lines, as 128 bits of SHA-256 of the text tell.
 3. Matches are extended. A window ends no later than the next one, so backwards each line that agrees begins a seed that
    matches too; forwards up to ``min_lines - 1`` lines are left, which are compared line by line with those at the first place.
    Matches that overlap or touch are united, and all runs but those of the first place are deleted.
@@ -27,7 +27,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basalt.llm.common import WORD, join_split, materialize, read_table
+from basalt.llm.common import WORD, join_split, materialize, read_table, shield
 
 MIN_LINES = 3
 MIN_WORDS = 50
@@ -40,7 +40,8 @@ def _bind(value: Column, f: Callable[[Column], Column]) -> Column:
 
 
 def _digest(x: Column) -> Column:
-    return F.unhex(F.sha2(x, 256))
+    """The first 128 bits of SHA-256."""
+    return F.unhex(F.substring(F.sha2(x, 256), 1, 32))
 
 
 def _windows(text: Column, min_lines: int, min_words: int) -> Column:
@@ -122,6 +123,7 @@ def line_dedup(
 ) -> DataFrame:
     """df with repeated runs taken out of the text, and n_lines, n_removed (long) and removed, the runs as
     ``first-last`` line numbers from 0, joined by commas."""
+    df, restore = shield(df)
     # written, so that a row has the same number whenever it is read
     rows = materialize(df.withColumn("__row", F.monotonically_increasing_id()), "line-rows")
     found = repeated_runs(rows, id_col, text_col, min_lines, min_words)
@@ -155,7 +157,7 @@ def line_dedup(
             "removed": F.array_join(F.transform("__runs", lambda r: F.concat_ws("-", r["s"].cast("string"), r["e"].cast("string"))), ","),
         }
     )
-    return out.drop("__row", "__text", "__found", "__runs", "__lines")
+    return restore(out.drop("__row", "__text", "__found", "__runs", "__lines"))
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

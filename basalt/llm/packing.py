@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from basalt.llm import vocab
-from basalt.llm.common import materialize, read_table
+from basalt.llm.common import discard, materialize, read_table
 
 CAPACITY = 1024
 END_ID = 2
@@ -211,7 +211,8 @@ def supersteps(lengths: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         at = F.when(F.col("kind") == GAP, own_range).when((F.col("kind") == WAITS) & (F.col("size") > halving), wish).otherwise(-1)
         now = state.withColumn("at", at)
         swept = now.where("at >= 0").groupBy("at").applyInArrow(_task(capacity, opened), _STATE)
-        state = materialize(swept.unionByName(now.where("at < 0").drop("at")), "packing")
+        old, state = state, materialize(swept.unionByName(now.where("at < 0").drop("at")), "packing")
+        discard(old)
 
 
 def pack(made: DataFrame, capacity: int = CAPACITY, order: tuple[str, ...] = ("doc_id", "piece"), length_col: str = "length") -> DataFrame:

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basalt.llm.common import SPACE, read_table
+from basalt.llm.common import SPACE, read_table, shield
 
 MIN_WORDS = 50
 MAX_REPEAT_PCT = 50
@@ -105,6 +105,7 @@ def quality_rules(
 ) -> DataFrame:
     """df with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_bad_lines, lost_chars (long),
     clean_text, base_failed and kept. Marks are characters of a bracket expression; the last two are patterns."""
+    df, restore = shield(df)
     text = F.coalesce(F.col(text_col), F.lit(""))
     df = df.withColumn("__words", F.filter(F.split(text, SPACE + "+"), lambda w: w != ""))
     # three hashes as a hash, then the position below it: plain longs, which Spark sorts without boxing
@@ -144,7 +145,7 @@ def quality_rules(
     failed = (q["n_words"] < min_words) | (100 * q["n_repeat_words"] > max_repeat_pct * q["n_words"])
     kept = ~failed & (100 * q["lost_chars"] <= max_lost_pct * q["line_chars"])
     out = df.withColumns({n: q[n] for n in names} | {"base_failed": failed, "kept": kept})
-    return out.drop("__words", "__h", "__grams", "__near", "__windows", "__lines", "__good", "__q")
+    return restore(out.drop("__words", "__h", "__grams", "__near", "__windows", "__lines", "__good", "__q"))
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basalt.llm.common import read_table
+from basalt.llm.common import read_table, shield
 
 #: Fixed patterns, in the order in which spans with equal starts are listed.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -176,6 +176,7 @@ def secret_scan(
     df: DataFrame, model: list[float], text_col: str = "text", min_run: int = MIN_RUN, min_llr: float = MIN_LLR
 ) -> DataFrame:
     """df with base_spans and spans (array<struct<s, k, e>>, k numbers KINDS) and masked_text."""
+    df, restore = shield(df)
     text = F.coalesce(F.col(text_col), F.lit(""))
     run = rf"[A-Za-z0-9+/_=-]{{{min_run},}}"
     table = F.split(F.lit(",".join(map(str, model))), ",").cast("array<double>")  # folded into one literal
@@ -198,7 +199,7 @@ def secret_scan(
     # spans that touch get one mark
     masked = _replaced(text, F.col("__all"), lambda j, x, before: F.when((j == 0) | (x["s"] > before), "[SECRET]").otherwise(""))
     out = df.withColumns({"base_spans": F.col("__base"), "spans": F.col("__all"), "masked_text": masked})
-    return out.drop("__base", "__all")
+    return restore(out.drop("__base", "__all"))
 
 
 def render(spans: Column) -> Column:
