@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basalt.llm.common import materialize, read_table
+from basalt.llm.common import discard_others, made, materialize, read_table, shield
 from basalt.llm.jaccard_join import jaccard_components
 from basalt.llm.line_dedup import line_dedup
 from basalt.llm.packing import best_fit
@@ -43,12 +43,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """One row of each group of near copies stays, that with the smallest id (null ids last), of equal ids the smallest hash
     of the text, of equal texts the first row. Rows without words are no one's copies; an id that several rows share, or that
     is null, says nothing about them."""
+    columns, (docs, restore) = docs.columns, shield(docs)
     # written, so that a row has the same number whenever it is read
     rows = materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
     key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.xxhash64("text").alias("text"), "__row")
     found = jaccard_components(rows.withColumn("__key", key), "__key")
     gone = found.where(~F.col("__key").eqNullSafe(F.col("component_id"))).select("__key.__row")
-    return rows.join(gone, "__row", "left_anti").select(*docs.columns)
+    return restore(rows.join(gone, "__row", "left_anti").drop("__row")).select(*columns)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -75,7 +76,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents").select(*COLUMNS)
+    docs, before = read_table(spark, sf_dir, "documents").select(*COLUMNS), made(spark)
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), name)
+        discard_others(spark, before, docs)  # what the stage itself wrote, and its input
     return docs
