@@ -176,3 +176,27 @@ def read_age(text: Column) -> Column:
     a = F.get(found, 0).cast("double")
     b = F.coalesce(F.get(found, 1).cast("double"), a)
     return F.when(a.isNotNull(), F.struct(F.greatest(a, b).alias("d_max"), F.least(a, b).alias("d_min")))
+
+
+def log_prefix(text: Column, n: int = 70) -> Column:
+    """What a log shows of a text."""
+    return F.substring(text, 1, n)
+
+
+def fact_value(*columns: Column | str) -> Column:
+    """Values joined by bars; missing ones stand as '-', so places don't shift."""
+    return F.concat_ws(" | ", *(F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit(MISSING)) for c in columns))
+
+
+def split_fact(value: Column) -> Column:
+    return F.split(value, r" \| ")
+
+
+def split_key(key: Column) -> Column:
+    """struct(kind, page, species) of 'KIND:page:species'; species is null for a page's own fact."""
+    parts = F.split(key, ":")
+    return F.struct(F.get(parts, 0).alias("kind"), F.get(parts, 1).alias("page"), F.get(parts, 2).alias("species"))
+
+
+def stamp(ts: Column) -> Column:
+    return F.date_format(ts, "yyyy-MM-dd HH:mm:ss")

@@ -46,3 +46,11 @@ def next_tombstones(diff: DataFrame, tombstones: DataFrame) -> DataFrame:
 def history(diff: DataFrame) -> DataFrame:
     """(change, n): how many facts changed each way; what is new at the start or unchanged isn't history."""
     return diff.where(~F.col("change").isin("OK", "INIT")).groupBy("change").agg(F.count("*").alias("n"))
+
+
+def history_entries(diff: DataFrame, first_run: bool) -> DataFrame:
+    """(tag, n): a first run's one baseline line with the number of its facts; later a line for each kind of change, and none
+    where nothing changed. An empty first run has a baseline of 0."""
+    if first_run:
+        return diff.agg(F.lit("BASELINE").alias("tag"), F.count("*").alias("n"))
+    return history(diff).withColumnRenamed("change", "tag")

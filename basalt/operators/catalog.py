@@ -110,3 +110,16 @@ def rewrite(pairs: DataFrame, changes: dict[str, str]) -> DataFrame:
     for k, v in changes.items():
         value = F.when(F.col("key") == k, F.lit(v)).otherwise(value)
     return pairs.withColumn("value", value)
+
+
+def specimens(action: Column, user: Column, given: Column) -> dict[str, Column]:
+    """New base_specimen and scale_specimen: a user who submits own work of the first stage may name them (given, a struct with
+    these two fields); empty or null names change nothing. To be taken before ``transition``."""
+    told = (action == "submit") & (F.col("m_status") == "busy") & (F.col("user") == user) & (F.col("stage") == STAGES[0])
+    named = lambda c: told & (F.coalesce(given[c], F.lit("")) != "")
+    return {c: F.when(named(c), given[c]).otherwise(F.col(c)) for c in ("base_specimen", "scale_specimen")}
+
+
+def mine(df: DataFrame, user: Column) -> DataFrame:
+    """What a user is working on."""
+    return df.where((F.col("m_status") == "busy") & (F.col("user") == user))

@@ -58,3 +58,8 @@ def species_table(fauna: DataFrame) -> DataFrame:
     return numbered(fauna, [*scientific_order(), "pos"]).select(
         "id", "genus", "species", F.coalesce("is_type", F.lit(False)).alias("is_type"), "status", "clade", "stage", age, "author", parse_year(F.col("year")).alias("year")
     )
+
+
+def type_last_order() -> list[Column]:
+    """Genus, types last, year (unknown first): the order that the published list asks for, unlike scientific_order."""
+    return [F.col("genus").asc_nulls_first(), F.col("is_type").asc_nulls_first(), F.col("year").asc_nulls_first()]

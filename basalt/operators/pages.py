@@ -71,3 +71,18 @@ def status_bucket(status: Column) -> Column:
 def report(rows: DataFrame, section: str = "section", entry: str = "entry") -> DataFrame:
     """(section, n, entries): counts and sorted entries. A report is read by people; entries are as many as rows."""
     return rows.groupBy(section).agg(F.count("*").alias("n"), F.sort_array(F.collect_list(entry)).alias("entries"))
+
+
+def totals(rows: DataFrame, outcome: str = "outcome") -> DataFrame:
+    """(suspicious, total): pages with no record, without an infobox or out of scope, and all of them."""
+    suspicious = F.col(outcome).isin("ZERO", "NO_INFOBOX", "OUT_OF_SCOPE")
+    return rows.agg(F.count_if(suspicious).alias("suspicious"), F.count("*").alias("total"))
+
+
+def outcomes(stages: dict[str, DataFrame], outcome: str = "outcome") -> DataFrame:
+    """(stage, outcome, n): every stage's outcomes, counted."""
+    out = None
+    for name, df in stages.items():
+        one = df.groupBy(F.col(outcome).alias("outcome")).agg(F.count("*").alias("n")).select(F.lit(name).alias("stage"), "outcome", "n")
+        out = one if out is None else out.unionByName(one)
+    return out

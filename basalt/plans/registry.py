@@ -194,7 +194,18 @@ def _(spark, d):
     return merge.folded(merge.merge_fold(_arrivals(spark, d), ["g", "event_type"], ["event_type"]), ["g", "event_type"])
 
 
-@query("page_skip_fold")
+_SKIP_SQL = f"""WITH RECURSIVE a AS (SELECT event_id AS pos, user_id % 50 AS page, CAST(event_id % 2 AS INTEGER) AS section, user_id % 9 AS g, event_type AS s, {_STATUS_SQL.format("event_id")} AS status,
+        row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS n FROM events),
+    f AS (SELECT DISTINCT s, 0::BIGINT AS n, list_transform(range(9), lambda x: '') AS held, list_transform(range(50), lambda x: false) AS seen, 0::BIGINT AS pos, '' AS outcome FROM a
+        UNION ALL SELECT s, n, CASE WHEN outcome = 'skipped' THEN held ELSE list_transform(held, lambda x, i: CASE WHEN i = g + 1 THEN final ELSE x END) END,
+            CASE WHEN outcome = 'added' OR (section = 0 AND outcome <> 'skipped') THEN list_transform(seen, lambda x, i: x OR i = page + 1) ELSE seen END, pos, outcome
+        FROM (SELECT *, CASE WHEN seen[page + 1] THEN 'skipped' WHEN before = '' THEN 'added' WHEN final <> before OR (status IN ('valid', 'dubious') AND before NOT IN ('valid', 'dubious')) THEN 'upgraded' ELSE 'duplicate' END AS outcome
+            FROM (SELECT *, CASE WHEN before = '' OR {_WEIGHT_SQL.format("status")} < {_WEIGHT_SQL.format("before")} THEN status ELSE before END AS final
+                FROM (SELECT a.*, f.held, f.seen, f.held[a.g + 1] AS before FROM f JOIN a ON a.s = f.s AND a.n = f.n + 1))))
+    SELECT a.pos, a.page::VARCHAR AS page, a.section, a.g::VARCHAR AS genus, a.s AS species, a.status, f.outcome FROM a JOIN f ON a.s = f.s AND a.n = f.n"""
+
+
+@query("page_skip_fold", _SKIP_SQL)
 def _(spark, d):
     e = _t(spark, d, "events")
     rows = e.select(F.col("event_id").alias("pos"), (F.col("user_id") % 50).cast("string").alias("page"), (F.col("event_id") % 2).cast("int").alias("section"), (F.col("user_id") % 9).cast("string").alias("genus"), F.col("event_type").alias("species"), _status_of(F.col("event_id")).alias("status"))
@@ -314,8 +325,8 @@ def _(spark, d):
 @query("catalog_order_query", "SELECT p_brand AS genus, p_name AS species, row_number() OVER (ORDER BY nullif(p_brand, 'Brand#11') NULLS FIRST, p_name NULLS FIRST, p_partkey) AS rank FROM part WHERE p_brand IN ('Brand#11', 'Brand#12', 'Brand#21')")
 def _(spark, d):
     part = _t(spark, d, "part").where(F.col("p_brand").isin("Brand#11", "Brand#12", "Brand#21"))
-    w = Window.orderBy(F.nullif(F.col("p_brand"), F.lit("Brand#11")).asc_nulls_first(), F.col("p_name").asc_nulls_first(), "p_partkey")
-    return part.select(F.col("p_brand").alias("genus"), F.col("p_name").alias("species"), F.row_number().over(w).cast("long").alias("rank"))
+    order = [F.nullif(F.col("p_brand"), F.lit("Brand#11")).asc_nulls_first(), F.col("p_name").asc_nulls_first(), "p_partkey"]
+    return ordering.numbered(part, order, "rank").select(F.col("p_brand").alias("genus"), F.col("p_name").alias("species"), "rank")
 
 
 _TEMPLATE = "{genus|} {species|}\n{m_status|free} {user|} {skeletal|none}\nnotes:{notes|}"
@@ -624,3 +635,7 @@ def _(spark, d):
     c = _t(spark, d, "customer")
     listed = c.where("c_custkey <= 3").select(F.lower("c_mktsegment").alias("name")).distinct()
     return c.join(listed, F.lower("c_mktsegment") == F.col("name"), "left_semi").select("c_custkey")
+
+
+# further queries register themselves
+from basalt.plans import files as _files  # noqa: E402, F401

@@ -17,6 +17,20 @@ SUFFIXES = ("", "_(dinosaur)", "_(reptile)", "_(archosaur)")
 # End of fixed values.
 
 
+def only_listed(rows: DataFrame, only: DataFrame | None) -> DataFrame:
+    """rows whose genus ``only`` (name) lists, ignoring case; all if it lists none."""
+    if only is None or only.isEmpty():
+        return rows
+    return rows.join(only.select(F.lower("name").alias("__n")).distinct(), F.lower("genus") == F.col("__n"), "left_semi")
+
+
+def candidates(genera: DataFrame, base: str = "") -> DataFrame:
+    """genera with each page it may have, in order: k, suffix, title and url."""
+    asked = genera.select("*", F.posexplode(F.array(*map(F.lit, SUFFIXES))).alias("k", "suffix"))
+    asked = asked.withColumn("title", F.concat(F.translate("genus", " ", "_"), "suffix"))
+    return asked.withColumn("url", F.concat(F.lit(base), "title"))
+
+
 def genera_list(pages: DataFrame, only: DataFrame | None = None, html_col: str = "html") -> DataFrame:
     """(pos, genus, status) from list pages (pos, html): the first of each name; ``only`` (name) keeps the names it lists, if it
     lists any."""
@@ -25,8 +39,7 @@ def genera_list(pages: DataFrame, only: DataFrame | None = None, html_col: str =
     head = text.block_head(F.col("block"))
     rows = blocks.select("pos", "i", text.first_name(head).alias("genus"), text.after_dash(text.strip_tags(head)).alias("about"))
     rows = rows.where(F.col("genus").isNotNull() & (F.length("genus") >= 2) & ~F.col("genus").isin(*text.STOP_NAMES))
-    if only is not None and not only.isEmpty():
-        rows = rows.join(only.select(F.lower("name").alias("__n")).distinct(), F.lower("genus") == F.col("__n"), "left_semi")
+    rows = only_listed(rows, only)
     rows = rows.withColumn("status", text.status_of(F.col("about")))
     first = keep_first(rows.select("genus", "status", "pos", "i"), ["genus"], ["pos", "i"])
     return first.select(F.struct("pos", "i").alias("pos"), "genus", "status")

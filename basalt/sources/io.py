@@ -154,3 +154,22 @@ def write_json_map(df: DataFrame, path: str) -> None:
     pairs = F.array_sort(F.collect_list(F.struct("pos", "key", "value")))
     entries = F.transform(pairs, lambda x: F.struct(x["key"], x["value"]))
     df.agg(F.to_json(F.map_from_entries(entries)).alias("value")).write.mode("overwrite").text(path)
+
+
+def write_catalog_json(df: DataFrame, path: str) -> None:
+    """The work catalogue: one JSON object a line, nulls left out; each part is a file of its own."""
+    df.write.mode("overwrite").json(path)
+
+
+def read_catalog_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    return spark.read.schema(schema).json(path)
+
+
+def merge_settings(own: DataFrame, defaults: DataFrame) -> DataFrame:
+    """(key, value) of defaults, with the value that own gives where it has the key; its last one, and other keys are dropped."""
+    held = own.groupBy("key").agg(F.last("value").alias("__own"))
+    return defaults.join(held, "key", "left").select("key", F.coalesce("__own", "value").alias("value"))
+
+
+def read_mode_table(spark: SparkSession, mode: str, name: str) -> DataFrame:
+    return spark.table(f"{mode}_{name}")
