@@ -16,6 +16,7 @@ SPECIES_HEADS = ("type species", "other species", "species", "binomial name")
 NOT_EPITHETS = ("originally", "vide", "type")
 HEADING_AUTHORS = ("synonyms", "synonyms of", "list", "list of synonyms", "-")
 NOT_SPECIES = ("text", "see", "al", "none", "-")
+GRID_CLASS = "sticky-header"
 VOID = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr")
 # End of fixed values.
 
@@ -29,20 +30,24 @@ class Node:
     def all(self, *tags: str, skip: tuple[str, ...] = ()) -> list[Node]:
         """Elements below with these tags, in order; what is inside ``skip`` elements isn't looked at."""
         out: list[Node] = []
-        for k in self.kids:
+        todo = self.kids[::-1]
+        while todo:
+            k = todo.pop()
             if isinstance(k, Node) and k.tag not in skip:
                 if k.tag in tags:
                     out.append(k)
-                out += k.all(*tags, skip=skip)
+                todo += reversed(k.kids)
         return out
 
     def strings(self, skip: tuple[str, ...] = (), without: tuple[Node, ...] = ()) -> list[str]:
         out: list[str] = []
-        for k in self.kids:
+        todo = self.kids[::-1]
+        while todo:
+            k = todo.pop()
             if isinstance(k, str):
                 out.append(k)
             elif k.tag not in skip and not any(k is w for w in without):
-                out += k.strings(skip, without)
+                todo += reversed(k.kids)
         return out
 
     def text(self, sep: str = " ", skip: tuple[str, ...] = (), without: tuple[Node, ...] = ()) -> str:
@@ -57,25 +62,36 @@ class _Builder(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.root = self.at = Node("", {}, None)
+        self.open: dict[str, int] = {}  # tags of the nodes from the root to here
+
+    def _leave(self, node: Node) -> None:
+        """Close everything up to and with the node."""
+        while self.at is not node.parent:
+            self.open[self.at.tag] -= 1
+            self.at = self.at.parent
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        node = self.at
-        while node.parent is not None and node.tag not in self.STOPS.get(tag, ()):
-            if node.tag in self.CLOSES.get(tag, ()):
-                self.at = node.parent
-            node = node.parent
+        closes, last, node = self.CLOSES.get(tag, ()), None, self.at
+        if any(self.open.get(t) for t in closes):
+            while node.parent is not None and node.tag not in self.STOPS.get(tag, ()):
+                if node.tag in closes:
+                    last = node
+                node = node.parent
+            if last is not None:
+                self._leave(last)
         new = Node(tag, dict(attrs), self.at)
         self.at.kids.append(new)
         if tag not in VOID:
             self.at = new
+            self.open[tag] = self.open.get(tag, 0) + 1
 
     def handle_endtag(self, tag: str) -> None:
+        if not self.open.get(tag):
+            return
         node = self.at
-        while node.parent is not None:
-            if node.tag == tag:
-                self.at = node.parent
-                return
+        while node.tag != tag:
             node = node.parent
+        self._leave(node)
 
     def handle_data(self, data: str) -> None:
         self.at.kids.append(data.replace("\xa0", " "))
@@ -99,9 +115,10 @@ def list_items(html: str | None) -> list[str]:
 
 
 def table_grid(html: str | None, width: int = 7) -> list[list[str | None]]:
-    """The first table as a dense grid: a cell starts at the first free column, spans overwrite, and ``width`` ends a row.
-    Header rows (naming Start and Eon) and rows without cells are left out."""
+    """The first table of the class GRID_CLASS, or without one the first table, as a dense grid: a cell starts at the first free
+    column, spans overwrite, and ``width`` ends a row. Header rows (naming Start and Eon) and rows without cells are left out."""
     tables = parse(html).all("table")
+    tables = [t for t in tables if GRID_CLASS in (t.attrs.get("class") or "").split()] or tables
     rows = []
     for tr in tables[0].all("tr", skip=("table",)) if tables else []:
         words = "".join(tr.strings())

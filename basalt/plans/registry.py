@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from basalt.functions import html, text
-from basalt.functions.authors import clean_author_udf
 from basalt.operators import audit, catalog, hierarchy, interval, merge, ordering, pages, reconcile, validate
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -423,10 +422,12 @@ def _(spark, d):
 # --- scalars
 
 
-@query("year_parse", "SELECT p_partkey, CAST(p_size + 1800 AS INTEGER) AS year FROM part WHERE p_partkey % 4 <> 0 UNION ALL SELECT p_partkey, NULL FROM part WHERE p_partkey % 4 = 0")
+_YEAR = "CASE p_partkey % 4 WHEN 0 THEN p_name WHEN 1 THEN p_brand || p_name ELSE (p_size + 1800) || 'a' || p_type END"
+
+
+@query("year_parse", f"SELECT p_partkey, TRY_CAST(nullif(regexp_replace({_YEAR}, '[^0-9]', '', 'g'), '') AS INTEGER) AS year FROM part")
 def _(spark, d):
-    raw = F.when(F.col("p_partkey") % 4 == 0, "-").otherwise(F.concat(F.col("p_size") + 1800, F.lit("a")))
-    return _t(spark, d, "part").select("p_partkey", text.parse_year(raw).alias("year"))
+    return _t(spark, d, "part").select("p_partkey", text.parse_year(F.expr(_YEAR)).alias("year"))
 
 
 @query("sentinel_cast", "SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE p_size / 4.0::DOUBLE END AS v FROM part")
@@ -449,7 +450,12 @@ def _(spark, d):
     return _t(spark, d, "part").select("p_partkey", text.age_range(F.expr(_AGE)).alias("age"))
 
 
-@query("stage_regex", "SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'Campanian-Maastrichtian' WHEN 1 THEN 'Late Jurassic' ELSE 'Aptian' END AS stage FROM part")
+@query(
+    "stage_regex",
+    rf"""WITH a AS (SELECT p_partkey, {_AGE} AS t FROM part), f AS (SELECT p_partkey, t, regexp_extract_all(t, '\b[A-Z][a-z]+ian\b') AS s FROM a)
+    SELECT p_partkey, CASE WHEN len(s) > 0 THEN CASE WHEN s[1] <> s[-1] THEN s[1] || '-' || s[-1] ELSE s[1] END
+    ELSE nullif(regexp_extract(t, '\b((?:Early|Middle|Late|Upper|Lower)\s+)?(Cretaceous|Jurassic|Triassic|Permian)\b', 0), '') END AS stage FROM f""",
+)
 def _(spark, d):
     return _t(spark, d, "part").select("p_partkey", text.stage_range(F.expr(_AGE)).alias("stage"))
 
@@ -491,24 +497,6 @@ def _(spark, d):
     return _t(spark, d, "documents").select("doc_id", text.collapse_space(F.col("text")).alias("text"))
 
 
-@query("geo_name_clean", "SELECT * FROM (VALUES ('Upper/Late', 'Late'), ('Lower/Early', 'Early'), ('Foo (formerly Bar)', 'Foo'), ('\"Baz\"', 'Baz'), ('A / B', 'B'), ('-', '-')) t(raw, name)")
-def _(spark, d):
-    rows = _rows(spark, "raw string", ("Upper/Late",), ("Lower/Early",), ("Foo (formerly Bar)",), ('"Baz"',), ("A / B",), ("-",))
-    return rows.select("raw", text.clean_geo_name(F.col("raw")).alias("name"))
-
-
-@query("hierarchy_blank", "SELECT * FROM (VALUES ('Y', '-', 'X', '-'), ('E', 'P', '-', 'S'), ('E', 'P', 'Q', '-')) t(era, period, epoch, stage)")
-def _(spark, d):
-    rows = _rows(spark, "era string, period string, epoch string, stage string", ("Y", "Y", "X", "X"), ("E", "P", "p", "S"), ("E", "P", "Q", "q"))
-    return rows.withColumns(text.blank_hierarchy(*(F.col(c) for c in ("era", "period", "epoch", "stage"))))
-
-
-@query("clean_name_predicate", "SELECT * FROM (VALUES ('Campanian', true), ('Large climate shift', false), ('a b c d e f', false), ('-', false), ('', false)) t(raw, ok)")
-def _(spark, d):
-    rows = _rows(spark, "raw string", ("Campanian",), ("Large climate shift",), ("a b c d e f",), ("-",), ("",))
-    return rows.select("raw", text.is_clean_name(F.col("raw")).alias("ok"))
-
-
 @query("json_facts", "SELECT event_id, e.key AS key, e.value AS value FROM (SELECT event_id, unnest(map_entries(from_json(props, '\"MAP(VARCHAR, VARCHAR)\"'))) AS e FROM events)")
 def _(spark, d):
     facts = _t(spark, d, "events").select("event_id", F.posexplode(F.map_entries(F.from_json("props", "map<string,string>"))).alias("pos", "e"))
@@ -534,49 +522,9 @@ def _(spark, d):
     return _t(spark, d, "pages").select("page_id", html.title_udf("html").alias("title"))
 
 
-@query("html_list_items", "SELECT page_id, CAST(i AS INTEGER) AS i, regexp_extract(block, '>([^<]*)</a>', 1) AS item FROM (SELECT page_id, unnest(string_split(n, '<li>')[2:]) AS block, generate_subscripts(string_split(n, '<li>')[2:], 1) - 1 AS i FROM (SELECT page_id, regexp_extract(html, '<nav>.*</nav>') AS n FROM pages))")
-def _(spark, d):
-    pages = _t(spark, d, "pages").select("page_id", F.regexp_extract("html", "<nav>.*</nav>", 0).alias("nav"))
-    return pages.select("page_id", F.posexplode(html.list_items_udf("nav")).alias("i", "item"))
-
-
-@query("table_grid", "SELECT * FROM (VALUES (0, 'A,B,B'), (1, 'A,C,D')) t(r, cells)")
-def _(spark, d):
-    rows = _rows(spark, "h string", ("<table><tr><th>Start</th><th>Eon</th></tr><tr><td rowspan=2>A<sup>1</sup></td><td colspan=2>B</td></tr><tr><td>C</td><td>D</td></tr></table>",))
-    return rows.select(F.posexplode(html.table_grid_udf("h")).alias("r", "g")).select("r", F.array_join("g", ",").alias("cells"))
-
-
-_ARTICLE = """<table class="infobox biota"><tr><td colspan=2><div>Temporal range: Late Campanian to Maastrichtian, 80.5 to 72 Ma</div></td></tr><tr><td>Clade:</td><td>Exampleformes</td></tr>
-<tr><td>Genus:</td><td>†<i>Exemplar</i> <small>Doe &amp; Roe, 1999</small></td></tr><tr><th colspan=2>Type species</th></tr><tr><td>†<i>Exemplar primus</i></td></tr>
-<tr><th>Other species</th></tr><tr><td><ul><li><i>E. secundus</i> <small>Poe, 2001</small>?</li><li>"E. tertius" Coe, 2003</li></ul></td></tr>
-<tr><th>Synonyms</th></tr><tr><td><ul><li><i>Prior nomen</i></li><li><i>Prior exemplum</i> <small>Loe, 1950</small><ul><li><i>Not this</i> Joe, 1900</li></ul></li><li>Possible <i>Late nomenclum</i> Moe, 1951</li></ul></td></tr></table>"""
-
-
-def _article(spark: SparkSession) -> DataFrame:
-    return _rows(spark, "h string", (_ARTICLE,)).select(html.article_udf("h").alias("a"))
-
-
-@query("infobox_species", "SELECT * FROM (VALUES ('Exemplar', 'primus', 'valid', true, 'Doe & Roe', '1999'), ('Exemplar', 'secundus', 'dubious', false, 'Poe', '2001'), ('Exemplar', 'tertius', 'nudum', false, 'Coe', '2003')) t(genus, species, status, is_type, author, year)")
-def _(spark, d):
-    return _article(spark).select(F.explode("a.records").alias("r")).select("r.*").where("section = 0").drop("section")
-
-
-@query("synonyms", "SELECT * FROM (VALUES ('Prior', 'exemplum', 'synonym', 'Loe', '1950'), ('Not', 'this', 'synonym', 'Joe', '1900'), ('Late', 'nomenclum', 'possible synonym', 'Possible Moe', '1951')) t(genus, species, status, author, year)")
-def _(spark, d):
-    return _article(spark).select(F.explode("a.records").alias("r")).select("r.*").where("section = 1").drop("section", "is_type")
-
-
-@query("infobox_classification", "SELECT 'Exemplar' AS genus, 'Exampleformes' AS clade, '80.5–72' AS age, 'Campanian-Maastrichtian' AS stage")
-def _(spark, d):
-    a = _article(spark).withColumn("t", text.certain_part(F.col("a.range_text")))
-    return a.select("a.genus", "a.clade", text.age_range(F.col("t")).alias("age"), text.stage_range(F.col("t")).alias("stage"))
-
-
-@query("author_clean", "SELECT * FROM (VALUES ('Rich & Rich,', 'Rich & Rich'), ('Paul, Paul', 'Paul'), ('Osborn et al.', 'Osborn et al.'), ('Smith emend. Jones', 'Jones'), ('Hofmann', 'Hmann'), (NULL, '-')) t(raw, author)")
+@query("html_list_items", "SELECT page_id, CAST(i - 1 AS INTEGER) AS i, trim(replace(replace(replace(replace(replace(regexp_replace(item, '<[^>]*>', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', chr(34)), '&#x27;', chr(39)), '&amp;', '&')) AS item FROM (SELECT page_id, unnest(l) AS item, generate_subscripts(l, 1) AS i FROM (SELECT page_id, regexp_extract_all(html, '(?s)<li[^>]*>(.*?)</li>', 1) AS l FROM pages))")
 def _(spark, d):
-    rows = _rows(spark, "raw string", ("Rich & Rich,",), ("Paul, Paul",), ("Osborn et al.",), ("Smith emend. Jones",), ("Hofmann",), (None,))
-    none = F.lit(None).cast("string")
-    return rows.select("raw", clean_author_udf("raw", none, none).alias("author"))
+    return _t(spark, d, "pages").select("page_id", F.posexplode(html.list_items_udf("html")).alias("i", "item"))
 
 
 # --- pages, reports, cards
@@ -638,4 +586,5 @@ def _(spark, d):
 
 
 # further queries register themselves
+from basalt.plans import articles as _articles  # noqa: E402, F401
 from basalt.plans import files as _files  # noqa: E402, F401
