@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from basalt.functions.text import parse_double, read_age
 
 
+#: Rows of a scale up to which it is broadcast to the items.
+SCALE_ROWS = 10_000
+
+
 def scale_bounds(scale: DataFrame) -> DataFrame:
     """(at, name, older, younger, error), at being the scale's pos: the younger bound is the start of the row before, whatever that row is; rows
     without bounds are dropped after that. The scale is one short ordered list."""
@@ -24,12 +28,24 @@ def scale_bounds(scale: DataFrame) -> DataFrame:
 def interval_matches(items: DataFrame, bounds: DataFrame, key: str = "id") -> DataFrame:
     """(key, d_max, d_min, at, name, marginal) for every stage that an item's age (d_max, d_min) meets.
 
-    A point lies in [younger - error, older + error); an interval must overlap, marginally if by less than the error."""
+    A point lies in [younger - error, older + error); an interval must overlap, marginally if by less than the error. A scale of up
+    to SCALE_ROWS rows is broadcast; items meet a larger one by bins as wide as its longest stage."""
     point = F.col("d_max") == F.col("d_min")
     inside = point & (F.col("d_max") >= F.col("younger") - F.col("error")) & (F.col("d_max") < F.col("older") + F.col("error"))
     over = F.round(F.least("d_max", "older") - F.greatest("d_min", "younger"), 4)
     meets = inside | (~point & (over > 0))
-    return items.join(bounds, meets).select(key, "d_max", "d_min", "at", "name", (~point & (over < F.col("error"))).alias("marginal"))
+    got = [key, "d_max", "d_min", "at", "name", (~point & (over < F.col("error"))).alias("marginal")]
+    size, width = bounds.agg(F.count("*"), F.max(F.col("older") - F.col("younger") + 2 * F.col("error"))).first()
+    if size <= SCALE_ROWS:
+        return items.join(F.broadcast(bounds), meets).select(*got)
+    width = max(width, 1e-9)
+    bins = lambda a, b: F.explode(F.sequence(F.floor(a / width).cast("long"), F.floor(b / width).cast("long")))
+    first, last = F.col("younger") - F.col("error"), F.col("older") + F.col("error")
+    bounds = bounds.select("*", bins(first, last).alias("__b"), F.floor(first / width).cast("long").alias("__first"))
+    items = items.select(key, "d_max", "d_min", bins(F.col("d_min"), F.col("d_max")).alias("__b"))
+    # a pair meets in several bins; the first that both have counts
+    own = F.col("__b") == F.greatest("__first", F.floor(F.col("d_min") / width).cast("long"))
+    return items.join(bounds, "__b").where(meets & own).select(*got)
 
 
 def assign_stages(items: DataFrame, scale: DataFrame, key: str = "id", age: str = "age", stage: str = "stage") -> DataFrame:

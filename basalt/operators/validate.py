@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from basalt.functions.text import weight
 
-#: A list of genera up to this many rows is broadcast; the bound is checked by the size that the optimizer knows.
 TRUTH = ("genus", "status")
 
 

@@ -138,3 +138,13 @@ def test_numbers(spark):
     got = ordering.numbered(df, ["k", "pos"]).orderBy("id").collect()
     assert [r["id"] for r in got] == list(range(1, 102)) and [(r["k"] is not None, r["k"] or "", r["pos"]) for r in got] == want
     assert ordering.numbered(df.limit(0), ["k", "pos"]).count() == 0
+
+
+def test_a_large_scale_is_met_by_bins(spark, monkeypatch):
+    from basalt.operators import interval
+
+    bounds = spark.createDataFrame([(i, f"s{i}", 2.0 * i + 2 + i % 3, 2.0 * i, 0.25 * (i % 2)) for i in range(40)], "at int, name string, older double, younger double, error double")
+    items = spark.createDataFrame([(i, 0.5 * i + (i % 4), 0.5 * i) for i in range(200)], "id int, d_max double, d_min double")
+    plain = sorted(map(tuple, interval.interval_matches(items, bounds).collect()))
+    monkeypatch.setattr(interval, "SCALE_ROWS", 10)
+    assert len(plain) > 200 and sorted(map(tuple, interval.interval_matches(items, bounds).collect())) == plain
