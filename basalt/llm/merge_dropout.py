@@ -443,6 +443,20 @@ def encode(
     return df.select(*names, F.col(text_col).alias("__text")).mapInArrow(run, schema)
 
 
+def _decode_rows(codec: Codec, pieces: pa.BinaryArray, lists: pa.ListArray) -> list[str]:
+    """The text of each row: all rows' pieces are gathered at once, one after the other, and cut by rows."""
+    flat = lists.flatten()
+    ids = flat.to_numpy(zero_copy_only=False) if not flat.null_count else None
+    if ids is None or len(ids) and (ids.min() < 0 or ids.max() >= len(pieces)):
+        return [codec.decode([i for i in row or () if i is not None and 0 <= i < len(pieces)]) for row in lists.to_pylist()]
+    ends = np.r_[0, np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))]
+    got = pieces.take(pa.array(ids))
+    places = np.frombuffer(got.buffers()[1], np.int32)[got.offset : got.offset + len(got) + 1][ends].tolist()
+    held = memoryview(got.buffers()[2] or b"")
+    out = (bytes(held[a:b]).decode("utf-8", "replace") for a, b in zip(places, places[1:]))
+    return [x[1:] for x in out]
+
+
 def decode(
     df: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", text_col: str = "text", vocab_file: str | None = None, keep: tuple[str, ...] = ()
 ) -> DataFrame:
@@ -454,10 +468,11 @@ def decode(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec()
+        pieces = pa.array(c.text, pa.binary())
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                texts = [c.decode([i for i in ids or () if i is not None and 0 <= i < len(c.text)]) for ids in part.column(len(names)).to_pylist()]
+                texts = _decode_rows(c, pieces, part.column(len(names)))
                 yield pa.RecordBatch.from_arrays([*part.columns[: len(names)], pa.array(texts, pa.string())], names=schema.names)
 
     return df.select(*names, F.col(ids_col).alias("__ids")).mapInArrow(run, schema)
