@@ -472,5 +472,16 @@ def jaccard_links(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_components(read_table(spark, sf_dir, "documents"))
-
+    return jaccard_components(read_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+#: Exact, over classes of equal sets; components by following links from every class.
+OP9_SQL = rf"""WITH RECURSIVE w AS (SELECT row_number() OVER () AS rid, doc_id,
+        regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+    s AS (SELECT rid, doc_id, CASE WHEN len(ws) = 0 THEN [] ELSE list_sort(list_distinct(list_transform(range(1, greatest(len(ws) - {WORDS - 1}, 1) + 1), lambda i: array_to_string(ws[i:i + {WORDS - 1}], ' ')))) END AS sh FROM w),
+    c AS (SELECT sh, min(rid) AS c, min(doc_id) AS rep, len(sh) AS n FROM s WHERE len(sh) > 0 GROUP BY sh),
+    t AS (SELECT c, n, unnest(sh) AS x FROM c),
+    links AS (SELECT a.c AS a, b.c AS b FROM t a JOIN t b ON a.x = b.x AND a.c <> b.c GROUP BY a.c, b.c, a.n, b.n HAVING 100 * count(*) >= {PERCENT} * (a.n + b.n - count(*))),
+    reach(c, r) AS (SELECT c, c FROM c UNION SELECT reach.c, links.b FROM reach JOIN links ON reach.r = links.a),
+    comp AS (SELECT reach.c, min(o.rep) AS first FROM reach JOIN c o ON o.c = reach.r GROUP BY reach.c)
+    SELECT s.doc_id, CAST(len(s.sh) AS BIGINT) AS n_shingles, coalesce(comp.first, s.doc_id) AS component_id FROM s LEFT JOIN c ON c.sh = s.sh LEFT JOIN comp ON comp.c = c.c"""

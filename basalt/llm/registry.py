@@ -24,5 +24,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 SQL: dict[str, str] = {
     "op2_warc": warc.OP2_SQL,
     "op4_line_dedup": line_dedup.OP4_SQL,
+    "op9_jaccard_join": jaccard_join.OP9_SQL,
     "op10_quality_rules": quality_rules.OP10_SQL,
 }

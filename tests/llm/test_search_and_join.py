@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from basalt.llm import ann, toxicity
 from basalt.llm import jaccard_join as jj
 from basalt.llm.components import components, forest_labels
-from tests.oracle import DATA
+from tests.oracle import DATA, connect, same
 
 
 def brute_nearest(rows, k):
@@ -276,3 +276,10 @@ def test_partitions_and_shared_ids(spark):
     assert sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in out) == sorted(
         [(0, 1, 0, 2.0), (0, 2, 0, 1.0)] * 2 + [(0, 1, 0, 2.0), (0, 2, 0, 2.0), (20, 1, 3, 0.0)]
     )
+
+
+def test_join_equals_sql(spark, folder):
+    same(jj.op9_jaccard_join(spark, f"{DATA}/sf0.001"), connect(), jj.OP9_SQL)
+    texts = [None, "", " \t", "a b", "A\nB", "a b c d e f", "a b c d e", "É f g h i j", "é f g h i j", " ".join(f"w{i}" for i in range(40)), " ".join(f"W{i}" for i in range(40)) + " more"]
+    path = folder(documents=spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    same(jj.op9_jaccard_join(spark, path), connect(folder=path, tables="documents"), jj.OP9_SQL)
