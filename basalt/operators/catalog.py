@@ -38,7 +38,8 @@ def fill_defaults(df: DataFrame, template: dict[str, str]) -> DataFrame:
 
 def find_entries(wanted: DataFrame, entries: DataFrame, migrations: DataFrame) -> DataFrame:
     """wanted (genus, species, ...) with ``entry``, the matching entry's full name: by its own name, ignoring case, else by
-    the first migration to its genus whose old name has an entry."""
+    the first migration to its genus whose old name has an entry. Any input may be empty; null names match nothing but their own
+    empty spelling; further columns of wanted are kept."""
     names = entries.select(F.lower(F.concat_ws(" ", "genus", "species")).alias("__e")).distinct()
     moved = migrations.select(F.lower("new_genus").alias("__to"), F.lower("old_name").alias("__old"), "pos")
     moved = moved.join(names, F.col("__old") == F.col("__e"), "left_semi").groupBy("__to").agg(F.min_by("__old", "pos").alias("__old"))
@@ -49,7 +50,8 @@ def find_entries(wanted: DataFrame, entries: DataFrame, migrations: DataFrame) -
 
 def sync(listed: DataFrame, entries: DataFrame, migrations: DataFrame, template: dict[str, str]) -> DataFrame:
     """The new catalogue: listed (genus, species, status) with the fields of the entry found, defaults for the rest; entries
-    no longer listed disappear."""
+    no longer listed disappear. Of entries with one name any is taken; an empty list gives an empty catalogue, and no entries
+    give defaults throughout."""
     fields = [c for c in entries.columns if c not in ("genus", "species", "status") and (c in template or c in INTERNAL)]
     held = entries.select(F.lower(F.concat_ws(" ", "genus", "species")).alias("entry"), *fields).dropDuplicates(["entry"])
     found = find_entries(listed.select("genus", "species", "status"), entries, migrations)

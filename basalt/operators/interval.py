@@ -50,7 +50,8 @@ def interval_matches(items: DataFrame, bounds: DataFrame, key: str = "id") -> Da
 
 def assign_stages(items: DataFrame, scale: DataFrame, key: str = "id", age: str = "age", stage: str = "stage") -> DataFrame:
     """items with their label from the scale, oldest first: ``label``, older and younger bound of its stages, and ``outcome``
-    (OK, FIX, SKIP without an age, OUT_OF_BOUNDS). A label that only differs in case or dashes keeps its old spelling."""
+    (OK, FIX, SKIP without an age, OUT_OF_BOUNDS). A label that only differs in case or dashes keeps its old spelling. The key must
+    be unique; an empty scale puts every age out of bounds, and further columns are kept."""
     aged = items.withColumn("__a", read_age(F.col(age)))
     aged = aged.withColumns({"d_max": F.round(F.col("__a.d_max"), 4), "d_min": F.round(F.col("__a.d_min"), 4)}).drop("__a")
     bounds = scale_bounds(scale)

@@ -13,7 +13,9 @@ def merge_records(df: DataFrame, keys: list[str], pos: str = "pos", status: str
     """One row a key: the status of least weight (the earliest of equals), all else from the last primary row after the first
     row that isn't primary, or else from the first row.
 
-    Two aggregations in place of a fold, so a key with very many records is combined before each shuffle."""
+    Two aggregations in place of a fold, so a key with very many records is combined before each shuffle. Null keys are a key of
+    their own, a null status weighs as an unknown one, an empty table gives no rows, and all columns are kept; none may begin
+    with two underscores."""
     meta = [c for c in df.columns if c not in (*keys, status)]
     primary = is_primary(F.col(status))
     turn = df.groupBy(*keys).agg(F.min(F.when(~primary, F.col(pos))).alias("__turn"))
@@ -37,7 +39,8 @@ def merge_records(df: DataFrame, keys: list[str], pos: str = "pos", status: str
 def merge_fold(df: DataFrame, keys: list[str], group: list[str], pos: str = "pos", status: str = "status") -> DataFrame:
     """The same, literally: records are folded in their order within ``group``, which must not split a key.
 
-    For what needs each arrival's outcome; df gets ``outcome`` (added, upgraded, duplicate), and rows keep their columns."""
+    For what needs each arrival's outcome; df gets ``outcome`` (added, upgraded, duplicate), and rows keep their columns. A group is
+    held in one task, so it should be a small share of the table. An empty table gives no rows."""
     schema = df.select("*", F.lit("").alias("outcome"), F.lit("").alias("final_status"), F.col(pos).alias("meta_pos")).schema
 
     def fold(rows: pd.DataFrame) -> pd.DataFrame:
@@ -77,7 +80,8 @@ def page_skips(df: DataFrame) -> DataFrame:
     """Fold of pages' records with the page's own rule: (pos, page, section, genus, species, status) in, outcome out.
 
     A main record is skipped if its epithet stood on the page before; a synonym too, but it counts as seen only once it was
-    added. What a synonym meets depends on records with the same epithet alone, so epithets are folded apart."""
+    added. What a synonym meets depends on records with the same epithet alone, so epithets are folded apart; an epithet is held
+    in one task. A null epithet is one of its own, an empty table gives no rows, further columns are kept."""
     out = df.select("*", F.lower("genus").alias("__g"), F.lower("species").alias("__s"), F.lit("").alias("outcome"))
 
     def fold(rows: pd.DataFrame) -> pd.DataFrame:

@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 
 def reconcile_plan(wanted: DataFrame, root: DataFrame, archive: DataFrame, migrations: DataFrame) -> DataFrame:
     """(genus, species, action, source) for each wanted name: OK in the root, RESURRECT from the archive, MIGRATE from the
-    first old name with the same species in the root, else in the archive, or CREATE."""
+    first old name with the same species in the root, else in the archive, or CREATE.
+
+    Names match ignoring case. Any input may be empty; a null genus or species counts as an empty part of its name, and a null old
+    name is nowhere; of repeated wanted names each has a row; further columns are ignored."""
     name = F.concat_ws(" ", "genus", "species")
     dirs = lambda d, flag: d.select(F.lower(name).alias(f"__{flag}")).distinct()
     old = migrations.select("pos", F.lower("new_genus").alias("__to"), F.lower("old_name").alias("__old"), F.lower(F.element_at(F.split("old_name", " "), -1)).alias("__sp"))
@@ -23,7 +26,8 @@ def reconcile_plan(wanted: DataFrame, root: DataFrame, archive: DataFrame, migra
 
 
 def archive_plan(wanted: DataFrame, root: DataFrame, plan: DataFrame) -> DataFrame:
-    """(genus, species) of folders to archive: not wanted, not migrated away, not hidden."""
+    """(genus, species) of folders to archive: not wanted, not migrated away, not hidden. Any input may be empty; a folder without a
+    genus or species name is none; further columns are ignored."""
     name = F.lower(F.concat_ws(" ", "genus", "species"))
     shown = root.where(~F.col("genus").startswith(".") & ~F.col("genus").startswith("_deleted_") & ~F.col("species").startswith(".")).withColumn("__n", name)
     active = wanted.select(name.alias("__n")).union(plan.where("source is not null").select(F.col("source").alias("__n")))

@@ -365,7 +365,12 @@ def _folders(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFra
 
 
 _FOLDERS_SQL = """WITH p AS (SELECT p_partkey AS k, 'G' || p_partkey % 20 AS genus, 's' || p_partkey AS species, 'H' || p_partkey % 20 AS old FROM part),
-    plan AS (SELECT genus, species, CASE k % 5 WHEN 0 THEN 'OK' WHEN 1 THEN 'RESURRECT' WHEN 2 THEN 'MIGRATE' ELSE 'CREATE' END AS action, CASE WHEN k % 5 = 2 THEN lower(old || ' ' || species) END AS source FROM p)"""
+    root AS (SELECT genus, species FROM p WHERE k % 5 = 0 UNION ALL SELECT old, species FROM p WHERE k % 5 IN (2, 3) UNION ALL SELECT 'Z', species FROM p WHERE k % 9 = 0),
+    inroot AS (SELECT DISTINCT lower(genus || ' ' || species) AS n FROM root), stored AS (SELECT lower(genus || ' ' || species) AS n FROM p WHERE k % 5 = 1),
+    moves AS (SELECT k AS pos, lower(old || ' ' || species) AS was, lower(genus) AS too, lower(species) AS sp FROM p WHERE k % 5 = 2),
+    placed AS (SELECT too, sp, arg_min(was, row(w, pos)) AS was FROM (SELECT *, CASE WHEN was IN (SELECT n FROM inroot) THEN 0 WHEN was IN (SELECT n FROM stored) THEN 1 END AS w FROM moves) WHERE w IS NOT NULL GROUP BY too, sp),
+    plan AS (SELECT genus, species, action, CASE WHEN action = 'MIGRATE' THEN was END AS source FROM (SELECT p.genus, p.species, was, CASE WHEN lower(genus || ' ' || species) IN (SELECT n FROM inroot) THEN 'OK'
+        WHEN lower(genus || ' ' || species) IN (SELECT n FROM stored) THEN 'RESURRECT' WHEN was IS NOT NULL THEN 'MIGRATE' ELSE 'CREATE' END AS action FROM p LEFT JOIN placed ON too = lower(genus) AND sp = lower(species)))"""
 
 
 @query("reconcile_plan", _FOLDERS_SQL + " SELECT * FROM plan")
@@ -373,7 +378,7 @@ def _(spark, d):
     return reconcile.reconcile_plan(*_folders(spark, d))
 
 
-@query("archive_plan", _FOLDERS_SQL + " SELECT old AS genus, species FROM p WHERE k % 5 = 3 UNION ALL SELECT 'Z', species FROM p WHERE k % 9 = 0")
+@query("archive_plan", _FOLDERS_SQL + " SELECT genus, species FROM root WHERE lower(genus || ' ' || species) NOT IN (SELECT lower(genus || ' ' || species) FROM p) AND lower(genus || ' ' || species) NOT IN (SELECT source FROM plan WHERE source IS NOT NULL)")
 def _(spark, d):
     wanted, root, archive, moves = _folders(spark, d)
     return reconcile.archive_plan(wanted, root, reconcile.reconcile_plan(wanted, root, archive, moves))
@@ -539,7 +544,12 @@ def _(spark, d):
 _TITLE = "CASE p_partkey % 4 WHEN 0 THEN 'Name' || p_partkey || ' (animal)' WHEN 1 THEN 'Other (Name)' WHEN 2 THEN '†Name' || p_partkey ELSE 'name' || p_partkey END"
 
 
-@query("page_outcomes", "SELECT p_partkey, CASE WHEN p_partkey % 4 = 1 THEN 'REDIRECT' WHEN p_size % 5 = 0 THEN 'NO_INFOBOX' WHEN p_partkey % 4 = 0 OR p_size % 2 = 0 THEN 'ALIAS' ELSE 'OK' END AS outcome FROM part")
+@query(
+    "page_outcomes",
+    rf"""WITH t AS (SELECT p_partkey, p_size, lower('Name' || p_partkey) AS name, lower(replace({_TITLE}, '†', '')) AS title FROM part)
+    SELECT p_partkey, CASE WHEN string_split(trim(regexp_replace(title, '\s*\(.*?\)', '', 'g')), ' ')[1] <> name THEN 'REDIRECT' WHEN p_size % 5 = 0 THEN 'NO_INFOBOX'
+    WHEN p_size % 2 = 0 OR trim(title) <> name THEN 'ALIAS' ELSE 'OK' END AS outcome FROM t""",
+)
 def _(spark, d):
     size = F.col("p_size")
     out = pages.page_outcome(F.concat(F.lit("Name"), "p_partkey"), F.when(size % 2 == 0, "_(reptile)").otherwise(""), F.expr(_TITLE), size % 5 != 0)

@@ -148,3 +148,38 @@ def test_a_large_scale_is_met_by_bins(spark, monkeypatch):
     plain = sorted(map(tuple, interval.interval_matches(items, bounds).collect()))
     monkeypatch.setattr(interval, "SCALE_ROWS", 10)
     assert len(plain) > 200 and sorted(map(tuple, interval.interval_matches(items, bounds).collect())) == plain
+
+
+def test_empty_tables_and_nulls(spark):
+    from basalt.operators import catalog, hierarchy, interval, merge, reconcile
+
+    table = lambda schema, *rows: spark.createDataFrame(list(rows), schema)
+    records = "g string, s string, status string, pos long, more string"
+    assert merge.merge_records(table(records), ["g", "s"]).count() == 0
+    rows = [(None, "a", "valid", 1, "x"), (None, "a", "synonym", 2, None), (None, None, None, 3, "y"), ("g", None, "nudum", 4, "z")]
+    got = {(r["g"], r["s"]): (r["status"], r["pos"], r["more"]) for r in merge.merge_records(table(records, *rows), ["g", "s"]).collect()}
+    assert got == {(None, "a"): ("synonym", 1, "x"), (None, None): (None, 3, "y"), ("g", None): ("nudum", 4, "z")}
+    folded = merge.merge_fold(table(records, *rows[:2]), ["g", "s"], ["s"])
+    assert [r["outcome"] for r in folded.orderBy("pos").collect()] == ["added", "upgraded"]
+    assert merge.merge_fold(table(records), ["g", "s"], ["s"]).count() == 0
+    skips = "pos long, page string, section int, genus string, species string, status string, more string"
+    assert merge.page_skips(table(skips)).count() == 0
+    out = merge.page_skips(table(skips, (1, "p", 0, None, None, "valid", "x"), (2, "p", 1, "g", None, None, None))).orderBy("pos").collect()
+    assert [(r["outcome"], r["more"]) for r in out] == [("added", "x"), ("skipped", None)]
+    names = "genus string, species string"
+    wanted = table(names + ", more string", ("A", "a", "x"), (None, "b", "y"))
+    none, moves = table(names), table("pos long, old_name string, new_genus string")
+    plan = reconcile.reconcile_plan(wanted, none, none, moves)
+    assert [r["action"] for r in plan.collect()] == ["CREATE", "CREATE"] and reconcile.reconcile_plan(none, wanted, wanted, moves).count() == 0
+    assert reconcile.archive_plan(none, wanted, plan.limit(0)).collect() == [("A", "a")]
+    assert {r["entry"] for r in catalog.find_entries(wanted, none, moves).collect()} == {None}
+    template = catalog.parse_template("{genus|} {species|} {m_status|free}")
+    entries = table(names + ", status string, m_status string")
+    assert [r["m_status"] for r in catalog.sync(wanted.withColumn("status", F.lit("valid")), entries, moves, template).collect()] == ["free", "free"]
+    assert catalog.sync(entries, entries, moves, template).count() == 0
+    lines = "source string, pos long, lineage array<string>"
+    assert hierarchy.prefixes(table(lines)).count() == 0
+    assert sorted(r["node"] for r in hierarchy.prefixes(table(lines, ("s", 1, ["A", "B"]), ("t", 2, None), ("u", 3, []))).collect()) == ["A", "B"]
+    scale = table("pos long, period string, stage string, start_ma double, uncertainty double")
+    items = table("id long, age string, stage string, more string", (1, "5", "x", "kept"), (2, None, None, None))
+    assert [(r["outcome"], r["more"]) for r in interval.assign_stages(items, scale).orderBy("id").collect()] == [("OUT_OF_BOUNDS", "kept"), ("SKIP", None)]
