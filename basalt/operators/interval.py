@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from basalt.functions.text import parse_double, read_age
 
 
-#: Rows of a scale up to which it is broadcast to the items.
+#: Rows of a scale up to which it is broadcast to the items, and up to which it is part of the expression itself.
 SCALE_ROWS = 10_000
+LITERAL_ROWS = 500
 
 
 def scale_bounds(scale: DataFrame) -> DataFrame:
@@ -55,6 +56,9 @@ def assign_stages(items: DataFrame, scale: DataFrame, key: str = "id", age: str
     aged = items.withColumn("__a", read_age(F.col(age)))
     aged = aged.withColumns({"d_max": F.round(F.col("__a.d_max"), 4), "d_min": F.round(F.col("__a.d_min"), 4)}).drop("__a")
     bounds = scale_bounds(scale)
+    short = bounds.limit(LITERAL_ROWS + 1).collect()
+    if len(short) <= LITERAL_ROWS:
+        return _outcomes(_labelled(aged, short), stage)
     met = interval_matches(aged.where("d_max is not null").select(key, "d_max", "d_min"), bounds, key)
     sure = met.groupBy(key).agg(F.bool_or(~F.col("marginal")).alias("__any")).withColumnRenamed(key, "__k")
     met = met.join(sure, F.col(key) == F.col("__k")).where(~F.col("marginal") | ~F.col("__any"))
@@ -65,7 +69,31 @@ def assign_stages(items: DataFrame, scale: DataFrame, key: str = "id", age: str
     got = rows.groupBy(key).agg(F.array_distinct(ordered).alias("__n"), F.max("older").alias("older"), F.min("younger").alias("younger"))
     first, last = F.get("__n", 0), F.element_at("__n", -1)
     got = got.withColumn("label", F.when(F.size("__n") > 1, F.concat_ws("-", first, last)).otherwise(first)).drop("__n").withColumnRenamed(key, "__k")
-    out = aged.join(got, F.col(key) == F.col("__k"), "left").drop("__k")
+    return _outcomes(aged.join(got, F.col(key) == F.col("__k"), "left").drop("__k"), stage)
+
+
+def _labelled(aged: DataFrame, bounds: list[Row]) -> DataFrame:
+    """aged with older, younger and label by a short scale, row by row: no join and no shuffle."""
+    kind = "array<struct<name:string,older:double,younger:double,error:double>>"
+    rows = [F.struct(*(F.lit(b[c]).alias(c) for c in ("name", "older", "younger", "error"))) for b in sorted(bounds, key=lambda b: -b["at"])]
+    scale, point = F.array(*rows).cast(kind), F.col("d_max") == F.col("d_min")
+    over = lambda s: F.round(F.least(F.col("d_max"), s["older"]) - F.greatest(F.col("d_min"), s["younger"]), 4)
+    inside = lambda s: (F.col("d_max") >= s["younger"] - s["error"]) & (F.col("d_max") < s["older"] + s["error"])
+    met = F.filter(scale, lambda s: (point & inside(s)) | (~point & (over(s) > 0)))
+    aged = aged.withColumn("__met", met)
+    sure = F.filter("__met", lambda s: point | (over(s) >= s["error"]))
+    aged = aged.withColumn("__sure", F.when(F.size(sure) > 0, sure).otherwise(F.col("__met")))
+    # by name: a name that stands elsewhere on the scale brings that row along
+    names = F.transform("__sure", lambda s: s["name"])
+    aged = aged.withColumn("__rows", F.filter(scale, lambda s: F.array_contains(names, s["name"])))
+    aged = aged.withColumn("__n", F.array_distinct(F.transform("__rows", lambda s: s["name"])))
+    first, last = F.get("__n", 0), F.get(F.col("__n"), F.size("__n") - 1)
+    bound = {"older": F.array_max(F.transform("__rows", lambda s: s["older"])), "younger": F.array_min(F.transform("__rows", lambda s: s["younger"]))}
+    label = F.when(F.size("__n") > 1, F.concat_ws("-", first, last)).otherwise(first)
+    return aged.withColumns({**bound, "label": label}).drop("__met", "__sure", "__rows", "__n")
+
+
+def _outcomes(out: DataFrame, stage: str) -> DataFrame:
     plain = lambda c: F.lower(F.replace(c, F.lit("-"), F.lit(" ")))
     equal = plain(F.col("label")) == plain(F.coalesce(F.col(stage), F.lit("-")))
     outcome = F.when(F.col("d_max").isNull(), "SKIP").when(F.col("label").isNull(), "OUT_OF_BOUNDS").when(equal, "OK").otherwise("FIX")

@@ -183,3 +183,16 @@ def test_empty_tables_and_nulls(spark):
     scale = table("pos long, period string, stage string, start_ma double, uncertainty double")
     items = table("id long, age string, stage string, more string", (1, "5", "x", "kept"), (2, None, None, None))
     assert [(r["outcome"], r["more"]) for r in interval.assign_stages(items, scale).orderBy("id").collect()] == [("OUT_OF_BOUNDS", "kept"), ("SKIP", None)]
+
+
+def test_short_and_long_scales_label_alike(spark, monkeypatch):
+    from basalt.operators import interval
+
+    rng = random.Random(3)
+    scale = spark.createDataFrame([(i, "-", rng.choice(["-", None, *"abcdef"]), 2.0 * i + 2 if i % 7 else None, 0.3 * (i % 3)) for i in range(30)], "pos long, period string, stage string, start_ma double, uncertainty double")
+    ages = ["-", None, "900", "x 4 y", *(f"{rng.randrange(0, 640) / 10}" for _ in range(60)), *(f"{rng.randrange(0, 640) / 10}–{rng.randrange(0, 640) / 10}" for _ in range(100))]
+    items = spark.createDataFrame([(i, a, rng.choice(["a-b", "c", None])) for i, a in enumerate(ages)], "id int, age string, stage string")
+    rows = lambda: sorted(tuple(r[c] for c in ("id", "stage", "label", "older", "younger", "outcome")) for r in interval.assign_stages(items, scale).collect())
+    short = rows()
+    monkeypatch.setattr(interval, "LITERAL_ROWS", 0)
+    assert short == rows() and len({r[-1] for r in short}) == 4
