@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from basalt.functions.text import parse_double, read_age
@@ -76,21 +76,27 @@ def _labelled(aged: DataFrame, bounds: list[Row]) -> DataFrame:
     """aged with older, younger and label by a short scale, row by row: no join and no shuffle."""
     kind = "array<struct<name:string,older:double,younger:double,error:double>>"
     rows = [F.struct(*(F.lit(b[c]).alias(c) for c in ("name", "older", "younger", "error"))) for b in sorted(bounds, key=lambda b: -b["at"])]
-    scale, point = F.array(*rows).cast(kind), F.col("d_max") == F.col("d_min")
-    over = lambda s: F.round(F.least(F.col("d_max"), s["older"]) - F.greatest(F.col("d_min"), s["younger"]), 4)
-    inside = lambda s: (F.col("d_max") >= s["younger"] - s["error"]) & (F.col("d_max") < s["older"] + s["error"])
-    met = F.filter(scale, lambda s: (point & inside(s)) | (~point & (over(s) > 0)))
-    aged = aged.withColumn("__met", met)
-    sure = F.filter("__met", lambda s: point | (over(s) >= s["error"]))
-    aged = aged.withColumn("__sure", F.when(F.size(sure) > 0, sure).otherwise(F.col("__met")))
+    scale = F.array(*rows).cast(kind)
+    # generators, and lambdas over an array of one, keep what several places need from being computed in each
+    once = lambda value, f: F.get(F.transform(F.array(value), f), 0)
+    aged = aged.withColumn("__d", F.explode(F.array(F.struct("d_max", "d_min")))).drop("d_max", "d_min")
+    high, low = F.col("__d.d_max"), F.col("__d.d_min")
+    over = lambda s: F.round(F.least(high, s["older"]) - F.greatest(low, s["younger"]), 4)
+    inside = lambda s: (high >= s["younger"] - s["error"]) & (high < s["older"] + s["error"])
+    met = F.filter(scale, lambda s: F.when(high == low, inside(s)).otherwise(over(s) > 0))
+    sure = lambda m: F.filter(m, lambda s: (high == low) | (over(s) >= s["error"]))
+    name = lambda rows: F.transform(rows, lambda s: s["name"])
     # by name: a name that stands elsewhere on the scale brings that row along
-    names = F.transform("__sure", lambda s: s["name"])
-    aged = aged.withColumn("__rows", F.filter(scale, lambda s: F.array_contains(names, s["name"])))
-    aged = aged.withColumn("__n", F.array_distinct(F.transform("__rows", lambda s: s["name"])))
-    first, last = F.get("__n", 0), F.get(F.col("__n"), F.size("__n") - 1)
-    bound = {"older": F.array_max(F.transform("__rows", lambda s: s["older"])), "younger": F.array_min(F.transform("__rows", lambda s: s["younger"]))}
-    label = F.when(F.size("__n") > 1, F.concat_ws("-", first, last)).otherwise(first)
-    return aged.withColumns({**bound, "label": label}).drop("__met", "__sure", "__rows", "__n")
+    same = lambda names: F.filter(scale, lambda s: F.array_contains(names, s["name"]))
+
+    def told(rows: Column) -> Column:
+        label = once(F.array_distinct(name(rows)), lambda n: F.when(F.size(n) > 1, F.concat_ws("-", F.get(n, 0), F.element_at(n, -1))).otherwise(F.get(n, 0)))
+        older, younger = F.array_max(F.transform(rows, lambda s: s["older"])), F.array_min(F.transform(rows, lambda s: s["younger"]))
+        return F.struct(label.alias("label"), older.alias("older"), younger.alias("younger"))
+
+    kept = once(met, lambda m: once(sure(m), lambda u: F.when(F.size(u) > 0, name(u)).otherwise(name(m))))
+    aged = aged.withColumn("__r", F.explode(F.array(once(kept, lambda names: once(same(names), told)))))
+    return aged.withColumns({"d_max": high, "d_min": low, **{c: F.col(f"__r.{c}") for c in ("older", "younger", "label")}}).drop("__d", "__r")
 
 
 def _outcomes(out: DataFrame, stage: str) -> DataFrame:
