@@ -83,7 +83,7 @@ def _labelled(aged: DataFrame, bounds: list[Row]) -> DataFrame:
     high, low = F.col("__d.d_max"), F.col("__d.d_min")
     over = lambda s: F.round(F.least(high, s["older"]) - F.greatest(low, s["younger"]), 4)
     inside = lambda s: (high >= s["younger"] - s["error"]) & (high < s["older"] + s["error"])
-    met = F.filter(scale, lambda s: F.when(high == low, inside(s)).otherwise(over(s) > 0))
+    met = F.filter(scale, lambda s: high.isNotNull() & F.when(high == low, inside(s)).otherwise(over(s) > 0))
     sure = lambda m: F.filter(m, lambda s: (high == low) | (over(s) >= s["error"]))
     name = lambda rows: F.transform(rows, lambda s: s["name"])
     # by name: a name that stands elsewhere on the scale brings that row along
