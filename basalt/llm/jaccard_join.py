@@ -19,8 +19,8 @@ family of m sets that are all alike that takes m times m / GROUP_SETS openings,
 
 Which tokens are common is estimated by counting all shingles of all documents in a table of fixed size; the estimate only
 shapes the order, never the result. A copied document is one class, a common passage comes last in the order, common tokens'
-lists are dealt by size and salt, and joins whose keys may be hot split them off. Shingles are told apart by 64-bit hashes, and
-so are sets while they are compared.
+lists are dealt by size and salt, and joins whose keys may be hot split them off. Shingles are told apart by 64-bit hashes,
+sets by 128 bits; a class's number is half of these, and of classes that share it all but one get another.
 
 Defined cases: a null or empty text, or one without words, has no shingles, links with nothing, and is its own component; of
 repeated rows each is returned; rows without an id take part, and ids that are null are never the smallest unless there is
@@ -29,6 +29,7 @@ no other; extra columns are ignored.
 
 from __future__ import annotations
 
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -165,22 +166,51 @@ def probe_tokens(s: np.ndarray, common: np.ndarray, percent: int = PERCENT) -> t
     return rare, covered
 
 
-def matrix_rows(df: DataFrame, text_col: str, common: np.ndarray, words: int, percent: int) -> DataFrame:
+def moved_classes(classes: DataFrame) -> dict[tuple[int, int], int]:
+    """Numbers of the classes (d1, d2) whose d1 is taken by a class of smaller d2. All others are numbered by d1, so few rows
+    come to the driver: some 270 at 10^11 different sets."""
+    spark = classes.sparkSession
+    shared = [(r["d1"],) for r in classes.groupBy("d1").agg(F.count("*").alias("n")).where("n > 1").select("d1").collect()]
+    if not shared:
+        return {}
+    shared = spark.createDataFrame(shared, "d1 long")
+    held = sorted((r["d1"], r["d2"]) for r in classes.join(F.broadcast(shared), "d1").select("d1", "d2").collect())
+    later = [b for a, b in zip(held, held[1:]) if a[0] == b[0]]
+    seed = 0
+    while True:
+        moved = {d: int.from_bytes(xxhash.xxh3_64_digest(struct.pack("<qq", *d), seed), "little", signed=True) for d in later}
+        taken = spark.createDataFrame([(c,) for c in moved.values()], "d1 long")
+        if len(set(moved.values())) == len(moved) and classes.join(F.broadcast(taken), "d1", "left_semi").isEmpty():
+            return moved
+        seed += 1
+
+
+def numbered_classes(classes: DataFrame, moved: dict[tuple[int, int], int]) -> DataFrame:
+    """classes with their numbers c."""
+    if not moved:
+        return classes.withColumn("c", F.col("d1"))
+    other = classes.sparkSession.createDataFrame([(*d, c) for d, c in moved.items()], "d1 long, d2 long, c long")
+    return classes.join(F.broadcast(other), ["d1", "d2"], "left").withColumn("c", F.coalesce("c", "d1"))
+
+
+def matrix_rows(df: DataFrame, text_col: str, common: np.ndarray, moved: dict[tuple[int, int], int], words: int, percent: int) -> DataFrame:
     """(t, c, n, r, h, hn): class c, of n tokens with r in the covered share, has the probe token t, whose list (or salt of
     it) class h of size hn leads. Tokens that only one class has are left out."""
-    sent = df.sparkSession.sparkContext.broadcast(np.packbits(common))
+    sent = df.sparkSession.sparkContext.broadcast((np.packbits(common), moved))
     # below this size no different set reaches the threshold
     least = percent // max(1, 100 - percent)
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common, seen = np.unpackbits(sent.value).astype(bool), set()
+        (packed, moved), seen = sent.value, set()
+        common = np.unpackbits(packed).astype(bool)
         for _, texts in _texts(batches, 0):
             tokens, classes, sizes, covers = [], [], [], []
             for text in texts:
                 s = shingles(text, words)
                 if len(s) < least:
                     continue
-                c = _digest(s)[0]
+                d = _digest(s)
+                c = moved.get(d, d[0])
                 if c in seen:
                     continue
                 seen.add(c)
@@ -368,20 +398,23 @@ def _asking(opened: DataFrame, members: DataFrame, first_part: int) -> DataFrame
     return asking.union(asked.withColumn("part", F.col("part") + first_part))
 
 
-def _compare(docs: DataFrame, id_col: str, text_col: str, classes: DataFrame, todo: DataFrame, words: int, percent: int, pairs: bool) -> DataFrame:
+def _compare(docs: DataFrame, id_col: str, text_col: str, classes: DataFrame, moved: dict[tuple[int, int], int], todo: DataFrame, words: int, percent: int, pairs: bool) -> DataFrame:
     """Compares what todo (c, g, part, asks) puts together: in part 0 members with each other, in all parts with those asking."""
     todo = materialize(todo, "todo")
-    wanted = todo.select("c").distinct().join(classes.select(F.col("d1").alias("c"), F.col("rep").alias("first")), "c")
+    wanted = todo.select("c").distinct().join(classes.select("c", F.col("rep").alias("first")), "c")
     wanted = materialize(wanted, "wanted")
+    sent = docs.sparkSession.sparkContext.broadcast(moved)
     small = todo.count() <= BROADCAST_ROWS
     near = F.broadcast if small else lambda df: df
     held = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text")).join(near(wanted), F.col("__id").eqNullSafe(F.col("first"))).select("c", "text")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        moved = sent.value
         for part, texts in _texts(batches, 1):
             made = [shingles(t, words) for t in texts]
             # rows that share the id of a class's first document may be of other classes
-            pick = [(c, s.tobytes()) for s, c in zip(made, part.column(0).to_pylist()) if len(s) and _digest(s)[0] == c]
+            found = [(c, s, _digest(s)) for s, c in zip(made, part.column(0).to_pylist()) if len(s)]
+            pick = [(c, s.tobytes()) for c, s, d in found if moved.get(d, d[0]) == c]
             yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in pick], pa.int64()), pa.array([s for _, s in pick], pa.binary())], names=["c", "set"])
 
     def compare(key: tuple, rows: pa.Table) -> pa.Table:
@@ -402,17 +435,17 @@ def _compare(docs: DataFrame, id_col: str, text_col: str, classes: DataFrame, to
 
 
 def class_links(
-    docs: DataFrame, id_col: str, text_col: str, classes: DataFrame, common: np.ndarray, words: int = WORDS, percent: int = PERCENT, every: bool = True,
-    pairs: bool = False,
+    docs: DataFrame, id_col: str, text_col: str, classes: DataFrame, common: np.ndarray, moved: dict[tuple[int, int], int], words: int = WORDS, percent: int = PERCENT,
+    every: bool = True, pairs: bool = False,
 ) -> DataFrame:
     """(c, label, n, near): of the classes that a group links, the smallest one they are connected to in it, the number of
     their links in it, and with ``pairs`` the classes linked, each link at one of its two classes. Unless ``every`` link is
     wanted, there are enough of them to tell who is connected."""
-    rows = materialize(matrix_rows(docs, text_col, common, words, percent), "matrix")
+    rows = materialize(matrix_rows(docs, text_col, common, moved, words, percent), "matrix")
     members = _groups(rows, percent)
     own = materialize(rows.select("t", "c", "n", "r").join(members.select("c", "g"), "c"), "grouped")
     inside = members.where("many").select("c", "g", F.lit(0).alias("part"), F.lit(False).alias("asks"))
-    compare = lambda todo: _compare(docs, id_col, text_col, classes, todo, words, percent, pairs)
+    compare = lambda todo: _compare(docs, id_col, text_col, classes, moved, todo, words, percent, pairs)
     if every:
         # members are together in part 0 whether or not anyone asks there
         return compare(inside.union(_asking(_opened(own, percent, None), members, 0)).distinct())
@@ -427,13 +460,15 @@ def class_links(
 
 
 def _joined(df: DataFrame, id_col: str, text_col: str, words: int, percent: int, every: bool, pairs: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Documents (id, n, d1, d2), classes (d1, d2, rep, copies), and what class_links finds."""
+    """Documents (id, n, d1, d2), classes (d1, d2, rep, copies, c), and what class_links finds."""
     docs = df.select(id_col, text_col)
     made = materialize(profile(docs, id_col, text_col, words), "profile")
     rows = made.where("chunk is null").select("id", "n", "d1", "d2")
     common = common_buckets(made.where("chunk is not null").select("part", "chunk", "counts"))
     classes = materialize(rows.where("n > 0").groupBy("d1", "d2").agg(F.min("id").alias("rep"), F.count("*").alias("copies")), "classes")
-    return rows, classes, class_links(docs, id_col, text_col, classes, common, words, percent, every, pairs)
+    moved = moved_classes(classes)
+    classes = numbered_classes(classes, moved)
+    return rows, classes, class_links(docs, id_col, text_col, classes, common, moved, words, percent, every, pairs)
 
 
 def jaccard_components(
@@ -442,19 +477,19 @@ def jaccard_components(
     """(id, n_shingles, class_key, component_id): component_id is the smallest id that links reach, class_key the same for
     documents with equal sets (null without shingles). With ``links`` also n_links, the number of other classes linked."""
     rows, classes, found = _joined(df, id_col, text_col, words, percent, links, False)
-    labels = components(found.select(F.col("c").alias("a"), F.col("label").alias("b"))).withColumnRenamed("node", "d1")
-    degrees = found.groupBy(F.col("c").alias("d1")).agg(F.sum("n").alias("links"))
-    labelled = classes.join(degrees.join(labels, "d1", "left"), "d1", "left")
-    labelled = materialize(labelled.select("d1", "d2", "rep", "copies", "links", F.coalesce("label", "d1").alias("label")), "labels")
+    labels = components(found.select(F.col("c").alias("a"), F.col("label").alias("b"))).withColumnRenamed("node", "c")
+    degrees = found.groupBy("c").agg(F.sum("n").alias("links"))
+    labelled = classes.join(degrees.join(labels, "c", "left"), "c", "left")
+    labelled = materialize(labelled.select("d1", "d2", "c", "rep", "copies", "links", F.coalesce("label", "c").alias("label")), "labels")
     whole = materialize(labelled.groupBy("label").agg(F.min("rep").alias("first"), F.count("*").alias("n")), "components")
     # a component, or a class, may hold a third of all
-    named = join_split(labelled, whole, "label").select("d1", "d2", "first", "links", F.col("copies").alias("n"))
+    named = join_split(labelled, whole, "label").select("d1", "d2", "c", "first", "links", F.col("copies").alias("n"))
     out = join_split(rows.where("n > 0").withColumnRenamed("n", "size"), materialize(named, "named"), ["d1", "d2"])
-    none = rows.where("n = 0").select("id", F.col("n").alias("size"), "d1", F.col("id").alias("first"), F.lit(None).cast("long").alias("links"))
-    out = out.select("id", "size", "d1", "first", "links").unionByName(none).select(
+    none = rows.where("n = 0").select("id", F.col("n").alias("size"), F.col("d1").alias("c"), F.col("id").alias("first"), F.lit(None).cast("long").alias("links"))
+    out = out.select("id", "size", "c", "first", "links").unionByName(none).select(
         F.col("id").alias(id_col),
         F.col("size").alias("n_shingles"),
-        F.col("d1").alias("class_key"),
+        F.col("c").alias("class_key"),
         F.col("first").alias("component_id"),
         F.coalesce("links", F.lit(0)).alias("n_links"),
     )
@@ -467,7 +502,7 @@ def jaccard_links(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     _, classes, links = _joined(df, id_col, text_col, words, percent, True, True)
     found = links.select("c", F.explode("near").alias("d")).select(F.least("c", "d").alias("class_a"), F.greatest("c", "d").alias("class_b"))
     for side in "ab":
-        found = found.join(classes.select(F.col("d1").alias(f"class_{side}"), F.col("rep").alias(f"id_{side}")), f"class_{side}")
+        found = found.join(classes.select(F.col("c").alias(f"class_{side}"), F.col("rep").alias(f"id_{side}")), f"class_{side}")
     return found.select("class_a", "class_b", "id_a", "id_b")
 
 

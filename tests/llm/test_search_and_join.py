@@ -131,6 +131,20 @@ def test_join_on_odd_texts(docs, none):
     assert jj.jaccard_components(none).count() == 0
 
 
+def test_join_when_classes_share_half_their_hash(spark, monkeypatch):
+    whole = jj._digest
+    monkeypatch.setattr(jj, "_digest", lambda s: (whole(s)[0] % 7, whole(s)[1]))
+    rng = random.Random(13)
+    texts = sum((_family(rng, [f"{k}w{i}" for i in range(50)], 20) for k in range(4)), [])
+    rows = list(enumerate(texts + texts[:5] + ["a", "b", None]))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert _components(df) == brute_components(rows)
+    got = jj.jaccard_components(df).where("n_shingles > 0").select("doc_id", "class_key").collect()
+    keys = {t: {r["class_key"] for r in got if rows[r["doc_id"]][1] == t} for _, t in rows if t}
+    assert all(len(k) == 1 for k in keys.values()) and len(set.union(*keys.values())) == len(keys)
+    assert any(0 <= k < 7 for k in set.union(*keys.values()))  # the patch reached the workers
+
+
 def test_join_loses_no_link(spark, monkeypatch):
     rng = random.Random(12)
     monkeypatch.setattr(jj, "GROUP_SETS", 16)
